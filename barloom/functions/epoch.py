@@ -46,4 +46,4 @@ def bar_date(ms: Column) -> Column:
 
 def year_month(ms: Column) -> Column:
     """Month as ``yyyy-MM`` (UTC)."""
-    return F.date_format(bar_date(ms), "yyyy-MM")
+    return F.substring(bar_date(ms).cast("string"), 1, 7)

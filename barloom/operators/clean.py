@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, WindowSpec
 from pyspark.sql import functions as F
@@ -50,15 +50,16 @@ def detect_time_gaps(
     df: DataFrame,
     spec: BarSpec = BarSpec(),
     slices: Slices | None = None,
-    only: Callable[[DataFrame], DataFrame] | None = None,
+    months: DataFrame | None = None,
     times: DataFrame | None = None,
 ) -> DataFrame:
     """Count the missing bars before each bar (0 on the first) and flag where there are any.
 
-    ``times`` may name a cheaper table with the same keys and times, duplicates allowed.
+    ``times`` may name a cheaper table with the same keys and times, duplicates allowed;
+    ``months`` restricts what comes out, as in ``over_series``.
     """
     return over_series(
-        df, spec, lambda d, w: _add_gaps(d, w, spec), slices, tail=1, only=only, tail_source=times
+        df, spec, lambda d, w: _add_gaps(d, w, spec), slices, tail=1, months=months, tail_source=times
     )
 
 

@@ -7,7 +7,7 @@ order of summation.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -128,7 +128,7 @@ def curated_bars(
     volatility: int = VOLATILITY_SIZE,
     slices: Slices | None = None,
     exact_scale: int | None = None,
-    only: Callable[[DataFrame], DataFrame] | None = None,
+    months: DataFrame | None = None,
 ) -> DataFrame:
     """All metrics in one pass: one shuffle and one sort of the wide rows."""
 
@@ -147,5 +147,5 @@ def curated_bars(
         tail=max([volatility, *[n - 1 for n in sizes]]),
         tail_columns=[spec.close],
         running=_running(spec, exact_scale),
-        only=only,
+        months=months,
     )

@@ -14,12 +14,15 @@ from pyspark.sql import functions as F
 
 from barloom.functions.epoch import int_div
 from barloom.functions.rules import drop_reason, invalid_price
+from barloom.scratch import settle
 from barloom.spec import BarSpec
 
 # Completeness ratios below these fail or warn.
 FAIL_BELOW = 0.90
 WARN_BELOW = 0.98
 
+MAX_INLINE_KEYS = 50_000
+
 _GAP, _HAS_GAP = "gap_minutes_before", "has_gap_before"
 
 
@@ -272,6 +275,16 @@ def quality_report(
     spec: BarSpec = BarSpec(),
     require_rows: bool = False,
 ) -> DataFrame:
-    """The nested report of a table; reconciliation is empty unless both layers are given."""
-    compared = None if raw is None or refined is None else reconcile_counts(raw, refined, spec)
-    return report_document(quality_profile(df, spec), compared, spec, require_rows)
+    """The nested report of a table; reconciliation is empty unless both layers are given.
+
+    The per-key figures are written to scratch first: the report reads them several times, and
+    lists the keys only while there are at most ``MAX_INLINE_KEYS``.
+    """
+    profile = settle(quality_profile(df, spec))
+    compared = None if raw is None or refined is None else settle(reconcile_counts(raw, refined, spec))
+    return report_document(profile, compared, spec, require_rows, lists_fit(profile))
+
+
+def lists_fit(profile: DataFrame) -> bool:
+    """Whether the keys are few enough to list them all in the one row of a report."""
+    return profile.count() <= MAX_INLINE_KEYS

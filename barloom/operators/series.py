@@ -32,8 +32,9 @@ SLOTS_PER_SLICE = 40_000
 BROADCAST_BYTES = 32 * 1024 * 1024
 _SALTS = 64
 
-_SLICE, _SUB, _OWN = "__slice", "__sub", "__own"
-_BEFORE_ALL = -(2**63)
+_SLICE, _SUB, _PART = "__slice", "__sub", "__part"
+# The order of the rows within a slice: what was before it comes first.
+_CARRY, _HALO, _OWN = range(3)
 
 
 @dataclass(frozen=True)
@@ -132,36 +133,43 @@ def over_series(
     tail: int = 0,
     tail_columns: Sequence[str] = (),
     running: Mapping[str, Column] | None = None,
-    only: Callable[[DataFrame], DataFrame] | None = None,
+    months: DataFrame | None = None,
     tail_source: DataFrame | None = None,
 ) -> DataFrame:
     """Add window columns along every series.
 
     ``add(rows, window)`` adds the columns, with ``window`` ordered by time. It may look back
     ``tail`` rows at ``tail_columns`` and sum the ``running`` columns over all rows so far.
-    ``only`` restricts the rows that come out, not the ones looked back at. ``tail_source``
-    is a cheaper table with the same keys and times to take the halo from.
+    ``months`` lists the (key, month) whose rows come out, while all rows are looked back at; it
+    goes with slices along the month column. ``tail_source`` is a cheaper table with the same keys
+    and times to take the halo from.
     """
     if slices is None:
-        slices = plan_slices(df, spec)
+        slices = plan_slices(df, spec, column=spec.month if months is not None else None)
+    if months is not None and not slices.whole and slices.column != spec.month:
+        raise ValueError("rows can be chosen by month only where the slices follow the months")
+
+    def chosen(rows: DataFrame) -> DataFrame:
+        if months is None:
+            return rows
+        return rows.join(months, [spec.key, spec.month], "left_semi").select(*rows.columns)
+
     running = dict(running or {})
     wide = df.withColumns(running) if running else df
 
     if slices.whole:
-        out = add(wide, Window.partitionBy(spec.key).orderBy(spec.time)).drop(*running)
-        return only(out) if only else out
+        return chosen(add(wide, Window.partitionBy(spec.key).orderBy(spec.time)).drop(*running))
 
     cut = slices.assign(wide, spec)
-    own = (only(cut) if only else cut).withColumn(_OWN, F.lit(True))
-    parts = [own]
+    parts = [chosen(cut).withColumn(_PART, F.lit(_OWN))]
     if tail:
         source = cut if tail_source is None else slices.assign(tail_source, spec)
         parts.append(_halo(source, spec, tail, list(tail_columns)))
     if running:
         parts.append(_carry(cut, spec, list(running)))
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    window = Window.partitionBy(spec.key, _SLICE, _SUB).orderBy(spec.time)
-    return add(rows, window).where(F.col(_OWN)).drop(_OWN, _SLICE, _SUB, *running)
+    window = Window.partitionBy(spec.key, _SLICE, _SUB).orderBy(_PART, spec.time)
+    return add(rows, window).where(F.col(_PART) == _OWN).drop(_PART, _SLICE, _SUB, *running)
 
 
 def _carry(cut: DataFrame, spec: BarSpec, running: list[str]) -> DataFrame:
@@ -172,9 +180,8 @@ def _carry(cut: DataFrame, spec: BarSpec, running: list[str]) -> DataFrame:
     return (
         totals.select(
             *at,
-            F.lit(_BEFORE_ALL).alias(spec.time),
             *[F.sum(c).over(earlier).alias(c) for c in running],
-            F.lit(False).alias(_OWN),
+            F.lit(_CARRY).alias(_PART),
         )
         .where(reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in running]))
     )
@@ -220,5 +227,5 @@ def _halo(cut: DataFrame, spec: BarSpec, tail: int, columns: list[str]) -> DataF
             & (F.col("__block") == F.col("block"))
             & F.col("start").between(lo, hi),
         )
-        .select(*at, "row.*", F.lit(False).alias(_OWN))
+        .select(*at, "row.*", F.lit(_HALO).alias(_PART))
     )

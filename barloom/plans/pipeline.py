@@ -18,6 +18,7 @@ from barloom.operators.normalize import raw_bars
 from barloom.operators.quality import (
     completeness_section,
     continuity_section,
+    lists_fit,
     quality_profile,
     reconcile_counts,
     report_document,
@@ -29,8 +30,6 @@ from barloom.sources.manifest import missing_sources
 from barloom.sources.schema import CURATED_SCHEMA, RAW_SCHEMA, REFINED_SCHEMA
 from barloom.spec import BarSpec
 
-MAX_INLINE_KEYS = 50_000
-
 
 class QualityCheckFailed(RuntimeError):
     """The report's status is ``fail``."""
@@ -60,31 +59,28 @@ def ingest_bars(
     raw_path: str,
     manifest: DataFrame | None = None,
     kind: str = "csv",
-) -> DataFrame:
+) -> DataFrame | None:
     """Bring all source files into the raw layer with one scan and one write.
 
-    With a manifest only its sources are read. Returns the manifest's sources that have no file;
-    these are skipped.
+    With a manifest only its sources are read, and those without a file are skipped and returned.
     """
     scan = scan_bars_zip if kind == "zip" else scan_bars_csv
-    files = landing_files(spark, landing, kind)
     if manifest is None:
-        wanted, missing = files, files.select("symbol", "interval").where(F.lit(False))
-        bars = scan(spark, landing, recursive=True)
-    else:
-        # A scan takes its paths from the driver in any case: one short string per file.
-        names = manifest.select(
-            F.upper("symbol").alias("symbol"),
-            "interval",
-            F.format_string("%04d-%02d", "year", "month").alias("year_month"),
-        )
-        wanted = files.join(names, ["symbol", "interval", "year_month"], "left_semi")
-        paths = [r["path"] for r in wanted.select("path").collect()]
-        missing = missing_sources(manifest.withColumn("symbol", F.upper("symbol")), wanted)
-        bars = scan(spark, paths) if paths else None
-    if bars is not None:
-        write_layer(raw_bars(bars, symbol_of(F.col("source_file"))), raw_path)
-    return missing
+        _write_raw(scan(spark, landing, recursive=True), raw_path)
+        return None
+    named = manifest.withColumn("symbol", F.upper("symbol"))
+    month = F.format_string("%04d-%02d", "year", "month")
+    sources = named.select("symbol", "interval", month.alias("year_month"))
+    found = landing_files(spark, landing, kind).join(sources, ["symbol", "interval", "year_month"], "left_semi")
+    # A scan gets its paths from the driver in any case: one short string per file.
+    paths = [row["path"] for row in found.select("path").collect()]
+    if paths:
+        _write_raw(scan(spark, paths), raw_path)
+    return missing_sources(named, found)
+
+
+def _write_raw(bars: DataFrame, raw_path: str) -> None:
+    write_layer(raw_bars(bars, symbol_of(F.col("source_file"))), raw_path)
 
 
 def build_refined(
@@ -170,8 +166,7 @@ def build_quality(
             writer = section.write.mode("overwrite")
             writer.csv(f"{quality_path}/{name}", header=True) if csv else writer.json(f"{quality_path}/{name}")
     # The lists go into one row, so only while they are short; the sections hold them in any case.
-    inline = profile.count() <= MAX_INLINE_KEYS
-    report = report_document(profile, compared, spec, require_rows, inline)
+    report = report_document(profile, compared, spec, require_rows, lists_fit(profile))
     write_quality_report(report, quality_path)
     return report
 
@@ -206,6 +201,7 @@ def refresh_layers(
     spec: BarSpec = BarSpec(),
     reject_nan: bool = True,
     max_rows: int = MAX_ROWS,
+    exact_scale: int | None = None,
 ) -> None:
     """Rewrite only what changed raw partitions touch; ``changed`` lists (symbol, year_month).
 
@@ -232,12 +228,10 @@ def refresh_layers(
 
     refined = scan_layer(spark, paths.refined, REFINED_SCHEMA)
     since = changed.groupBy(key).agg(F.min(month).alias("since"))
-
-    def from_first_change(df: DataFrame) -> DataFrame:
-        return df.join(since, key).where(F.col(month) >= F.col("since")).select(*df.columns)
-
+    later = refined.select(key, month).distinct().join(since, key).where(F.col(month) >= F.col("since"))
     slices = _by_month(plan_slices(refined, spec, max_rows, column=month), spec)
-    write_layer(curated_bars(refined, spec, slices=slices, only=from_first_change), paths.curated, spec)
+    bars = curated_bars(refined, spec, slices=slices, months=later.select(key, month), exact_scale=exact_scale)
+    write_layer(bars, paths.curated, spec)
 
 
 def _by_month(slices: Slices, spec: BarSpec) -> Slices:

@@ -116,17 +116,16 @@ def dirty_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def archives(rows: DataFrame) -> DataFrame:
     """Zip archives of source rows as a column of binaries: one per symbol and Arrow batch."""
-    columns = rows.select("symbol", *BAR_SCHEMA.fieldNames())
-    return columns.mapInArrow(_zip_batches, "content binary")
-
-
-def _zip_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        contents = []
-        for symbol, part in batch.to_pandas().groupby("symbol", dropna=False):
-            name = f"{symbol}-1m-2024-01.csv" if isinstance(symbol, str) else "unnamed.csv"
-            packed = io.BytesIO()
-            with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
-                archive.writestr(name, part.drop(columns="symbol").to_csv(header=False, index=False))
-            contents.append(packed.getvalue())
-        yield pa.RecordBatch.from_pydict({"content": pa.array(contents, pa.binary())})
+
+    def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            contents = []
+            for symbol, part in batch.to_pandas().groupby("symbol", dropna=False):
+                name = f"{symbol}-1m-2024-01.csv" if isinstance(symbol, str) else "unnamed.csv"
+                packed = io.BytesIO()
+                with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
+                    archive.writestr(name, part.drop(columns="symbol").to_csv(header=False, index=False))
+                contents.append(packed.getvalue())
+            yield pa.RecordBatch.from_pydict({"content": pa.array(contents, pa.binary())})
+
+    return rows.select("symbol", *BAR_SCHEMA.fieldNames()).mapInArrow(pack, "content binary")

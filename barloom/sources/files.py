@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import io
 import zipfile
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from itertools import islice
 
 import pyarrow as pa
@@ -15,26 +15,28 @@ from pyspark.sql.types import StringType, StructType
 from barloom.sources.schema import BAR_SCHEMA
 
 # Fixed format of source file names: SYMBOL-interval-YYYY-MM, then the extension.
-_FILE_NAME = r"([^/]+)-([0-9]+[A-Za-z]+)-([0-9]{4}-[0-9]{2})\.(?:csv|zip)$"
+_MONTH = r"\d{4}-\d{2}"
+_INTERVAL = r"\d+[A-Za-z]+"
+_END = r"\.(csv|zip)$"
 
 _LINES_PER_BATCH = 20_000
 
 
-def _name_part(path: Column, group: int) -> Column:
-    return F.nullif(F.regexp_extract(path, _FILE_NAME, group), F.lit(""))
+def _part_of_name(path: Column, pattern: str) -> Column:
+    return F.regexp_substr(F.substring_index(path, "/", -1), F.lit(pattern))
 
 
 def symbol_of(path: Column) -> Column:
     """Symbol from a source file's path; null where the name has another form."""
-    return _name_part(path, 1)
+    return _part_of_name(path, rf"^.+(?=-{_INTERVAL}-{_MONTH}{_END})")
 
 
 def interval_of(path: Column) -> Column:
-    return _name_part(path, 2)
+    return _part_of_name(path, rf"{_INTERVAL}(?=-{_MONTH}{_END})")
 
 
 def month_of(path: Column) -> Column:
-    return _name_part(path, 3)
+    return _part_of_name(path, rf"{_MONTH}(?={_END})")
 
 
 def _with_corrupt(corrupt_column: str | None) -> StructType:
@@ -85,17 +87,23 @@ def scan_bars_zip(
     return bars_from_archives(archives.select("content"), corrupt_column)
 
 
-def _csv_lines(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for content in batch.column(0):
-            with zipfile.ZipFile(io.BytesIO(content.as_py())) as archive:
-                for name in archive.namelist():
-                    if not name.endswith(".csv"):
-                        continue
-                    with archive.open(name) as raw, io.TextIOWrapper(raw, "utf-8", errors="replace") as text:
-                        lines = (line.rstrip("\r\n") for line in text)
-                        while chunk := list(islice(lines, _LINES_PER_BATCH)):
-                            yield pa.RecordBatch.from_pydict({"source_file": [name] * len(chunk), "line": chunk})
+def _line_reader(lines_per_batch: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A function from archives to their lines. It is made here, and so sent to the workers by
+    value: they need not have this package."""
+
+    def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for content in batch.column(0):
+                with zipfile.ZipFile(io.BytesIO(content.as_py())) as archive:
+                    for name in archive.namelist():
+                        if not name.endswith(".csv"):
+                            continue
+                        with archive.open(name) as raw, io.TextIOWrapper(raw, "utf-8", errors="replace") as text:
+                            lines = (line.rstrip("\r\n") for line in text)
+                            while chunk := list(islice(lines, lines_per_batch)):
+                                yield pa.RecordBatch.from_pydict({"source_file": [name] * len(chunk), "line": chunk})
+
+    return read
 
 
 def bars_from_archives(archives: DataFrame, corrupt_column: str | None = None) -> DataFrame:
@@ -103,7 +111,7 @@ def bars_from_archives(archives: DataFrame, corrupt_column: str | None = None) -
 
     Python only unpacks, a batch of lines at a time; the fields are parsed on the JVM.
     """
-    lines = archives.select("content").mapInArrow(_csv_lines, "source_file string, line string")
+    lines = archives.select("content").mapInArrow(_line_reader(_LINES_PER_BATCH), "source_file string, line string")
     schema = _with_corrupt(corrupt_column)
     parsed = F.from_csv("line", schema.simpleString()[len("struct<") : -1].replace(":", " "), _csv_options(corrupt_column))
     return lines.where(F.trim("line") != "").select(parsed.alias("bar"), "source_file").select("bar.*", "source_file")

@@ -1,0 +1,48 @@
+"""Every query against its SQL, on the small tables."""
+
+import math
+from pathlib import Path
+
+import duckdb
+import pytest
+
+import __spark_entry__ as contract
+
+QUERIES = contract.queries()
+ORACLES = contract.oracle_sql()
+
+
+@pytest.fixture(scope="module")
+def duck(sf_dir):
+    con = duckdb.connect()
+    for file in Path(sf_dir).glob("*.parquet"):
+        con.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM '{file}'")
+    return con
+
+
+def plain(value):
+    if value is None or (isinstance(value, float) and math.isnan(value)):
+        return ""
+    return value.isoformat() if hasattr(value, "isoformat") else repr(value)
+
+
+def table(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return sorted(tuple(plain(row[i]) for i in order) for row in rows)
+
+
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) == set(ORACLES)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query(spark, sf_dir, duck, name):
+    df = QUERIES[name](spark, sf_dir)
+    expected = duck.execute(ORACLES[name])
+    columns = [d[0] for d in expected.description]
+    assert sorted(df.columns) == sorted(columns)
+    assert table(df.columns, df.collect()) == table(columns, expected.fetchall())
+
+
+def test_entry(spark):
+    assert contract.entry(spark).count() > 0
