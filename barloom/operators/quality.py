@@ -31,6 +31,11 @@ def present_fields(df: DataFrame, spec: BarSpec) -> list[str]:
     return [f for f in spec.key_fields if f in df.columns]
 
 
+def skipped_fields(df: DataFrame, spec: BarSpec = BarSpec()) -> list[str]:
+    """The key fields that the table does not have."""
+    return [f for f in spec.key_fields if f not in df.columns]
+
+
 def _null_aggs(df: DataFrame, spec: BarSpec) -> list[Column]:
     return [F.count_if(F.col(f).isNull()).alias(f"null_{f}") for f in present_fields(df, spec)]
 

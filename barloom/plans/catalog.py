@@ -18,9 +18,11 @@ from barloom.plans.tables import (
     HOURLY,
     archives,
     daily_bars,
+    daily_raw,
     dirty_bars,
     epoch_us,
     hourly_bars,
+    landing_zone,
     source_rows,
     table,
 )
@@ -28,7 +30,7 @@ from barloom.scratch import scratch_dir, settle
 from barloom.sources.files import bars_from_archives, scan_bars_csv, symbol_of
 from barloom.sources.layers import scan_layer, unify_symbols, write_layer
 from barloom.sources.manifest import expand_months, missing_sources
-from barloom.sources.schema import BAR_SCHEMA, RAW_SCHEMA
+from barloom.sources.schema import BAR_SCHEMA, CURATED_SCHEMA, RAW_SCHEMA
 from barloom.spec import BarSpec
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -124,6 +126,20 @@ def _unify(spark, sf_dir):
     return unify_symbols(hourly_bars(spark, sf_dir), daily_bars(spark, sf_dir))
 
 
+@_query("scan_layer")
+def _scan_layer(spark, sf_dir):
+    """Two columns of one symbol: the scan reads its partitions and these columns only."""
+    path = scratch_dir(spark)
+    write_layer(daily_raw(spark, sf_dir), path, cluster=True)
+    layer = scan_layer(spark, path, RAW_SCHEMA).where(F.col("symbol") == "R-F")
+    return layer.select("symbol", "year_month", "open_time", "close")
+
+
+@_query("tag_symbol")
+def _tag(spark, sf_dir):
+    return tag_symbol(hourly_bars(spark, sf_dir), "ALL")
+
+
 @_query("write_layer")
 def _write(spark, sf_dir):
     """Write all, write one symbol again: the others' partitions stay."""
@@ -395,3 +411,54 @@ def _build_quality(spark, sf_dir):
     report = pipeline.build_quality(spark, curated, f"{root}/quality", raw, refined)
     written = spark.read.schema(report.schema).json(f"{root}/quality/quality_report.json", multiLine=True)
     return _status_of(written)
+
+
+def _wanted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A manifest of every event type for two months, of which only the first has landed."""
+    kinds = table(spark, sf_dir, "events").select(F.upper("event_type").alias("symbol")).distinct()
+    spans = {"start_year": 2024, "start_month": 1, "end_year": 2024, "end_month": 2}
+    return expand_months(kinds.withColumns({name: F.lit(value) for name, value in spans.items()}))
+
+
+@_query("ingest_bars")
+def _ingest(spark, sf_dir):
+    landing, raw = landing_zone(source_rows(spark, sf_dir)), scratch_dir(spark)
+    pipeline.ingest_bars(spark, landing, raw, _wanted(spark, sf_dir))
+    return _epochs_instead_of_timestamps(scan_layer(spark, raw, RAW_SCHEMA))
+
+
+@_query("ingest_bars_missing")
+def _ingest_missing(spark, sf_dir):
+    landing = landing_zone(source_rows(spark, sf_dir))
+    return pipeline.ingest_bars(spark, landing, scratch_dir(spark), _wanted(spark, sf_dir))
+
+
+@_query("run_lakehouse")
+def _run(spark, sf_dir):
+    """Landing files to curated bars; the minutes have holes, so the gate raises at the end."""
+    root = scratch_dir(spark)
+    landing = landing_zone(source_rows(spark, sf_dir))
+    paths = pipeline.LayerPaths(landing, *[f"{root}/{layer}" for layer in ("raw", "refined", "curated", "quality")])
+    try:
+        status = pipeline.run_lakehouse(spark, paths, _wanted(spark, sf_dir))
+    except pipeline.QualityCheckFailed:
+        status = "fail"
+    curated = scan_layer(spark, paths.curated, CURATED_SCHEMA)
+    return curated.select(*_GAP_COLUMNS, "close", "prev_close", "returns", F.lit(status).alias("status"))
+
+
+@_query("refresh_layers")
+def _refresh(spark, sf_dir):
+    """Build from a raw layer with a wrong partition, put that right, refresh what it touches."""
+    root = scratch_dir(spark)
+    paths = pipeline.LayerPaths("", *[f"{root}/{layer}" for layer in ("raw", "refined", "curated", "quality")])
+    bars = settle(daily_raw(spark, sf_dir))
+    wrong = (F.col("symbol") == "N-F") & (F.col("year_month") == "1998")
+    write_layer(bars.withColumn("close", F.when(wrong, F.col("close") * 2).otherwise(F.col("close"))), paths.raw)
+    pipeline.build_refined(spark, paths.raw, paths.refined, DAILY)
+    pipeline.build_curated(spark, paths.refined, paths.curated, DAILY, exact_scale=SCALE)
+    write_layer(bars.where(wrong), paths.raw)
+    changed = bars.where(wrong).select("symbol", "year_month").distinct()
+    pipeline.refresh_layers(spark, paths, changed, DAILY, exact_scale=SCALE)
+    curated = _rounded(scan_layer(spark, paths.curated, CURATED_SCHEMA))
+    return curated.select(*_GAP_COLUMNS, "close", *CURATED_SCHEMA.names[-6:])

@@ -198,6 +198,10 @@ SELECT * FROM manifest m WHERE NOT EXISTS (
   SELECT 1 FROM orders o WHERE 'C' || o.o_custkey = m.symbol
     AND year(o.o_orderdate) = m.year AND month(o.o_orderdate) = m.month)""",
         "unify_symbols": f"WITH {_HOURLY}, {_DAILY}\nSELECT * FROM hourly UNION ALL BY NAME SELECT * FROM daily",
+        "scan_layer": daily
+        + """SELECT symbol, strftime(epoch_ms(open_time), '%Y') AS year_month, open_time, close
+FROM daily WHERE symbol = 'R-F'""",
+        "tag_symbol": hourly + "SELECT * REPLACE ('ALL' AS symbol) FROM hourly",
         "write_layer": raw + "SELECT * FROM raw",
         "normalize_epoch_ms": """
 WITH mixed AS (
@@ -267,4 +271,14 @@ FROM ({_figures("refined", 60_000)}) f""",
         "build_refined": refined + "SELECT * FROM refined",
         "build_curated": refined + _curated("refined"),
         "build_quality": refined + _figures("refined", 60_000),
+        "ingest_bars": raw + "SELECT * REPLACE (upper(symbol) AS symbol) FROM raw WHERE symbol IS NOT NULL",
+        "ingest_bars_missing": """SELECT DISTINCT upper(event_type) AS symbol, '1m' AS "interval",
+  2024 AS year, 2 AS month FROM events""",
+        "run_lakehouse": refined
+        + f"""SELECT upper(symbol) AS symbol, open_time, gap_minutes_before, has_gap_before, close, prev_close,
+  {_RETURNS}, (SELECT status FROM ({_figures("refined", 60_000)})) AS status
+FROM (SELECT *, {_PREV} FROM refined)""",
+        "refresh_layers": f"WITH {_DAILY}, refined AS ({_gaps('daily', 86_400_000)})\n"
+        + f"""SELECT {gap_columns}, close, prev_close, returns, close_ma_20, close_ma_50, vwap, volatility_20
+FROM ({_curated("refined")})""",
     }

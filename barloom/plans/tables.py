@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.operators.normalize import raw_bars
+from barloom.scratch import scratch_dir
 from barloom.sources.schema import BAR_SCHEMA
 from barloom.spec import BarSpec
 
@@ -114,6 +115,36 @@ def dirty_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_bars(source_rows(spark, sf_dir))
 
 
+def daily_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily bars as rows of the raw layer. A month of them is small, so the partitions are
+    years here."""
+    bars = daily_bars(spark, sf_dir)
+    volume = F.col("volume")
+    extra = {
+        "close_time": F.col("open_time") + (DAY_MS - 1),
+        "quote_asset_volume": volume * 2,
+        "taker_buy_base": volume / 2,
+        "taker_buy_quote": volume,
+    }
+    return raw_bars(bars.withColumns(extra)).withColumn("year_month", F.substring("year_month", 1, 4))
+
+
+def landing_zone(rows: DataFrame) -> str:
+    """Source rows as CSV files under the names they have in a landing zone."""
+    spark = rows.sparkSession
+    written, named = scratch_dir(spark), scratch_dir(spark)
+    rows.select("symbol", *BAR_SCHEMA.fieldNames()).write.partitionBy("symbol").csv(written)
+    to_path = spark._jvm.org.apache.hadoop.fs.Path
+    files = to_path(written).getFileSystem(spark._jsc.hadoopConfiguration())
+    for number, status in enumerate(files.globStatus(to_path(f"{written}/symbol=*/part-*.csv"))):
+        symbol = status.getPath().getParent().getName().removeprefix("symbol=")
+        name = "unnamed" if symbol.startswith("__") else f"{symbol.upper()}-1m-2024-01"
+        folder = to_path(f"{named}/{number}")
+        files.mkdirs(folder)
+        files.rename(status.getPath(), to_path(folder, f"{name}.csv"))
+    return named
+
+
 def archives(rows: DataFrame) -> DataFrame:
     """Zip archives of source rows as a column of binaries: one per symbol and Arrow batch."""
 

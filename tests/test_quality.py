@@ -28,6 +28,7 @@ def test_validity(spark):
     assert got["duplicate_count"] == 1 and got["invalid_price_count"] == 1
     assert got["total_nulls"] == 0 and got["null_counts"] == {}
     assert quality.present_fields(df, BarSpec()) == ["symbol", "open_time", "high", "low", "close", "volume"]
+    assert quality.skipped_fields(df, BarSpec()) == ["open"]
 
 
 def test_duplicates_count_keys_not_rows(bars):
