@@ -9,8 +9,9 @@ the past is added to it as a few extra rows before the one shuffle of the wide r
 * carry: one row with the sums over everything before the slice, for running sums.
 
 Both come from scans of only the few columns they need, reduced on the map side (row-number
-limit, partial sums), so what is shuffled for them is a few rows per slice. The wide rows are
-never joined. The extra rows are dropped after the window.
+limit, partial sums), so what is shuffled for them is a few rows per slice. (Spark limits row
+numbers before a shuffle up to ``spark.sql.optimizer.windowGroupLimitThreshold``, 1000 rows.) The
+wide rows are never joined. The extra rows are dropped after the window.
 
 Rows should be distinct on (key, time); among ties the order is arbitrary, as in any window.
 """
@@ -25,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from barloom.functions.epoch import floor_div, int_div
+from barloom.scratch import settle
 from barloom.spec import BarSpec
 
 MAX_ROWS = 1_000_000
@@ -120,7 +122,7 @@ def plan_slices(
         width_ms=width,
         column=column,
         max_rows=max_rows,
-        dense=per_key.where(overfull).select(spec.key),
+        dense=settle(per_key.where(overfull).select(spec.key)),
         broadcast_dense=found["bytes"] <= BROADCAST_BYTES,
     )
 

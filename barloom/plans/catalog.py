@@ -116,7 +116,7 @@ def _manifest(spark, sf_dir):
 def _missing(spark, sf_dir):
     present = table(spark, sf_dir, "orders").select(
         F.concat(F.lit("C"), "o_custkey").alias("symbol"),
-        F.date_format("o_orderdate", "yyyy-MM").alias("year_month"),
+        F.substring(F.to_date("o_orderdate").cast("string"), 1, 7).alias("year_month"),
     )
     return missing_sources(_manifest(spark, sf_dir), present)
 

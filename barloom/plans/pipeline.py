@@ -66,7 +66,7 @@ def ingest_bars(
     """
     scan = scan_bars_zip if kind == "zip" else scan_bars_csv
     if manifest is None:
-        _write_raw(scan(spark, landing, recursive=True), raw_path)
+        _write_raw(scan(spark, landing, files=f"*.{kind}", recursive=True), raw_path)
         return None
     named = manifest.withColumn("symbol", F.upper("symbol"))
     month = F.format_string("%04d-%02d", "year", "month")

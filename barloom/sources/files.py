@@ -51,21 +51,28 @@ def _csv_options(corrupt_column: str | None) -> dict[str, str]:
     return options
 
 
+def _lookup(files: str | None, recursive: bool) -> dict[str, str]:
+    options = {"recursiveFileLookup": str(recursive).lower()}
+    if files:
+        options["pathGlobFilter"] = files
+    return options
+
+
 def scan_bars_csv(
     spark: SparkSession,
     paths: str | Sequence[str],
     corrupt_column: str | None = None,
+    files: str | None = None,
     recursive: bool = False,
 ) -> DataFrame:
     """Typed scan of header-less CSV: one scan over all paths, fields that do not parse become null.
 
-    ``corrupt_column`` keeps the text of lines that did not parse. ``source_file`` is the path.
+    ``corrupt_column`` keeps the text of lines that did not parse. ``files`` is a pattern for file
+    names, for folders that hold others too. ``source_file`` is the path.
     """
     return (
         spark.read.schema(_with_corrupt(corrupt_column))
-        .options(**_csv_options(corrupt_column))
-        .option("recursiveFileLookup", recursive)
-        .option("pathGlobFilter", "*.csv")
+        .options(**_csv_options(corrupt_column), **_lookup(files, recursive))
         .csv(paths)
         .select("*", F.col("_metadata.file_path").alias("source_file"))
     )
@@ -75,15 +82,11 @@ def scan_bars_zip(
     spark: SparkSession,
     paths: str | Sequence[str],
     corrupt_column: str | None = None,
+    files: str | None = None,
     recursive: bool = False,
 ) -> DataFrame:
     """The same scan over zip archives of such files."""
-    archives = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", recursive)
-        .option("pathGlobFilter", "*.zip")
-        .load(paths)
-    )
+    archives = spark.read.format("binaryFile").options(**_lookup(files, recursive)).load(paths)
     return bars_from_archives(archives.select("content"), corrupt_column)
 
 
@@ -122,8 +125,7 @@ def landing_files(spark: SparkSession, root: str | Sequence[str], kind: str = "c
     path = F.col("path")
     return (
         spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", f"*.{kind}")
+        .options(**_lookup(f"*.{kind}", True))
         .load(root)
         .select(
             path,

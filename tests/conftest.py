@@ -21,6 +21,7 @@ def spark():
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "4g")
+        .config("spark.sql.maxMetadataStringLength", "5000")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

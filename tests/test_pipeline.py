@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.testing import assertDataFrameEqual
 
+from barloom.operators.clean import clean_bars, detect_time_gaps
 from barloom.operators.series import Slices
 from barloom.plans.pipeline import (
     LayerPaths,
@@ -146,3 +147,38 @@ def test_whole_slices_are_replaced_for_a_refresh():
     from barloom.plans.pipeline import _by_month
 
     assert _by_month(Slices(), DAILY).column == "year_month"
+
+
+def test_shuffles_of_the_refined_build(spark, paths):
+    land(Path(paths.landing), "AAA")
+    ingest_bars(spark, paths.landing, paths.raw)
+    raw = scan_layer(spark, paths.raw, RAW_SCHEMA)
+    times = raw.select("symbol", "open_time", "year_month")
+    gaps = detect_time_gaps(clean_bars(raw, DAILY), DAILY, Slices(column="year_month"), times=times)
+    lines = gaps._jdf.queryExecution().executedPlan().toString().splitlines()
+    scan = next(i for i, line in enumerate(lines) if "FileScan" in line)
+    exchanges = [line for line in lines[:scan] if "Exchange" in line]
+    # One to de-duplicate, one for the gaps; the filters reach the scan.
+    assert len(exchanges) == 2 and "open_time" in exchanges[1]
+    assert "GreaterThan(open,0.0)" in lines[scan]
+
+
+def test_planning_a_layer_reads_no_data_columns(spark, paths):
+    land(Path(paths.landing), "AAA")
+    ingest_bars(spark, paths.landing, paths.raw)
+    raw = scan_layer(spark, paths.raw, RAW_SCHEMA)
+    counts = raw.groupBy("symbol", "year_month").count()
+    assert "ReadSchema: struct<>" in counts._jdf.queryExecution().executedPlan().toString()
+
+
+def test_many_copies_of_one_bar(spark, paths):
+    """Copies far above the number of other rows, and one symbol far above ``max_rows``."""
+    folder = Path(paths.landing)
+    land(folder, "AAA")
+    lines = [line(JAN_2024 + 31 * DAY, 50.0, 5.0 + i % 3) for i in range(3000)]
+    (folder / "AAA-1d-2024-02.csv").open("a").write("\n".join(lines) + "\n")
+    ingest_bars(spark, paths.landing, paths.raw)
+    cut = build_refined(spark, paths.raw, paths.refined, DAILY, max_rows=20)
+    whole = build_refined(spark, paths.raw, paths.refined + "-whole", DAILY)
+    assert cut.count() == 122
+    assertDataFrameEqual(cut.collect(), whole.collect())

@@ -63,9 +63,12 @@ def landing(tmp_path):
     return str(tmp_path)
 
 
-@pytest.mark.parametrize("scan", [scan_bars_csv, scan_bars_zip])
-def test_scan(spark, landing, scan):
-    df = scan(spark, landing, corrupt_column="damaged")
+SCANS = {"*.csv": scan_bars_csv, "*.zip": scan_bars_zip}
+
+
+@pytest.mark.parametrize("files", SCANS)
+def test_scan(spark, landing, files):
+    df = SCANS[files](spark, landing, corrupt_column="damaged", files=files)
     assert df.columns == [*BAR_SCHEMA.fieldNames(), "damaged", "source_file"]
     rows = df.orderBy(F.col("open_time").asc_nulls_last()).collect()
     assert len(rows) == 3
@@ -75,8 +78,13 @@ def test_scan(spark, landing, scan):
     assert {r[0] for r in df.select(symbol_of(F.col("source_file"))).collect()} == {"A"}
 
 
+def test_any_file_name_can_be_scanned(spark, tmp_path):
+    (tmp_path / "bars.txt").write_text(GOOD + "\n")
+    assert scan_bars_csv(spark, str(tmp_path / "bars.txt")).first().close == 1.75
+
+
 def test_both_scans_agree(spark, landing):
-    a, b = [s(spark, landing).drop("source_file") for s in (scan_bars_csv, scan_bars_zip)]
+    a, b = [scan(spark, landing, files=files).drop("source_file") for files, scan in SCANS.items()]
     assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
 
 
