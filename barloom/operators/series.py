@@ -21,6 +21,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -103,14 +104,14 @@ def plan_slices(
     slices = Slices(width_ms=width, column=column, max_rows=max_rows)
     per_key = (
         df.groupBy(spec.key, slices._base(spec).alias(_SLICE))
-        .agg(F.count("*").alias("n"))
+        .agg(F.count("*").alias("__n"))
         .groupBy(spec.key)
-        .agg(F.sum("n").alias("series_rows"), F.max("n").alias("slice_rows"))
+        .agg(F.sum("__n").alias("__series_rows"), F.max("__n").alias("__slice_rows"))
     )
-    overfull = F.col("slice_rows") > max_rows
+    overfull = F.col("__slice_rows") > max_rows
     key_bytes = F.coalesce(F.octet_length(F.col(spec.key).cast("string")), F.lit(0)) + 64
     found = per_key.agg(
-        F.max("series_rows").alias("longest"),
+        F.max("__series_rows").alias("longest"),
         F.count_if(overfull).alias("overfull"),
         F.sum(F.when(overfull, key_bytes)).alias("bytes"),
     ).first()
@@ -151,10 +152,14 @@ def over_series(
     if months is not None and not slices.whole and slices.column != spec.month:
         raise ValueError("rows can be chosen by month only where the slices follow the months")
 
+    # As a literal, the first month keeps the scan from the partitions before it.
+    first = None if months is None else months.agg(F.min(spec.month)).first()[0]
+
     def chosen(rows: DataFrame) -> DataFrame:
         if months is None:
             return rows
-        return rows.join(months, [spec.key, spec.month], "left_semi").select(*rows.columns)
+        later = rows.where(F.col(spec.month) >= F.lit(first))
+        return later.join(months, [spec.key, spec.month], "left_semi").select(*rows.columns)
 
     running = dict(running or {})
     wide = df.withColumns(running) if running else df
@@ -185,7 +190,7 @@ def _carry(cut: DataFrame, spec: BarSpec, running: list[str]) -> DataFrame:
             *[F.sum(c).over(earlier).alias(c) for c in running],
             F.lit(_CARRY).alias(_PART),
         )
-        .where(reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in running]))
+        .where(reduce(or_, [F.col(c).isNotNull() for c in running]))
     )
 
 
@@ -193,41 +198,39 @@ def _halo(cut: DataFrame, spec: BarSpec, tail: int, columns: list[str]) -> DataF
     """For every slice, the ``tail`` rows before it."""
     at = [spec.key, _SLICE, _SUB]
     if tail == 1 and not columns:
-        rows = cut.groupBy(*at).agg(F.array(F.struct(F.max(spec.time).alias(spec.time))).alias("rows"))
+        kept = cut.groupBy(*at).agg(F.array(F.struct(F.max(spec.time).alias(spec.time))).alias("__rows"))
     else:
         latest = Window.partitionBy(*at).orderBy(F.desc_nulls_last(spec.time))
-        rows = (
+        kept = (
             cut.select(*at, spec.time, *columns)
             .withColumn("__rank", F.row_number().over(latest))
             .where(F.col("__rank") <= tail)
             .groupBy(*at)
-            .agg(F.sort_array(F.collect_list(F.struct(spec.time, *columns))).alias("rows"))
+            .agg(F.sort_array(F.collect_list(F.struct(spec.time, *columns))).alias("__rows"))
         )
-    # Number the kept rows along the series. A slice holds at least its own last `tail` rows, so
-    # the `tail` rows before any slice are among the kept ones. Only one small row per slice
-    # goes through the per-key window.
+    # Number the kept rows along the series. A slice keeps its own last `tail` rows, so the `tail`
+    # rows before any slice are among the kept ones. Only one small row per slice goes through
+    # the per-key window.
     earlier = Window.partitionBy(spec.key).orderBy(_SLICE, _SUB).rowsBetween(Window.unboundedPreceding, -1)
-    starts = rows.select(*at, F.size("rows").cast("long").alias("n")).select(
-        *at, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("start")
+    starts = kept.select(*at, F.size("__rows").cast("long").alias("__n")).select(
+        *at, F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__start")
     )
-    s, r = starts.alias("s"), rows.alias("r")
+    k, s = kept.alias("k"), starts.alias("s")
+    same_slice = reduce(and_, [F.col(f"k.{c}").eqNullSafe(F.col(f"s.{c}")) for c in at])
     numbered = (
-        r.join(s, reduce(lambda a, b: a & b, [F.col(f"r.{c}").eqNullSafe(F.col(f"s.{c}")) for c in at]))
-        .select(F.col(f"r.{spec.key}").alias("__key"), "s.start", F.posexplode("r.rows").alias("pos", "row"))
-        .select("__key", "row", (F.col("start") + F.col("pos") + 1).alias("number"))
+        k.join(s, same_slice)
+        .select(F.col(f"k.{spec.key}").alias("__key"), "s.__start", F.posexplode("k.__rows").alias("__pos", "__row"))
+        .select("__key", "__row", (F.col("__start") + F.col("__pos") + 1).alias("__number"))
     )
-    # Row `number` is wanted by the slices that start at number .. number + tail - 1. Both sides
+    # A row is wanted by the slices that start at its number, or up to tail - 1 after. Both sides
     # meet on blocks of `tail` numbers, so a row looks at two blocks and not at the whole series.
-    lo, hi = F.col("number"), F.col("number") + (tail - 1)
-    blocks = F.explode(F.sequence(int_div(lo, tail), int_div(hi, tail))).alias("block")
-    wanted = numbered.select("*", blocks).alias("w")
-    target = starts.where(F.col("start") > 0).withColumn("__block", int_div(F.col("start"), tail))
-    return (
-        target.join(
-            wanted,
-            F.col(spec.key).eqNullSafe(F.col("__key"))
-            & (F.col("__block") == F.col("block"))
-            & F.col("start").between(lo, hi),
-        )
-        .select(*at, "row.*", F.lit(_HALO).alias(_PART))
+    low, high = F.col("__number"), F.col("__number") + (tail - 1)
+    blocks = F.explode(F.sequence(int_div(low, tail), int_div(high, tail))).alias("__near")
+    wanted = numbered.select("*", blocks)
+    targets = starts.where(F.col("__start") > 0).withColumn("__block", int_div(F.col("__start"), tail))
+    met = (
+        F.col(spec.key).eqNullSafe(F.col("__key"))
+        & (F.col("__block") == F.col("__near"))
+        & F.col("__start").between(low, high)
     )
+    return targets.join(wanted, met).select(*at, "__row.*", F.lit(_HALO).alias(_PART))

@@ -24,12 +24,16 @@ from barloom.operators.quality import (
     report_document,
 )
 from barloom.operators.series import MAX_ROWS, Slices, plan_slices
+from barloom.scratch import settle
 from barloom.sources.files import landing_files, scan_bars_csv, scan_bars_zip, symbol_of
 from barloom.sources.layers import scan_layer, write_layer
 from barloom.sources.manifest import missing_sources
 from barloom.sources.schema import CURATED_SCHEMA, RAW_SCHEMA, REFINED_SCHEMA
 from barloom.spec import BarSpec
 
+# Up to this many symbols a refresh names them in the scan's partition filter.
+MAX_LISTED_SYMBOLS = 1_000
+
 
 class QualityCheckFailed(RuntimeError):
     """The report's status is ``fail``."""
@@ -210,30 +214,42 @@ def refresh_layers(
     read for the halo and the carry only, in a few columns.
     """
     key, month = spec.key, spec.month
-    raw = scan_layer(spark, paths.raw, RAW_SCHEMA)
+    changed = settle(changed.select(key, month).distinct())
+    first = changed.agg(F.min(month)).first()[0]
+    raw = _of_symbols(scan_layer(spark, paths.raw, RAW_SCHEMA), changed, spec)
     times = _valid_times(raw, spec, reject_nan)
-    hits = changed.select(key, month).distinct().withColumn("hit", F.lit(True))
-    months = times.select(key, month).distinct().unionByName(hits, allowMissingColumns=True)
+    hits = changed.withColumn("hit", F.lit(True))
+    later = times.where(F.col(month) >= first).select(key, month).distinct()
     along = Window.partitionBy(key).orderBy(month)
     touched = (
-        months.groupBy(key, month)
+        later.unionByName(hits, allowMissingColumns=True)
+        .groupBy(key, month)
         .agg(F.max("hit").alias("hit"))
         .withColumn("after", F.lag("hit").over(along))
         .where(F.coalesce("hit", "after"))
         .select(key, month)
     )
-    bars = clean_bars(raw.join(touched, [key, month], "left_semi"), spec, reject_nan)
+    own = raw.where(F.col(month) >= first).join(settle(touched), [key, month], "left_semi")
     slices = _by_month(plan_slices(raw, spec, max_rows, column=month), spec)
-    write_layer(detect_time_gaps(bars, spec, slices, times=times), paths.refined, spec)
+    write_layer(detect_time_gaps(clean_bars(own, spec, reject_nan), spec, slices, times=times), paths.refined, spec)
 
-    refined = scan_layer(spark, paths.refined, REFINED_SCHEMA)
+    refined = _of_symbols(scan_layer(spark, paths.refined, REFINED_SCHEMA), changed, spec)
     since = changed.groupBy(key).agg(F.min(month).alias("since"))
-    later = refined.select(key, month).distinct().join(since, key).where(F.col(month) >= F.col("since"))
+    following = refined.select(key, month).distinct().join(since, key).where(F.col(month) >= F.col("since"))
+    months = settle(following.select(key, month))
     slices = _by_month(plan_slices(refined, spec, max_rows, column=month), spec)
-    bars = curated_bars(refined, spec, slices=slices, months=later.select(key, month), exact_scale=exact_scale)
+    bars = curated_bars(refined, spec, slices=slices, months=months, exact_scale=exact_scale)
     write_layer(bars, paths.curated, spec)
 
 
+def _of_symbols(layer: DataFrame, changed: DataFrame, spec: BarSpec) -> DataFrame:
+    """The changed symbols' partitions. A short list is a literal, by which the scan is pruned."""
+    symbols = changed.select(spec.key).distinct()
+    if symbols.count() > MAX_LISTED_SYMBOLS:
+        return layer.join(symbols, spec.key, "left_semi").select(*layer.columns)
+    return layer.where(F.col(spec.key).isin([row[0] for row in symbols.collect()]))
+
+
 def _by_month(slices: Slices, spec: BarSpec) -> Slices:
     """Months as slices also where the series are short: their past is then not read in full."""
     return Slices(column=spec.month, max_rows=slices.max_rows) if slices.whole else slices

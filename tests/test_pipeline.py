@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.testing import assertDataFrameEqual
 
 from barloom.operators.clean import clean_bars, detect_time_gaps
+from barloom.operators.metrics import curated_bars
 from barloom.operators.series import Slices
+from barloom.plans import pipeline
 from barloom.plans.pipeline import (
     LayerPaths,
     QualityCheckFailed,
@@ -117,8 +119,9 @@ def test_refined_is_raw_less_what_was_dropped(spark, paths):
     assert scan_layer(spark, paths.refined, REFINED_SCHEMA).count() == 122
 
 
-@pytest.mark.parametrize("gone", [False, True])
-def test_refresh_equals_a_full_rebuild(spark, paths, gone):
+@pytest.mark.parametrize("gone, listed", [(False, 1000), (True, 1000), (False, 0)])
+def test_refresh_equals_a_full_rebuild(spark, paths, gone, listed, monkeypatch):
+    monkeypatch.setattr(pipeline, "MAX_LISTED_SYMBOLS", listed)
     land(Path(paths.landing), "AAA")
     land(Path(paths.landing), "BBB", seed=2)
     ingest_bars(spark, paths.landing, paths.raw)
@@ -143,6 +146,16 @@ def test_refresh_equals_a_full_rebuild(spark, paths, gone):
     assert {p: p.stat().st_mtime_ns for p in Path(paths.curated).glob("symbol=BBB/*/*.parquet")} == untouched
 
 
+def test_chosen_months_prune_the_scan(spark, paths):
+    land(Path(paths.landing), "AAA")
+    ingest_bars(spark, paths.landing, paths.raw)
+    refined = build_refined(spark, paths.raw, paths.refined, DAILY)
+    months = refined.where("year_month >= '2024-03'").select("symbol", "year_month").distinct()
+    plan = curated_bars(refined, DAILY, slices=Slices(column="year_month"), months=months)
+    scan = next(x for x in plan._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in x)
+    assert ">= 2024-03" in scan.split("PartitionFilters")[1].split("]")[0]
+
+
 def test_whole_slices_are_replaced_for_a_refresh():
     from barloom.plans.pipeline import _by_month
 
