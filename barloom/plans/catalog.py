@@ -128,11 +128,10 @@ def _unify(spark, sf_dir):
 
 @_query("scan_layer")
 def _scan_layer(spark, sf_dir):
-    """Two columns of one symbol: the scan reads its partitions and these columns only."""
+    """A layer's root, all its symbols; the scan reads the named columns only."""
     path = scratch_dir(spark)
     write_layer(daily_raw(spark, sf_dir), path, cluster=True)
-    layer = scan_layer(spark, path, RAW_SCHEMA).where(F.col("symbol") == "R-F")
-    return layer.select("symbol", "year_month", "open_time", "close")
+    return scan_layer(spark, path, RAW_SCHEMA).select("symbol", "year_month", "open_time", "close")
 
 
 @_query("tag_symbol")

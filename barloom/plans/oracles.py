@@ -200,7 +200,7 @@ SELECT * FROM manifest m WHERE NOT EXISTS (
         "unify_symbols": f"WITH {_HOURLY}, {_DAILY}\nSELECT * FROM hourly UNION ALL BY NAME SELECT * FROM daily",
         "scan_layer": daily
         + """SELECT symbol, strftime(epoch_ms(open_time), '%Y') AS year_month, open_time, close
-FROM daily WHERE symbol = 'R-F'""",
+FROM daily""",
         "tag_symbol": hourly + "SELECT * REPLACE ('ALL' AS symbol) FROM hourly",
         "write_layer": raw + "SELECT * FROM raw",
         "normalize_epoch_ms": """
