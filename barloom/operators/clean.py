@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from barloom.functions.epoch import int_div
 from barloom.functions.rules import valid_bar
+from barloom.operators.repeats import split_by_repeats
 from barloom.operators.series import Slices, over_series
 from barloom.spec import BarSpec
 
@@ -33,6 +34,18 @@ def dedup_bars(df: DataFrame, spec: BarSpec = BarSpec(), order: Sequence[str] |
     return dedup_rows(df, [spec.key, spec.time], order)
 
 
+def dedup_repeated_bars(
+    df: DataFrame, spec: BarSpec = BarSpec(), order: Sequence[str] | None = None
+) -> DataFrame:
+    """The same rows as ``dedup_bars``, for tables in which few bars or none repeat.
+
+    Only rows from spans with a repeat are aggregated; all others go on without a shuffle.
+    """
+    suspect, single = split_by_repeats(df, spec)
+    deduped = dedup_bars(suspect, spec, order)
+    return deduped if single is None else single.unionByName(deduped)
+
+
 def filter_invalid_bars(df: DataFrame, spec: BarSpec = BarSpec(), reject_nan: bool = True) -> DataFrame:
     """Keep usable bars."""
     return df.where(valid_bar(spec, reject_nan))
@@ -68,11 +81,14 @@ def clean_bars(
     spec: BarSpec = BarSpec(),
     reject_nan: bool = True,
     dedup_first: bool = False,
+    few_repeated: bool = False,
 ) -> DataFrame:
     """Filter, then de-duplicate, so a broken copy never wins over a sound one.
 
     ``dedup_first=True`` swaps the two: a key whose surviving copy is broken is then lost.
+    ``few_repeated=True`` looks for repeated bars first and aggregates only these.
     """
+    dedup = dedup_repeated_bars if few_repeated else dedup_bars
     if dedup_first:
-        return filter_invalid_bars(dedup_bars(df, spec), spec, reject_nan)
-    return dedup_bars(filter_invalid_bars(df, spec, reject_nan), spec)
+        return filter_invalid_bars(dedup(df, spec), spec, reject_nan)
+    return dedup(filter_invalid_bars(df, spec, reject_nan), spec)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from barloom.functions.epoch import int_div
 from barloom.functions.rules import drop_reason, invalid_price
+from barloom.operators.repeats import split_by_repeats
 from barloom.scratch import settle
 from barloom.spec import BarSpec
 
@@ -138,14 +139,15 @@ def out_of_bounds_count(df: DataFrame, bounds: Mapping[str, tuple[float, float]]
 def quality_profile(df: DataFrame, spec: BarSpec = BarSpec()) -> DataFrame:
     """One row per key with all the figures the report needs.
 
-    Two scans: one reduced on the map side to a row per key, and one of only (key, time) for
-    the duplicates.
+    Two scans: one reduced on the map side to a row per key, and one of only (key, time) to find
+    where there may be duplicates, which runs as a job. Only the rows there are grouped.
     """
     aggs = [*_extent(spec), *_null_aggs(df, spec), F.count_if(invalid_price(spec, df.columns)).alias("invalid")]
     if _GAP in df.columns:
         aggs += _gap_aggs()
     figures = df.groupBy(spec.key).agg(*aggs)
-    duplicated = duplicate_keys(df, spec).groupBy(spec.key).agg(F.count("*").alias("duplicates"))
+    suspect, _ = split_by_repeats(df.select(spec.key, spec.time), spec)
+    duplicated = duplicate_keys(suspect, spec).groupBy(spec.key).agg(F.count("*").alias("duplicates"))
     first, last = f"min_{spec.time}", f"max_{spec.time}"
     sums = [c for c in figures.columns if c not in (spec.key, first, last)]
     both = figures.unionByName(duplicated, allowMissingColumns=True).groupBy(spec.key)

@@ -193,6 +193,11 @@ def _dedup(spark, sf_dir):
     return _epochs_instead_of_timestamps(clean.dedup_bars(dirty_bars(spark, sf_dir)))
 
 
+@_query("dedup_repeated_bars")
+def _dedup_repeated(spark, sf_dir):
+    return _epochs_instead_of_timestamps(clean.dedup_repeated_bars(dirty_bars(spark, sf_dir)))
+
+
 @_query("clean_bars")
 def _clean_bars(spark, sf_dir):
     return _epochs_instead_of_timestamps(_clean(spark, sf_dir))

@@ -219,6 +219,7 @@ SELECT * EXCLUDE (copy) FROM (
     l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS copy
   FROM lineitem) WHERE copy = 1""",
         "dedup_bars": raw + _first_copy("raw"),
+        "dedup_repeated_bars": raw + _first_copy("raw"),
         "clean_bars": clean + "SELECT * FROM clean",
         "detect_time_gaps": refined + f"SELECT {gap_columns} FROM refined",
         "detect_time_gaps_sliced": refined + f"SELECT {gap_columns} FROM refined",

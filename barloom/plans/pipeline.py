@@ -96,12 +96,12 @@ def build_refined(
     dedup_first: bool = False,
     max_rows: int = MAX_ROWS,
 ) -> DataFrame:
-    """Raw to refined: two shuffles of the wide rows, one to de-duplicate and one for the gaps.
+    """Raw to refined: one shuffle of the wide rows, for the gaps; another of those near repeats.
 
-    The second leaves every (symbol, month) together, so the write needs none.
+    It leaves every (symbol, month) together, so the write needs none.
     """
     raw = scan_layer(spark, raw_path, RAW_SCHEMA)
-    bars = clean_bars(raw, spec, reject_nan, dedup_first)
+    bars = clean_bars(raw, spec, reject_nan, dedup_first, few_repeated=True)
     slices = plan_slices(raw, spec, max_rows, column=spec.month)
     # Copies do not change which times there are, so a slice's last time can be had without
     # de-duplicating first, unless broken copies may win.
@@ -231,7 +231,8 @@ def refresh_layers(
     )
     own = raw.where(F.col(month) >= first).join(settle(touched), [key, month], "left_semi")
     slices = _by_month(plan_slices(raw, spec, max_rows, column=month), spec)
-    write_layer(detect_time_gaps(clean_bars(own, spec, reject_nan), spec, slices, times=times), paths.refined, spec)
+    bars = clean_bars(own, spec, reject_nan, few_repeated=True)
+    write_layer(detect_time_gaps(bars, spec, slices, times=times), paths.refined, spec)
 
     refined = _of_symbols(scan_layer(spark, paths.refined, REFINED_SCHEMA), changed, spec)
     since = changed.groupBy(key).agg(F.min(month).alias("since"))
