@@ -64,9 +64,10 @@ def source_manifest(spark: SparkSession, config: Mapping[str, Any]) -> DataFrame
 
 
 def missing_sources(manifest: DataFrame, present: DataFrame) -> DataFrame:
-    """Sources of the manifest without a (symbol, year_month) in ``present``."""
-    month = F.format_string("%04d-%02d", "year", "month")
-    have = present.select("symbol", "year_month").distinct()
-    return manifest.withColumn("year_month", month).join(have, ["symbol", "year_month"], "left_anti").select(
-        *manifest.columns
-    )
+    """Sources of the manifest without a (symbol, year_month) in ``present``.
+
+    Where ``present`` tells the interval, that must agree too.
+    """
+    keys = [c for c in ("symbol", "interval", "year_month") if c in present.columns]
+    wanted = manifest.withColumn("year_month", F.format_string("%04d-%02d", "year", "month"))
+    return wanted.join(present.select(*keys).distinct(), keys, "left_anti").select(*manifest.columns)

@@ -23,7 +23,8 @@ def test_a_sound_grid_has_no_suspects(bars):
 
 def test_repeats_are_found_in_their_span(bars):
     far = 10 * SPAN + 50
-    df = bars(("A", 0, 1.0), ("A", 10, 1.0), ("A", far, 1.0), ("A", far, 2.0), ("B", far, 1.0), ("A", -10, 1.0), ("A", -10, 3.0))
+    repeated = [("A", far, 1.0), ("A", far, 2.0), ("A", -10, 1.0), ("A", -10, 3.0)]
+    df = bars(("A", 0, 1.0), ("A", 10, 1.0), ("B", far, 1.0), *repeated)
     assert spans(df) == [("A", -1), ("A", 1)]
     suspect, single = split_by_repeats(df, GRID)
     assert (suspect.count(), single.count()) == (4, 3)

@@ -44,6 +44,8 @@ def test_missing_sources(spark):
     manifest = source_manifest(spark, {"source": {"symbol": "A", "end_month": 3}})
     present = spark.createDataFrame([("A", "2023-02"), ("B", "2023-01")], "symbol string, year_month string")
     assert sorted(r.month for r in missing_sources(manifest, present).collect()) == [1, 3]
+    hourly = present.withColumn("interval", F.lit("1h"))
+    assert sorted(r.month for r in missing_sources(manifest, hourly).collect()) == [1, 2, 3]
 
 
 def test_file_names(spark):
