@@ -143,10 +143,12 @@ def train_languages(
     their id. Null languages and null ids are left out. Of more than ``languages`` the most frequent are learned."""
     rows = documents.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"), F.col(f"`{lang_col}`").cast("string").alias("lang"))
     known = rows.where("lang is not null and id is not null and text is not null")
-    common = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(languages).select("lang")
+    common = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(languages)
     first = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    # Ids first: only the texts of the sample are carried further. The broadcast has languages x rows_per_language rows at most.
-    chosen = known.select("lang", "id").join(F.broadcast(common), "lang").withColumn("turn", F.row_number().over(first)).where(F.col("turn") <= rows_per_language)
+    # Ids first: only the texts of the sample are carried further. A threshold on the hash leaves about four times
+    # as many ids as are wanted, however frequent a language is; the broadcast has languages x rows_per_language rows at most.
+    near = known.select("lang", "id").join(F.broadcast(common), "lang").where(F.pmod(F.xxhash64("id"), F.lit(1 << 31)) * F.col("n") < float(4 * rows_per_language * (1 << 31)))
+    chosen = near.withColumn("turn", F.row_number().over(first)).where(F.col("turn") <= rows_per_language)
     chosen = chosen.select("lang", "id").distinct()
 
     def counted(batches):

@@ -205,7 +205,10 @@ def train_quality(
     )
     totals = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
     order = [F.xxhash64("id"), F.col("id")]
-    parts = [known.where(f"label = {k}").orderBy(*order).limit(rows_per_class) for k in (0, 1)]
+    # A threshold on the hash leaves about four times as many ids as are wanted, however many there are.
+    share = {k: 4.0 * rows_per_class / max(totals.get(k, 0), 1) * (1 << 31) for k in (0, 1)}
+    near = {k: known.where((F.col("label") == k) & (F.pmod(F.xxhash64("id"), F.lit(1 << 31)) < share[k])) for k in (0, 1)}
+    parts = [near[k].orderBy(*order).limit(rows_per_class) for k in (0, 1)]
     sample = parts[0].unionByName(parts[1])
     texts = documents.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import language, quality
+from barloom.llm import language, quality, simhash
 from barloom.llm.common import in_fold, read
 
 
@@ -20,6 +20,12 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", F.when(F.col("score") >= 0.3, 1).otherwise(0))
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingles of four words, links of at most four differing bits."""
+    found = simhash.simhash_components(read(spark, sf_dir, "documents"), shingle=4, radius=4, seed=42)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Learned outside the fold that is held out. A text with a letter gets a learned language even where the
     operator rejects it (``rejected``, ``distance``), the most frequent one if it shares no n-gram."""
@@ -41,6 +47,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_quality_classifier,
+        op3_simhash,
         op6_language_id,
     )
 }
