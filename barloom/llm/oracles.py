@@ -2,7 +2,36 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+OP4 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+  FROM documents),
+i AS (
+  SELECT row_number() OVER () AS i, item_id,
+         list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+  FROM benchmark),
+iw AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[s:s + least(len(w), 10) - 1], ' ') AS g
+  FROM i, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS t(s) WHERE len(w) > 0),
+ns AS (SELECT DISTINCT n FROM iw),
+dw AS (
+  SELECT r, s, n, array_to_string(w[s:s + n - 1], ' ') AS g
+  FROM d, ns, unnest(range(1, len(w) - n + 2)) AS t(s)),
+m AS (SELECT r, s, n, item_id FROM dw JOIN iw USING (n, g)),
+hit AS (SELECT r, count(DISTINCT p) AS n_hit FROM m, unnest(range(s, s + n)) AS t(p) GROUP BY r),
+its AS (
+  SELECT r, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item_id FROM m WHERE item_id IS NOT NULL) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (r) LEFT JOIN its USING (r)
+"""
+
+ORACLES: dict[str, str] = {
+    "op4_decontamination": OP4,
+}
 
 
 def oracle_sql() -> dict[str, str]:
