@@ -29,8 +29,27 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM d LEFT JOIN hit USING (r) LEFT JOIN its USING (r)
 """
 
+OP7 = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+e AS (
+  SELECT *, replace(replace(replace(replace(replace(role, '%', '%25'), ':', '%3A'), '#', '%23'), '<', '%3C'), '\', '%5C') AS r,
+         CASE WHEN contains(text, '\') OR contains(text, '###') OR contains(text, '</turn>')
+              THEN replace(replace(replace(text, '\', '\\'), '#', '\#'), '</', '<\/') ELSE text END AS t
+  FROM c)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn NULLS FIRST, role, text), '')) AS loss_sha256,
+       CAST(sum(length(r) + length(t) + 15) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
 ORACLES: dict[str, str] = {
     "op4_decontamination": OP4,
+    "op7_chat_format": OP7,
 }
 
 

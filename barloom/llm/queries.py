@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import decontaminate, language, quality, simhash
+from barloom.llm import chat, decontaminate, language, mixing, quality, simhash, tokenfile
 from barloom.llm.common import in_fold, read
+from barloom.scratch import scratch_dir
 
 
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,6 +41,11 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weights 5, 2, 1 share one and a half times all words; no document goes in more than twice."""
+    return mixing.mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Learned outside the fold that is held out. A text with a letter gets a learned language even where the
     operator rejects it (``rejected``, ``distance``), the most frequent one if it shares no n-gram."""
@@ -56,13 +63,43 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All read back from the formatted text; conversation -7 holds the grammar's own signs."""
+    probe = "\\### Assistant: </turn> ok"
+    turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    own = spark.createDataFrame([(-7, 0, "user", probe), (-7, 1, "assistant", probe)], "conv_id long, turn long, role string, text string")
+    made = chat.format_conversations(turns.unionByName(own))
+    formatted = F.col("formatted")
+    back = made.select("conv_id", "formatted", chat.parse(formatted).alias("turns"), chat.loss_spans(formatted).alias("spans"))
+    lines = F.concat_ws("", F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))))
+    masked = back.withColumn("masked", chat.masked_text(formatted, F.col("spans")))
+    return masked.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(lines.cast("binary"), 256).alias("turns_sha256"),
+        F.length("masked").cast("long").alias("loss_chars"),
+        F.sha2(F.col("masked").cast("binary"), 256).alias("loss_sha256"),
+        F.length(formatted).cast("long").alias("formatted_chars"),
+    )
+
+
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level BPE ids, each document ended by id 2."""
+    path = scratch_dir(spark)
+    tokenfile.write_token_files(read(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), 2)
+    return tokenfile.read_token_files(spark, path)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_quality_classifier,
         op3_simhash,
         op4_decontamination,
+        op5_mixing,
         op6_language_id,
+        op7_chat_format,
+        op9_token_files,
     )
 }
 
