@@ -119,10 +119,10 @@ def mix(
     def copies(start: Column) -> Column:
         return F.floor((F.col("before") + F.col("units") + start) / UNIT) - F.floor((F.col("before") + start) / UNIT)
 
-    starts = [UNIT * k // STARTS for k in range(STARTS)]
-    sums = placed.groupBy("source").agg(F.first("target").alias("t"), *[F.sum(copies(F.lit(k)) * F.col("size")).alias(f"at{k}") for k in starts])
-    errors = F.array(*[F.struct(F.abs(F.col(f"at{k}") - F.col("t")).alias("error"), F.lit(k).alias("start")) for k in starts])
-    best = broadcast_if_small(sums.select(F.col("source").alias("s2"), F.array_min(errors)["start"].alias("start")), _SOURCE_BYTES)
+    starts = F.explode(F.array(*[F.lit(UNIT * k // STARTS) for k in range(STARTS)]))
+    sums = placed.withColumn("start", starts).groupBy("source", "start").agg(F.sum(copies(F.col("start")) * F.col("size")).alias("got"), F.first("target").alias("t"))
+    nearest = sums.groupBy(F.col("source").alias("s2")).agg(F.min(F.struct(F.abs(F.col("got") - F.col("t")).alias("error"), "start"))["start"].alias("start"))
+    best = broadcast_if_small(nearest, _SOURCE_BYTES)
     chosen = placed.join(best, F.col("source").eqNullSafe(F.col("s2"))).withColumn("copies", copies(F.col("start")))
     return chosen.select(
         F.col("__id").alias(id_col),
