@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import chat, decontaminate, language, mixing, quality, simhash, tokenfile
+from barloom.llm import brown, chat, decontaminate, extract, language, mixing, quality, simhash, tokenfile
 from barloom.llm.common import in_fold, read
 from barloom.scratch import scratch_dir
 
@@ -22,6 +22,11 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", F.when(F.col("score") >= 0.3, 1).otherwise(0))
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = extract.extract_main_text(read(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shingles of four words, links of at most four differing bits."""
     found = simhash.simhash_components(read(spark, sf_dir, "documents"), shingle=4, radius=4, seed=42)
@@ -83,6 +88,13 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learned outside the fold that is held out."""
+    documents = read(spark, sf_dir, "documents")
+    found = brown.brown_scores(documents, ~in_fold(F.col("doc_id"), 7, 2))
+    return found.select("doc_id", (~F.col("trained")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids, each document ended by id 2."""
     path = scratch_dir(spark)
@@ -94,11 +106,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_quality_classifier,
+        op2_html_extraction,
         op3_simhash,
         op4_decontamination,
         op5_mixing,
         op6_language_id,
         op7_chat_format,
+        op8_class_lm,
         op9_token_files,
     )
 }
