@@ -148,8 +148,9 @@ def fingerprint_links(distinct: DataFrame, radius: int = 4, tile: int = TILE) ->
 def simhash_components(
     documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None, shingle: int = 4, radius: int = 4, seed: int = 42, tile: int = TILE
 ) -> DataFrame:
-    """One row for each row of ``documents``: its id, the columns ``keep``, ``fp`` (the fingerprint, a signed long) and
-    ``component_id``, the smallest id among the rows that links of at most ``radius`` differing bits reach.
+    """One row for each row of ``documents``: its id, the columns ``keep``, ``fp`` (the fingerprint, a signed long),
+    ``root`` (a fingerprint that names the component) and ``component_id``, the smallest id among the rows that links of at
+    most ``radius`` differing bits reach.
 
     Repeated rows and repeated ids stay rows of their own. Null and empty texts have fingerprint 0
     and link like any other. ``component_id`` passes over null ids, and is null if a component has no other.
@@ -158,7 +159,7 @@ def simhash_components(
     smallest = rows.groupBy("fp").agg(F.min(F.col(f"`{id_col}`")).alias("__least"))
     known = settle(smallest)
     roots = settle(connected_components(fingerprint_links(known.select("fp"), radius, tile)))
-    member = known.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("__root"), "__least")
-    named = member.groupBy("__root").agg(F.min("__least").alias("component_id"))
-    of_fp = member.join(named, "__root").select("fp", "component_id")
+    member = known.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "__least")
+    named = member.groupBy("root").agg(F.min("__least").alias("component_id"))
+    of_fp = member.join(named, "root").select("fp", "root", "component_id")
     return rows.join(of_fp, "fp")
