@@ -68,6 +68,11 @@ def token_counts(texts: DataFrame) -> DataFrame:
     return texts.select("text").mapInArrow(work, "word binary, n long").groupBy("word").agg(F.sum("n").alias("c"))
 
 
+def _slices(batch: pa.RecordBatch, rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    for k in range(0, batch.num_rows, rows):
+        yield batch.slice(k, rows)
+
+
 def type_sequence(words: list[bytes], frequent: dict[bytes, int], shapes: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     """The types of tokens, the frequent words' numbers (-1 for others) and the other words. The end is number 0."""
     numbers = np.array([frequent.get(w, -1) for w in words], np.int32)
@@ -219,7 +224,7 @@ def brown_scores(documents: DataFrame, trained: Column, id_col: str = "doc_id",
         numbers_of, shape_of = shared.value
         state, log_count, is_known, in_type, unknown = local.value
         scorer = ClassModel(**state)
-        for batch in batches:
+        for batch in (part for whole in batches for part in _slices(whole)):
             out: list[list] = [[], [], [], [], [], []]
             for text in batch.column("text").to_pylist():
                 words = tokens(text)

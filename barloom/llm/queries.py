@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import brown, chat, decontaminate, extract, language, mixing, quality, simhash, tokenfile
+from barloom.llm import brown, chat, decontaminate, extract, language, mixing, quality, search, simhash, tokenfile
 from barloom.llm.common import in_fold, read
 from barloom.scratch import scratch_dir
 
@@ -102,6 +102,11 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.read_token_files(spark, path)
 
 
+def op10_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for the whole text of each document whose id is divisible by 20."""
+    return search.top_k(read(spark, sf_dir, "documents"), F.col("doc_id") % 20 == 0, k=10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -114,6 +119,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op7_chat_format,
         op8_class_lm,
         op9_token_files,
+        op10_top_k_search,
     )
 }
 
