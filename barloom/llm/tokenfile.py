@@ -13,10 +13,13 @@ reads both, so they can be in any store that Spark knows.
 
 from __future__ import annotations
 
-import re
+import json
 import struct
+import sys
+import types
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import filterfalse, islice
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +27,7 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from barloom.llm.common import broadcast_if_small
 
@@ -33,27 +37,38 @@ HEADER = "<4sHHQI"
 SHARD_DOCS, SHARD_BYTES = 4096, 4 << 20
 #: Documents that train the dictionary, bytes of each that it looks at, bytes of the dictionary.
 SAMPLE_DOCS, SAMPLE_BYTES, DICTIONARY_BYTES = 1000, 16 << 10, 64 << 10
-#: Pieces of text whose ids a task remembers, and their longest.
-MEMO, MEMO_CHARS = 400_000, 64
+#: Pieces of text whose ids a worker process remembers, those it keeps when there are more, and their longest.
+MEMO, MEMO_KEPT, MEMO_CHARS = 400_000, 60_000, 64
+#: Characters of the texts that are encoded at once, at least.
+CHUNK_CHARS = 1 << 20
+#: Signs that a byte-level tokenizer parts from a letter or digit before them.
+TAIL = ".,!?*#$%&:;|"
+#: White space other than blank and line feed.
+SPACES = [chr(c) for c in range(0x3001) if chr(c).isspace() and chr(c) not in " \n"]
 SHARD_SCHEMA = "part int, seq int, docs long, tokens long, payload binary"
 
 
-def _regular() -> re.Pattern:
-    """White space other than single blanks and line feeds between other characters."""
-    return re.compile(r"\A\s|\s\Z|\s\s|[^\S \n]")
+def _remembered(name: str) -> dict[str, bytes]:
+    """A memory that lives as long as the worker process, which runs many tasks."""
+    kept = sys.modules.setdefault("barloom_token_memory", types.ModuleType("barloom_token_memory"))
+    return kept.__dict__.setdefault(name, {})
+
+
+def byte_signs() -> dict[int, str]:
+    """The sign that a byte-level vocabulary writes for each byte: itself where it prints, else those from 256 on."""
+    prints = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [x for x in range(256) if x not in set(prints)]
+    return {x: chr(x) for x in prints} | {x: chr(256 + k) for k, x in enumerate(rest)}
 
 
 def encoder(tokenizer_path: str, end_id: int) -> Callable[[list[str]], list[np.ndarray]]:
     """A function from texts to their ids, each with ``end_id`` at the end.
 
     A byte-level tokenizer cuts a text before each single blank and around each single line feed between other
-    characters, so those pieces are encoded once and remembered. Texts with any other white space go to the
-    tokenizer whole, and so do all texts if the tokenizer is of another kind.
+    characters, and between a letter or digit and the signs of ``TAIL`` that end a piece; so the pieces are encoded
+    once and remembered. Texts with any other white space go to the tokenizer whole, and so do all
+    texts if the tokenizer is of another kind.
     """
-    import json
-
-    from tokenizers import Tokenizer
-
     tokenizer = Tokenizer.from_file(tokenizer_path)
     tokenizer.encode_special_tokens = True
     tokenizer.no_truncation()
@@ -61,47 +76,99 @@ def encoder(tokenizer_path: str, end_id: int) -> Callable[[list[str]], list[np.n
     before = made.get("pre_tokenizer") or {}
     # The settings under which the cuts above are cuts of the tokenizer too.
     by_piece = before.get("type") == "ByteLevel" and before.get("use_regex") is True and before.get("add_prefix_space") is False and made.get("normalizer") is None
-    odd = _regular()
-    memo: dict[str, bytes] = {}
+    memo = _remembered(f"{tokenizer_path} {zlib.crc32(tokenizer.to_str().encode())}")
     end = np.array([end_id], "<u4").tobytes()
 
     def whole(texts: list[str]) -> list[bytes]:
         return [np.array(x.ids, "<u4").tobytes() for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    line_feed = whole(["\n"])[0]
+    signs = byte_signs()
+    # The same model behind a cut at line feeds only: words of letters, already written in its signs, in one long text.
+    cutting = {"type": "Split", "pattern": {"String": signs[0x0A]}, "behavior": "Isolated", "invert": False}
+    by_line = Tokenizer.from_str(json.dumps(made | {"pre_tokenizer": cutting, "added_tokens": [], "post_processor": None})) if by_piece else None
+    mark = int(np.frombuffer(line_feed, "<u4")[0])
+
+    def learn_words(keys: list[str]) -> None:
+        """Learn words of letters, each after a blank."""
+        text = "\n ".join(["", *keys]).encode().decode("latin-1").translate(signs)
+        ids = np.array(by_line.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+        cuts = (4 * np.flatnonzero(ids == mark)).tolist()
+        raw = ids.tobytes()
+        memo.update(zip(keys, [raw[a + 4 : b] for a, b in zip(cuts, [*cuts[1:], len(raw)], strict=True)], strict=True))
+
+    # A key of the memory is a piece after a blank; one after a line feed starts with that, one after nothing with a return.
+    def units(key: str) -> tuple[bytes, str, str | None]:
+        """What stands before a piece, and its one or two parts, as keys."""
+        lead = b""
+        if key[0] == "\n":
+            lead, key = line_feed, "\r" + key[1:]
+        core = key.rstrip(TAIL)
+        if len(core) < len(key) and core and core[-1].isalnum():
+            return lead, core, "\r" + key[len(core) :]
+        return lead, key, None
+
+    def learn(missing: set[str]) -> None:
+        words = {key for key in missing if key.isalpha()}
+        made_of = {key: units(key) for key in missing - words}
+        parts = {part for _, *pair in made_of.values() for part in pair if part and part not in memo}
+        words |= {part for part in parts if part.isalpha()}
+        others = list(parts - words)
+        if words:
+            learn_words(list(words))
+        memo.update(zip(others, whole([x[1:] if x[0] == "\r" else " " + x for x in others]), strict=True))
+        for key, (lead, core, tail) in made_of.items():
+            memo[key] = lead + memo[core] + (memo[tail] if tail else b"")
+
     def encode(texts: list[str]) -> list[np.ndarray]:
-        found: list = [None] * len(texts)
-        irregular = [i for i, x in enumerate(texts) if not by_piece or odd.search(x)]
-        for i, ids in zip(irregular, whole([texts[i] for i in irregular]), strict=True):
-            found[i] = ids
-        cut = {}
-        for i, text in enumerate(texts):
-            if found[i] is None:
-                # A blank before a line feed marks its cut; a piece that starts with one has no blank of its own.
-                cut[i] = text.replace("\n", " \n").split(" ") if text else []
-        new = set()
-        for parts in cut.values():
-            new.update(parts[1:])
-        fresh = [x for x in new if x not in memo]
-        ids = dict(zip(fresh, whole([x if x[:1] == "\n" else " " + x for x in fresh]), strict=True))
-        first = {i: ids for i, ids in zip([i for i in cut if cut[i]], whole([cut[i][0] for i in cut if cut[i]]), strict=True)}
-        room = MEMO - len(memo)
-        if room < len(ids):
+        if len(memo) > MEMO:
+            first = list(islice(memo.items(), MEMO_KEPT))
             memo.clear()
-        get = (memo | ids).__getitem__ if len(memo) < len(ids) else None
-        if get is None:
-            kept = memo.get
-            own = ids.get
-            for i, parts in cut.items():
-                found[i] = (first[i] if parts else b"") + b"".join([kept(x) or own(x) for x in parts[1:]])
-        else:
-            for i, parts in cut.items():
-                found[i] = (first[i] if parts else b"") + b"".join(map(get, parts[1:]))
-        memo.update((k, v) for k, v in ids.items() if len(k) <= MEMO_CHARS) if len(ids) <= MEMO else None
+            memo.update(first)
+        found: list = [b""] * len(texts)
+        pieces: list[str] = []
+        cut, odd = [], []
+        for i, text in enumerate(texts):
+            if not text:
+                continue
+            parts = text.replace("\n", " \n").split(" ")
+            if not by_piece or "" in parts or "\n" in parts or any(c in text for c in SPACES):
+                odd.append(i)
+                continue
+            parts[0] = "\r" + parts[0]
+            cut.append((i, len(pieces), len(pieces) + len(parts)))
+            pieces += parts
+        values = list(map(memo.get, pieces))
+        gaps = [k for k, x in enumerate(values) if x is None]
+        missing = {pieces[k] for k in gaps}
+        learn(missing)
+        for k in gaps:
+            values[k] = memo[pieces[k]]
+        for i, a, b in cut:
+            found[i] = b"".join(values[a:b])
+        for key in missing:
+            if len(key) > MEMO_CHARS:
+                for part in {key, *units(key)[1:]}:
+                    memo.pop(part, None)
+        for i, ids in zip(odd, whole([texts[i] for i in odd]), strict=True):
+            found[i] = ids
         return [np.frombuffer(x + end, "<u4") for x in found]
 
     return encode
 
 
+def in_chunks(texts: list[str], size: int = CHUNK_CHARS) -> Iterator[tuple[int, int]]:
+    """Bounds of stretches of ``texts`` that reach ``size`` characters."""
+    first = held = 0
+    for k, text in enumerate(texts):
+        held += len(text)
+        if held >= size:
+            yield first, k + 1
+            first, held = k + 1, 0
+    if first < len(texts):
+        yield first, len(texts)
+
+
 def dictionary_hash(dictionary: bytes) -> int:
     return xxhash.xxh64_intdigest(dictionary)
 
@@ -164,8 +231,6 @@ def train_dictionary(documents: DataFrame, id_col: str, text_col: str, tokenizer
 def write_token_files(documents: DataFrame, path: str, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Write the ids of all documents below ``path``, by ascending id, null first; a null text is empty. Repeated ids
     follow each other, by their texts. Ids must be integers, and ids of tokens below 2**32."""
-    from tokenizers import Tokenizer
-
     spark = documents.sparkSession
     width = 2 if max(Tokenizer.from_file(tokenizer_path).get_vocab_size(), end_id + 1) <= 1 << 16 else 4
     rows = documents.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
@@ -190,9 +255,9 @@ def write_token_files(documents: DataFrame, path: str, tokenizer_path: str, end_
 
         for batch in batches:
             part = batch.column("part")[0].as_py() if batch.num_rows else part
-            for at in range(0, batch.num_rows, 512):
-                piece = batch.slice(at, 512)
-                for doc_id, ids in zip(piece.column("id").to_pylist(), encode(piece.column("text").to_pylist()), strict=True):
+            doc_ids, texts = batch.column("id").to_pylist(), batch.column("text").to_pylist()
+            for a, b in in_chunks(texts):
+                for doc_id, ids in zip(doc_ids[a:b], encode(texts[a:b]), strict=True):
                     frame = writer.compress(ids.astype(f"<u{width}").tobytes())
                     for x, y in zip(kept, (doc_id, frame, len(ids)), strict=True):
                         x.append(y)
