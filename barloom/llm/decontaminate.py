@@ -61,14 +61,16 @@ def rarest_terms(terms: DataFrame, index: DataFrame, window: int) -> DataFrame:
 
 def alignments(index: DataFrame, terms: DataFrame, window: int, slop: int) -> DataFrame:
     """``row``, ``item``, ``delta``: where an item may stand in a text. The postings of a window's rarest term, less its
-    place, intersected with those of its second rarest, less its own, within ``slop`` places."""
+    place, intersected with those of its second rarest, less its own, each within ``slop`` places."""
+    shifts = F.explode(F.sequence(F.lit(-slop), F.lit(slop)))
     rarest = settle(rarest_terms(terms, index, window))
     first = broadcast_if_small(rarest.select("item", "p1", F.col("term1").alias("term")).distinct(), _TERM_BYTES)
-    found = index.join(first, "term").select("row", "item", "p1", (F.col("pos") - F.col("p1")).alias("delta")).distinct()
+    found = index.join(first, "term").select("row", "item", "p1", F.col("pos"), shifts.alias("shift"))
+    found = found.select("row", "item", "p1", (F.col("pos") - F.col("p1") + F.col("shift")).alias("delta")).distinct()
     pairs = broadcast_if_small(rarest.select("item", "p1", "p2", F.col("term2").alias("term")).distinct(), _TERM_BYTES)
     wanted = found.join(pairs, ["item", "p1"])
     postings = index.join(broadcast_if_small(pairs.select("term").where("term is not null").distinct(), _TERM_BYTES), "term").select("row", "pos", "term")
-    shifted = wanted.where("term is not null").withColumn("shift", F.explode(F.sequence(F.lit(-slop), F.lit(slop))))
+    shifted = wanted.where("term is not null").withColumn("shift", shifts)
     both = shifted.withColumn("pos", F.col("delta") + F.col("p2") + F.col("shift")).join(postings, ["row", "pos", "term"])
     alone = wanted.where("term is null")
     return both.select("row", "item", "delta").unionByName(alone.select("row", "item", "delta")).distinct()
@@ -78,9 +80,8 @@ def window_matches(index: DataFrame, terms: DataFrame, window: int = 10, slop: i
     """The item words that are matched: ``row``, ``item``, ``item_id``, ``pos``, ``phrase`` and ``near``.
 
     ``phrase``: the word lies in a window of consecutive item words that stand one after the other in the text.
-    ``near``: it lies in a window whose words each stand within ``slop`` places of where they
-    belong, when one of the item's rarest terms stands where it belongs; ``pos`` is that place. Rows that are
-    neither are left out.
+    ``near``: it lies in a window whose words each stand within ``slop`` places of where they belong;
+    ``pos`` is that place, for each alignment of the item with the text. Rows that are neither are left out.
     """
     candidates = settle(alignments(index, terms, window, slop))
     in_rows = candidates.select("row").distinct()

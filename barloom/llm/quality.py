@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 #: Bits of the hash of an n-gram.
 BITS = 17
 #: Labelled rows of each class that a fit uses at most.
-ROWS_PER_CLASS = 2000
+ROWS_PER_CLASS = 1000
 
 
 def _signs() -> np.ndarray:
@@ -112,18 +112,15 @@ def dual_coordinate_descent(
 ) -> tuple[np.ndarray, float]:
     """Weights and bias that minimise half the squared weights plus ``cost`` times the hinge losses
     of the unit vectors ``scale[set]``; the bias is the weight of one more constant coordinate."""
-    rows = []
-    for found in sets:
-        values = scale[found]
-        norm = float(np.sqrt((values * values).sum()))
-        rows.append((found, values / norm if norm else values, 2.0 if norm else 1.0))
+    norms = np.array([float(np.sqrt((scale[found] ** 2).sum())) for found in sets])
     signs = np.where(labels == 1, 1.0, -1.0)
     weights, bias, alpha = np.zeros(len(scale)), 0.0, np.zeros(len(sets))
     order = np.random.default_rng(7)
     for _ in range(epochs):
         worst = 0.0
         for i in order.permutation(len(sets)):
-            found, values, square = rows[i]
+            found, square = sets[i], 2.0 if norms[i] else 1.0
+            values = scale[found] / (norms[i] or 1.0)
             slope = signs[i] * (weights[found] @ values + bias) - 1
             projected = min(slope, 0) if alpha[i] == 0 else max(slope, 0) if alpha[i] == cost else slope
             if projected:
@@ -227,8 +224,10 @@ def train_quality(
         .orderBy(F.xxhash64("id"), "id", F.xxhash64("found"))
         .collect()
     )
-    sets = [np.flatnonzero(np.unpackbits(np.frombuffer(r["found"], np.uint8))) for r in rows]
-    return fit_sets(sets, np.array([r["label"] for r in rows], int), (totals.get(0, 0), totals.get(1, 0)), bits)
+    sets = [np.flatnonzero(np.unpackbits(np.frombuffer(r["found"], np.uint8))).astype(np.int32) for r in rows]
+    marks = np.array([r["label"] for r in rows], int)
+    del rows
+    return fit_sets(sets, marks, (totals.get(0, 0), totals.get(1, 0)), bits)
 
 
 def _bitmap(text: str | None, bits: int) -> bytes:

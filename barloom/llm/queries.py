@@ -34,8 +34,8 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Windows of ten words; ``n_near_items`` counts items with a match within one place."""
-    found = decontaminate.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), window=10, slop=1)
+    """Windows of ten words, phrases only."""
+    found = decontaminate.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), window=10, slop=0)
     return found.select(
         "doc_id",
         "n_words",

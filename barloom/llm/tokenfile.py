@@ -87,7 +87,7 @@ def encoder(tokenizer_path: str, end_id: int) -> Callable[[list[str]], list[np.n
     # The same model behind a cut at line feeds only: words of letters, already written in its signs, in one long text.
     cutting = {"type": "Split", "pattern": {"String": signs[0x0A]}, "behavior": "Isolated", "invert": False}
     by_line = Tokenizer.from_str(json.dumps(made | {"pre_tokenizer": cutting, "added_tokens": [], "post_processor": None})) if by_piece else None
-    mark = int(np.frombuffer(line_feed, "<u4")[0])
+    mark = int(np.frombuffer(line_feed, "<u4")[0]) if by_piece else -1
 
     def learn_words(keys: list[str]) -> None:
         """Learn words of letters, each after a blank."""
