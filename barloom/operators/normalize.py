@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,10 +15,10 @@ def tag_symbol(df: DataFrame, symbol: str | Column) -> DataFrame:
     return df.withColumn("symbol", symbol if isinstance(symbol, Column) else F.lit(symbol))
 
 
-def raw_bars(df: DataFrame, symbol: str | Column | None = None) -> DataFrame:
+def raw_bars(df: DataFrame, symbol: str | Column | None = None, keep: Sequence[str] = ()) -> DataFrame:
     """The raw layer's 16 columns from source rows; narrow, no shuffle.
 
-    ``symbol=None`` expects a ``symbol`` column already in place.
+    ``symbol=None`` expects a ``symbol`` column already in place. ``keep`` names further columns to pass on.
     """
     tagged = df if symbol is None else tag_symbol(df, symbol)
     timed = tagged.withColumns(
@@ -40,4 +42,5 @@ def raw_bars(df: DataFrame, symbol: str | Column | None = None) -> DataFrame:
         "num_trades",
         "taker_buy_base",
         "taker_buy_quote",
+        *keep,
     )

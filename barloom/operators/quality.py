@@ -22,8 +22,6 @@ from barloom.spec import BarSpec
 FAIL_BELOW = 0.90
 WARN_BELOW = 0.98
 
-MAX_INLINE_KEYS = 50_000
-
 _GAP, _HAS_GAP = "gap_minutes_before", "has_gap_before"
 
 
@@ -238,43 +236,48 @@ def report_document(
     reconciliation: DataFrame | None = None,
     spec: BarSpec = BarSpec(),
     require_rows: bool = False,
-    inline: bool = True,
+    skipped: Sequence[str] = (),
 ) -> DataFrame:
-    """The nested report, one row.
+    """The report, one row of totals whatever the number of keys; ``report_sections`` has the figures per key.
 
-    ``inline=False`` leaves the per-key lists null, for tables with very many keys: the sections
-    are then to be had as tables.
+    ``skipped`` are the key fields that the table does not have. Totals of a section that is not given are null.
     """
-    key_type = profile.schema[spec.key].dataType.simpleString()
-    figures = {
-        "completeness": profile.select(*_completeness_columns(spec)).schema.simpleString(),
-        "continuity": f"struct<{spec.key}:{key_type},total_missing_minutes:bigint,gap_events:bigint>",
-        "reconciliation": f"struct<{spec.key}:{key_type},raw_rows:bigint,refined_rows:bigint,dropped_rows:bigint>",
-    }
-    sections = {
-        "completeness": completeness_section(profile, spec),
-        "continuity": continuity_section(profile, spec),
-        "reconciliation": reconciliation,
-    }
-    given = {name: s for name, s in sections.items() if s is not None and inline}
-    parts = [profile.agg(*_summary_aggs(profile))]
-    parts += [s.agg(F.sort_array(F.collect_list(F.struct(*s.columns))).alias(name)) for name, s in given.items()]
+    missing = [_total(c).alias(c) for c in ("total_missing_minutes", "gap_events") if c in profile.columns]
+    parts = [profile.agg(*_summary_aggs(profile), F.count("*").alias("keys"), *missing)]
+    counts = ["raw_rows", "refined_rows", "dropped_rows"]
+    if reconciliation is not None:
+        parts.append(reconciliation.agg(*[_total(c).alias(c) for c in counts]))
     # One-row tables side by side, without a cross join.
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     row = stacked.agg(*[F.first(c, ignorenulls=True).alias(c) for c in stacked.columns])
 
-    def listed(name: str) -> Column:
-        absent = F.array() if inline else F.lit(None)
-        return (F.col(name) if name in given else absent).cast(f"array<{figures[name]}>").alias(name)
+    def given(name: str) -> Column:
+        return (F.col(name) if name in stacked.columns else F.lit(None).cast("long")).alias(name)
 
     return row.select(
         "row_count",
         F.struct("null_counts", "total_nulls", "invalid_price_count", "duplicate_count").alias("validity"),
-        *[listed(name) for name in sections],
+        F.struct("keys", F.col("min_ratio").alias("min_ratio")).alias("completeness"),
+        F.struct(given("total_missing_minutes"), given("gap_events")).alias("continuity"),
+        F.struct(*[given(c) for c in counts]).alias("reconciliation"),
+        F.array(*[F.lit(c) for c in skipped]).cast("array<string>").alias("skipped_fields"),
         _status(require_rows).alias("status"),
     )
 
 
+def report_sections(
+    df: DataFrame, raw: DataFrame | None = None, refined: DataFrame | None = None, spec: BarSpec = BarSpec()
+) -> dict[str, DataFrame]:
+    """The figures per key: completeness, continuity where the table has gaps, reconciliation where both layers are given."""
+    profile = settle(quality_profile(df, spec))
+    found = {
+        "completeness": completeness_section(profile, spec),
+        "continuity": continuity_section(profile, spec),
+        "reconciliation": None if raw is None or refined is None else reconcile_counts(raw, refined, spec),
+    }
+    return {name: section for name, section in found.items() if section is not None}
+
+
 def quality_report(
     df: DataFrame,
     raw: DataFrame | None = None,
@@ -282,16 +285,7 @@ def quality_report(
     spec: BarSpec = BarSpec(),
     require_rows: bool = False,
 ) -> DataFrame:
-    """The nested report of a table; reconciliation is empty unless both layers are given.
-
-    The per-key figures are written to scratch first: the report reads them several times, and
-    lists the keys only while there are at most ``MAX_INLINE_KEYS``.
-    """
+    """The report of a table, one row; the reconciliation's totals are null unless both layers are given."""
     profile = settle(quality_profile(df, spec))
     compared = None if raw is None or refined is None else settle(reconcile_counts(raw, refined, spec))
-    return report_document(profile, compared, spec, require_rows, lists_fit(profile))
-
-
-def lists_fit(profile: DataFrame) -> bool:
-    """Whether the keys are few enough to list them all in the one row of a report."""
-    return profile.count() <= MAX_INLINE_KEYS
+    return report_document(profile, compared, spec, require_rows, skipped_fields(df, spec))

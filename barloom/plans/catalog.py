@@ -30,7 +30,7 @@ from barloom.scratch import scratch_dir, settle
 from barloom.sources.files import bars_from_archives, scan_bars_csv, symbol_of
 from barloom.sources.layers import scan_layer, unify_symbols, write_layer
 from barloom.sources.manifest import expand_months, missing_sources
-from barloom.sources.schema import BAR_SCHEMA, CURATED_SCHEMA, RAW_SCHEMA
+from barloom.sources.schema import BAR_SCHEMA, CURATED_SCHEMA, RAW_SCHEMA, REFINED_SCHEMA
 from barloom.spec import BarSpec
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -345,8 +345,8 @@ def _status_of(report: DataFrame, *also: str) -> DataFrame:
         "validity.total_nulls",
         "validity.invalid_price_count",
         "validity.duplicate_count",
-        F.size("completeness").cast("long").alias("keys"),
-        F.array_min(F.col("completeness.completeness_ratio")).alias("min_ratio"),
+        "completeness.keys",
+        "completeness.min_ratio",
         *also,
         "status",
     )
@@ -367,9 +367,9 @@ def _report(spark, sf_dir):
     raw = dirty_bars(spark, sf_dir)
     refined = clean.detect_time_gaps(_clean(spark, sf_dir))
     report = quality.quality_report(refined, raw, refined)
-    dropped = F.aggregate("reconciliation", F.lit(0).cast("long"), lambda a, r: a + r["dropped_rows"])
-    missing = F.aggregate("continuity", F.lit(0).cast("long"), lambda a, r: a + r["total_missing_minutes"])
-    report = report.withColumns({"dropped_rows": dropped, "missing_minutes": missing})
+    report = report.withColumns(
+        {"dropped_rows": F.col("reconciliation.dropped_rows"), "missing_minutes": F.col("continuity.total_missing_minutes")}
+    )
     return _status_of(report, "dropped_rows", "missing_minutes")
 
 
@@ -466,3 +466,53 @@ def _refresh(spark, sf_dir):
     pipeline.refresh_layers(spark, paths, changed, DAILY, exact_scale=SCALE)
     curated = _rounded(scan_layer(spark, paths.curated, CURATED_SCHEMA))
     return curated.select(*_GAP_COLUMNS, "close", *CURATED_SCHEMA.names[-6:])
+
+
+def _lost(bars: DataFrame) -> Column:
+    return (F.col("symbol") == "N-F") & (F.col("year_month") == "1998")
+
+
+def _layers_before_loss(spark: SparkSession, sf_dir: str) -> tuple[pipeline.LayerPaths, DataFrame]:
+    """Layers of sound bars, whose raw layer then has a (symbol, month) without a valid bar."""
+    root = scratch_dir(spark)
+    paths = pipeline.LayerPaths("", *[f"{root}/{layer}" for layer in ("raw", "refined", "curated", "quality")])
+    bars = settle(daily_raw(spark, sf_dir))
+    write_layer(bars, paths.raw)
+    pipeline.build_refined(spark, paths.raw, paths.refined, DAILY)
+    pipeline.build_curated(spark, paths.refined, paths.curated, DAILY, exact_scale=SCALE)
+    write_layer(bars.where(_lost(bars)).withColumn("close", F.lit(-1.0)), paths.raw)
+    return paths, bars
+
+
+def _after_loss(spark: SparkSession, paths: pipeline.LayerPaths) -> DataFrame:
+    """The curated layer, and the rows that reconciliation says were dropped."""
+    raw, refined = scan_layer(spark, paths.raw, RAW_SCHEMA), scan_layer(spark, paths.refined, REFINED_SCHEMA)
+    curated = scan_layer(spark, paths.curated, CURATED_SCHEMA)
+    dropped = settle(quality.reconcile_counts(raw, refined, DAILY).select("symbol", "dropped_rows"))
+    return curated.join(dropped, "symbol").select(*_GAP_COLUMNS, "close", "dropped_rows")
+
+
+@_query("rebuild_after_loss")
+def _rebuild_after_loss(spark, sf_dir):
+    paths, _ = _layers_before_loss(spark, sf_dir)
+    pipeline.build_refined(spark, paths.raw, paths.refined, DAILY)
+    pipeline.build_curated(spark, paths.refined, paths.curated, DAILY, exact_scale=SCALE)
+    return _after_loss(spark, paths)
+
+
+@_query("refresh_after_loss")
+def _refresh_after_loss(spark, sf_dir):
+    paths, bars = _layers_before_loss(spark, sf_dir)
+    changed = bars.where(_lost(bars)).select("symbol", "year_month").distinct()
+    pipeline.refresh_layers(spark, paths, changed, DAILY, exact_scale=SCALE)
+    return _after_loss(spark, paths)
+
+
+@_query("invalid_price_not_finite")
+def _not_finite(spark, sf_dir):
+    """Closes that are no numbers, and infinite ones: how many count as invalid, and the status."""
+    bars = daily_bars(spark, sf_dir)
+    day = F.col("open_time") / DAY_MS
+    close = F.when(day % 11 == 0, float("nan")).when(day % 13 == 0, float("inf")).otherwise(F.col("close"))
+    broken = settle(bars.withColumn("close", close))
+    return quality.quality_summary(quality.quality_profile(broken, DAILY)).select("row_count", "invalid_price_count", "status")

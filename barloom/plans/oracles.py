@@ -183,6 +183,14 @@ manifest AS (
   FROM (SELECT symbol, '1m' AS "interval", unnest(range(first, last + 1)) AS m FROM ranges))"""
 
 
+def _after_loss(gap_columns: str) -> str:
+    lost = "symbol = 'N-F' AND open_time >= 883612800000 AND open_time < 915148800000"
+    return f"""WITH {_DAILY}, kept AS (SELECT * FROM daily WHERE NOT ({lost})), refined AS ({_gaps('kept', 86_400_000)})
+SELECT {gap_columns}, close,
+  CASE WHEN symbol = 'N-F' THEN (SELECT count(*) FROM daily WHERE {lost}) ELSE 0 END AS dropped_rows
+FROM refined"""
+
+
 def oracle_sql() -> dict[str, str]:
     hourly, daily = f"WITH {_HOURLY}\n", f"WITH {_DAILY}\n"
     raw, clean, refined = f"WITH {_RAW}\n", f"WITH {_CLEAN}\n", f"WITH {_REFINED}\n"
@@ -279,6 +287,12 @@ FROM ({_figures("refined", 60_000)}) f""",
         + f"""SELECT upper(symbol) AS symbol, open_time, gap_minutes_before, has_gap_before, close, prev_close,
   {_RETURNS}, (SELECT status FROM ({_figures("refined", 60_000)})) AS status
 FROM (SELECT *, {_PREV} FROM refined)""",
+        "rebuild_after_loss": _after_loss(gap_columns),
+        "refresh_after_loss": _after_loss(gap_columns),
+        "invalid_price_not_finite": f"""WITH {_DAILY}
+SELECT count(*) AS row_count,
+  CAST(count(*) FILTER (open_time // 86400000 % 11 = 0 OR open_time // 86400000 % 13 = 0) AS BIGINT) AS invalid_price_count,
+  'fail' AS status FROM daily""",
         "refresh_layers": f"WITH {_DAILY}, refined AS ({_gaps('daily', 86_400_000)})\n"
         + f"""SELECT {gap_columns}, close, prev_close, returns, close_ma_20, close_ma_50, vwap, volatility_20
 FROM ({_curated("refined")})""",

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barloom.operators.clean import clean_bars, detect_time_gaps, filter_invalid_bars
@@ -18,15 +18,15 @@ from barloom.operators.normalize import raw_bars
 from barloom.operators.quality import (
     completeness_section,
     continuity_section,
-    lists_fit,
     quality_profile,
     reconcile_counts,
     report_document,
+    skipped_fields,
 )
 from barloom.operators.series import MAX_ROWS, Slices, plan_slices
 from barloom.scratch import settle
-from barloom.sources.files import landing_files, scan_bars_csv, scan_bars_zip, symbol_of
-from barloom.sources.layers import scan_layer, write_layer
+from barloom.sources.files import landing_files, month_of, scan_bars_csv, scan_bars_zip, symbol_of
+from barloom.sources.layers import empty_partitions, scan_layer, write_layer
 from barloom.sources.manifest import missing_sources
 from barloom.sources.schema import CURATED_SCHEMA, RAW_SCHEMA, REFINED_SCHEMA
 from barloom.spec import BarSpec
@@ -67,15 +67,22 @@ def ingest_bars(
     """Bring all source files into the raw layer with one scan and one write.
 
     With a manifest only its sources are read, and those without a file are skipped and returned.
+    Symbols are in upper case, as in the manifest. A symbol and month may have files of one interval only.
+
+    A file owns the month in its name. Rows of another month go to the table ``{raw_path}-strays`` and
+    leave that month as it is; rows without a time stay with their file's month, and the validity filter counts them.
     """
     scan = scan_bars_zip if kind == "zip" else scan_bars_csv
+    files = landing_files(spark, landing, kind).withColumn("symbol", F.upper("symbol"))
     if manifest is None:
+        _one_interval(files)
         _write_raw(scan(spark, landing, files=f"*.{kind}", recursive=True), raw_path)
         return None
     named = manifest.withColumn("symbol", F.upper("symbol"))
     month = F.format_string("%04d-%02d", "year", "month")
     sources = named.select("symbol", "interval", month.alias("year_month"))
-    found = landing_files(spark, landing, kind).join(sources, ["symbol", "interval", "year_month"], "left_semi")
+    found = files.join(sources, ["symbol", "interval", "year_month"], "left_semi")
+    _one_interval(found)
     # A scan gets its paths from the driver in any case: one short string per file.
     paths = [row["path"] for row in found.select("path").collect()]
     if paths:
@@ -83,8 +90,26 @@ def ingest_bars(
     return missing_sources(named, found)
 
 
+def _one_interval(files: DataFrame) -> None:
+    """The layers have no interval column: bars of two intervals would mix."""
+    several = files.where("symbol IS NOT NULL").groupBy("symbol", "year_month").agg(F.count_distinct("interval").alias("n"))
+    mixed = several.where("n > 1").first()
+    if mixed is not None:
+        raise ValueError(f"{mixed['symbol']} {mixed['year_month']} has files of several intervals")
+
+
 def _write_raw(bars: DataFrame, raw_path: str) -> None:
-    write_layer(raw_bars(bars, symbol_of(F.col("source_file"))), raw_path)
+    """Write the rows of each file's own month; the strays too, in a second scan, only if there are any."""
+    named = bars.withColumn("file_month", month_of(F.col("source_file")))
+    rows = raw_bars(named, F.upper(symbol_of(F.col("source_file"))), keep=["file_month"])
+    own_month, file_month = F.col("year_month"), F.col("file_month")
+    stray = F.coalesce(own_month != file_month, F.lit(False))
+    seen = Observation()
+    kept = rows.withColumn("stray", stray).observe(seen, F.count_if("stray").alias("strays")).where("NOT stray")
+    write_layer(kept.withColumn("year_month", F.coalesce(own_month, file_month)).drop("stray", "file_month"), raw_path)
+    if seen.get["strays"]:
+        apart = rows.where(stray).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        apart.partitionBy("symbol", "file_month").parquet(f"{raw_path.rstrip('/')}-strays")
 
 
 def build_refined(
@@ -98,7 +123,8 @@ def build_refined(
 ) -> DataFrame:
     """Raw to refined: one shuffle of the wide rows, for the gaps; another of those near repeats.
 
-    It leaves every (symbol, month) together, so the write needs none.
+    It leaves every (symbol, month) together, so the write needs none. The layer is replaced: a
+    partition that has no valid rows any more goes.
     """
     raw = scan_layer(spark, raw_path, RAW_SCHEMA)
     bars = clean_bars(raw, spec, reject_nan, dedup_first, few_repeated=True)
@@ -106,7 +132,7 @@ def build_refined(
     # Copies do not change which times there are, so a slice's last time can be had without
     # de-duplicating first, unless broken copies may win.
     times = None if dedup_first else _valid_times(raw, spec, reject_nan)
-    write_layer(detect_time_gaps(bars, spec, slices, times=times), refined_path, spec)
+    write_layer(detect_time_gaps(bars, spec, slices, times=times), refined_path, spec, whole=True)
     return scan_layer(spark, refined_path, REFINED_SCHEMA)
 
 
@@ -122,11 +148,11 @@ def build_curated(
     max_rows: int = MAX_ROWS,
     exact_scale: int | None = None,
 ) -> DataFrame:
-    """Refined to curated: one shuffle and one sort of the wide rows, shared by metrics and write."""
+    """Refined to curated: one shuffle of the wide rows. The layer is replaced."""
     refined = scan_layer(spark, refined_path, REFINED_SCHEMA)
     slices = plan_slices(refined, spec, max_rows, column=spec.month)
     bars = curated_bars(refined, spec, slices=slices, exact_scale=exact_scale)
-    write_layer(bars, curated_path, spec)
+    write_layer(bars, curated_path, spec, whole=True)
     return scan_layer(spark, curated_path, CURATED_SCHEMA)
 
 
@@ -169,8 +195,7 @@ def build_quality(
         if section is not None:
             writer = section.write.mode("overwrite")
             writer.csv(f"{quality_path}/{name}", header=True) if csv else writer.json(f"{quality_path}/{name}")
-    # The lists go into one row, so only while they are short; the sections hold them in any case.
-    report = report_document(profile, compared, spec, require_rows, lists_fit(profile))
+    report = report_document(profile, compared, spec, require_rows, skipped_fields(curated, spec))
     write_quality_report(report, quality_path)
     return report
 
@@ -211,7 +236,8 @@ def refresh_layers(
 
     Refined: these months and the next one a symbol has, whose first gap looks back. Curated:
     from the first changed month of a symbol on, since its VWAP runs through. Earlier months are
-    read for the halo and the carry only, in a few columns.
+    read for the halo and the carry only, in a few columns. A touched month that has no valid rows
+    any more is emptied in both layers.
     """
     key, month = spec.key, spec.month
     changed = settle(changed.select(key, month).distinct())
@@ -229,10 +255,13 @@ def refresh_layers(
         .where(F.coalesce("hit", "after"))
         .select(key, month)
     )
-    own = raw.where(F.col(month) >= first).join(settle(touched), [key, month], "left_semi")
+    touched = settle(touched)
+    gone = settle(touched.join(later, [key, month], "left_anti"))
+    own = raw.where(F.col(month) >= first).join(touched, [key, month], "left_semi")
     slices = _by_month(plan_slices(raw, spec, max_rows, column=month), spec)
     bars = clean_bars(own, spec, reject_nan, few_repeated=True)
     write_layer(detect_time_gaps(bars, spec, slices, times=times), paths.refined, spec)
+    empty_partitions(spark, paths.refined, REFINED_SCHEMA, gone, spec)
 
     refined = _of_symbols(scan_layer(spark, paths.refined, REFINED_SCHEMA), changed, spec)
     since = changed.groupBy(key).agg(F.min(month).alias("since"))
@@ -241,6 +270,7 @@ def refresh_layers(
     slices = _by_month(plan_slices(refined, spec, max_rows, column=month), spec)
     bars = curated_bars(refined, spec, slices=slices, months=months, exact_scale=exact_scale)
     write_layer(bars, paths.curated, spec)
+    empty_partitions(spark, paths.curated, CURATED_SCHEMA, gone, spec)
 
 
 def _of_symbols(layer: DataFrame, changed: DataFrame, spec: BarSpec) -> DataFrame:

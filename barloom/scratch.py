@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -10,8 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 def scratch_dir(spark: SparkSession) -> str:
     """A new path below the cluster's ``spark.checkpoint.dir``; a temporary folder only where
-    that is unset, as in a local test."""
+    that is unset and the session is local, as in a test."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not root and not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{(root or tempfile.mkdtemp(prefix='barloom-')).rstrip('/')}/barloom-{uuid.uuid4().hex}"
 
 

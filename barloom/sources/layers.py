@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from barloom.spec import BarSpec
@@ -21,9 +23,13 @@ def unify_symbols(*frames: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def write_layer(df: DataFrame, path: str, spec: BarSpec = BarSpec(), cluster: bool = False) -> None:
+def write_layer(
+    df: DataFrame, path: str, spec: BarSpec = BarSpec(), cluster: bool = False, whole: bool = False
+) -> None:
     """Write by symbol and month; only the partitions present in ``df`` are replaced.
 
+    ``whole=True`` replaces the layer: partitions that ``df`` does not have go. ``df`` must not read it.
+
     ``cluster=True`` first brings each partition's rows together, for one file per partition.
     It is a rebalance, so a partition far above the others is split over several tasks. Tables
     that come out of a series window are together already.
@@ -31,7 +37,21 @@ def write_layer(df: DataFrame, path: str, spec: BarSpec = BarSpec(), cluster: bo
     rows = df.hint("rebalance", spec.key, spec.month) if cluster else df
     (
         rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static" if whole else "dynamic")
         .partitionBy(spec.key, spec.month)
         .parquet(path)
     )
+
+
+def empty_partitions(spark: SparkSession, path: str, schema: StructType, gone: DataFrame, spec: BarSpec = BarSpec()) -> None:
+    """Empty the (symbol, month) partitions that ``gone`` lists, as far as the layer has them.
+
+    A dynamic overwrite can't: it replaces what it has rows for. Their folders are named by the
+    files that a scan finds in them, and each is overwritten without rows.
+    """
+    at = [spec.key, spec.month]
+    files = scan_layer(spark, path, schema).select(*at, F.col("_metadata.file_path").alias("file"))
+    folders = files.join(gone.select(*at).distinct(), at, "left_semi").select(F.regexp_replace("file", "/[^/]*$", "")).distinct()
+    inner = StructType([f for f in schema.fields if f.name not in at])
+    for row in folders.collect():
+        spark.createDataFrame([], inner).coalesce(1).write.mode("overwrite").parquet(unquote(row[0]))

@@ -7,9 +7,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from barloom.plans import catalog, oracles
 
-QUERIES = contract.queries()
-ORACLES = contract.oracle_sql()
+QUERIES = catalog.queries()
+ORACLES = oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -33,6 +34,7 @@ def table(columns, rows):
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -47,7 +47,9 @@ def test_null_counts(bars):
 
 def test_null_prices_are_not_invalid(bars):
     df = bars(("A", 1, None), ("A", 2, 0.0), ("A", 3, float("nan")))
-    assert quality.invalid_price_count(df).first()[0] == 1
+    assert quality.invalid_price_count(df).first()[0] == 2
+    assert quality.quality_status(bars(("A", 1, float("nan")))).first()["status"] == "fail"
+    assert quality.quality_status(bars(("A", 1, float("inf")))).first()["status"] == "fail"
 
 
 def test_completeness(bars):
@@ -116,25 +118,31 @@ def test_report(bars):
     refined = detect_time_gaps(raw.dropDuplicates(["symbol", "open_time"]).where("open_time != 120000"))
     got = quality.quality_report(refined, raw, refined).first()
     assert got["row_count"] == 4 and got["status"] == "fail"
-    assert [r["symbol"] for r in got["completeness"]] == ["A", "B"]
-    assert [tuple(r) for r in got["continuity"]] == [("A", 0, 0), ("B", 1, 1)]
-    assert [tuple(r) for r in got["reconciliation"]] == [("A", 2, 1, 1), ("B", 4, 3, 1)]
+    assert tuple(got["completeness"]) == (2, 0.75) and tuple(got["continuity"]) == (1, 1)
+    assert tuple(got["reconciliation"]) == (6, 4, 2)
+    sections = quality.report_sections(refined, raw, refined)
+    assert sorted(r["symbol"] for r in sections["completeness"].collect()) == ["A", "B"]
+    assert sorted(tuple(r) for r in sections["continuity"].collect()) == [("A", 0, 0), ("B", 1, 1)]
+    assert sorted(tuple(r) for r in sections["reconciliation"].collect()) == [("A", 2, 1, 1), ("B", 4, 3, 1)]
 
 
 def test_report_without_layers(status_rows):
     got = quality.quality_report(status_rows([0, MINUTE])).first()
-    assert got["continuity"] == [] and got["reconciliation"] == [] and got["status"] == "pass"
+    assert tuple(got["continuity"]) == (None, None) and got["status"] == "pass"
+    assert tuple(got["reconciliation"]) == (None, None, None) and got["skipped_fields"] == ["volume"]
 
 
 def test_report_of_an_empty_table(status_rows):
     got = quality.quality_report(status_rows([])).first()
-    assert got["row_count"] == 0 and got["completeness"] == [] and got["status"] == "pass"
+    assert got["row_count"] == 0 and tuple(got["completeness"]) == (0, None) and got["status"] == "pass"
 
 
-def test_very_many_keys_are_not_listed(bars, monkeypatch):
-    monkeypatch.setattr(quality, "MAX_INLINE_KEYS", 1)
-    got = quality.quality_report(bars(("A", 1, 1.0), ("B", 1, 1.0))).first()
-    assert got["completeness"] is None and got["row_count"] == 2 and got["status"] == "pass"
+def test_report_is_one_row_of_totals_however_many_keys(spark):
+    keys = spark.range(60_000).selectExpr(
+        "CAST(id AS STRING) AS symbol", "0L AS open_time", "1D AS open", "1D AS high", "1D AS low", "1D AS close", "1D AS volume"
+    )
+    got = quality.quality_report(keys).first()
+    assert got["row_count"] == 60_000 and got["completeness"]["keys"] == 60_000 and got["status"] == "pass"
 
 
 def test_profile_is_reduced_before_the_shuffle(bars):
