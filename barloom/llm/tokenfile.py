@@ -15,11 +15,10 @@ from __future__ import annotations
 
 import json
 import struct
-import sys
-import types
 import zlib
 from collections.abc import Callable, Iterator
-from itertools import filterfalse, islice
+from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -48,12 +47,6 @@ SPACES = [chr(c) for c in range(0x3001) if chr(c).isspace() and chr(c) not in "
 SHARD_SCHEMA = "part int, seq int, docs long, tokens long, payload binary"
 
 
-def _remembered(name: str) -> dict[str, bytes]:
-    """A memory that lives as long as the worker process, which runs many tasks."""
-    kept = sys.modules.setdefault("barloom_token_memory", types.ModuleType("barloom_token_memory"))
-    return kept.__dict__.setdefault(name, {})
-
-
 def byte_signs() -> dict[int, str]:
     """The sign that a byte-level vocabulary writes for each byte: itself where it prints, else those from 256 on."""
     prints = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -61,8 +54,10 @@ def byte_signs() -> dict[int, str]:
     return {x: chr(x) for x in prints} | {x: chr(256 + k) for k, x in enumerate(rest)}
 
 
+@lru_cache(maxsize=2)
 def encoder(tokenizer_path: str, end_id: int) -> Callable[[list[str]], list[np.ndarray]]:
-    """A function from texts to their ids, each with ``end_id`` at the end.
+    """A function from texts to their ids, each with ``end_id`` at the end. A worker process, which runs many tasks,
+    loads a tokenizer once and keeps what it has remembered.
 
     A byte-level tokenizer cuts a text before each single blank and around each single line feed between other
     characters, and between a letter or digit and the signs of ``TAIL`` that end a piece; so the pieces are encoded
@@ -76,7 +71,7 @@ def encoder(tokenizer_path: str, end_id: int) -> Callable[[list[str]], list[np.n
     before = made.get("pre_tokenizer") or {}
     # The settings under which the cuts above are cuts of the tokenizer too.
     by_piece = before.get("type") == "ByteLevel" and before.get("use_regex") is True and before.get("add_prefix_space") is False and made.get("normalizer") is None
-    memo = _remembered(f"{tokenizer_path} {zlib.crc32(tokenizer.to_str().encode())}")
+    memo: dict[str, bytes] = {}
     end = np.array([end_id], "<u4").tobytes()
 
     def whole(texts: list[str]) -> list[bytes]:
