@@ -18,7 +18,7 @@ import struct
 import zlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
-from itertools import islice
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +37,7 @@ SHARD_DOCS, SHARD_BYTES = 4096, 4 << 20
 #: Documents that train the dictionary, bytes of each that it looks at, bytes of the dictionary.
 SAMPLE_DOCS, SAMPLE_BYTES, DICTIONARY_BYTES = 1000, 16 << 10, 64 << 10
 #: Pieces of text whose ids a worker process remembers, those it keeps when there are more, and their longest.
-MEMO, MEMO_KEPT, MEMO_CHARS = 400_000, 60_000, 64
+MEMO, MEMO_KEPT, MEMO_CHARS = 1_000_000, 400_000, 64
 #: Characters of the texts that are encoded at once, at least.
 CHUNK_CHARS = 1 << 20
 #: Signs that a byte-level tokenizer parts from a letter or digit before them.
@@ -93,27 +93,23 @@ def encoder(tokenizer_path: str, end_id: int) -> Callable[[list[str]], list[np.n
         memo.update(zip(keys, [raw[a + 4 : b] for a, b in zip(cuts, [*cuts[1:], len(raw)], strict=True)], strict=True))
 
     # A key of the memory is a piece after a blank; one after a line feed starts with that, one after nothing with a return.
-    def units(key: str) -> tuple[bytes, str, str | None]:
-        """What stands before a piece, and its one or two parts, as keys."""
-        lead = b""
-        if key[0] == "\n":
-            lead, key = line_feed, "\r" + key[1:]
-        core = key.rstrip(TAIL)
-        if len(core) < len(key) and core and core[-1].isalnum():
-            return lead, core, "\r" + key[len(core) :]
-        return lead, key, None
-
-    def learn(missing: set[str]) -> None:
-        words = {key for key in missing if key.isalpha()}
-        made_of = {key: units(key) for key in missing - words}
-        parts = {part for _, *pair in made_of.values() for part in pair if part and part not in memo}
-        words |= {part for part in parts if part.isalpha()}
+    def learn(missing: set[str]) -> set[str]:
+        """Learn pieces by their parts: what stands before the signs of ``TAIL``, and those. Returns all keys that are new."""
+        words = set(filter(str.isalpha, missing))
+        keys = list(missing - words)
+        plain = ["\r" + key[1:] if key[0] == "\n" else key for key in keys]
+        cores = [key.rstrip(TAIL) for key in plain]
+        cores = [core if core and core[-1].isalnum() else key for core, key in zip(cores, plain, strict=True)]
+        tails = ["\r" + key[len(core) :] if len(core) < len(key) else "" for core, key in zip(cores, plain, strict=True)]
+        memo[""] = b""
+        parts = {part for part in chain(cores, tails) if part not in memo}
+        words.update(filter(str.isalpha, parts))
         others = list(parts - words)
         if words:
             learn_words(list(words))
         memo.update(zip(others, whole([x[1:] if x[0] == "\r" else " " + x for x in others]), strict=True))
-        for key, (lead, core, tail) in made_of.items():
-            memo[key] = lead + memo[core] + (memo[tail] if tail else b"")
+        memo.update([(key, (line_feed if key[0] == "\n" else b"") + memo[core] + memo[tail]) for key, core, tail in zip(keys, cores, tails, strict=True)])
+        return missing | parts
 
     def encode(texts: list[str]) -> list[np.ndarray]:
         if len(memo) > MEMO:
@@ -136,15 +132,14 @@ def encoder(tokenizer_path: str, end_id: int) -> Callable[[list[str]], list[np.n
         values = list(map(memo.get, pieces))
         gaps = [k for k, x in enumerate(values) if x is None]
         missing = {pieces[k] for k in gaps}
-        learn(missing)
+        new = learn(missing)
         for k in gaps:
             values[k] = memo[pieces[k]]
         for i, a, b in cut:
             found[i] = b"".join(values[a:b])
-        for key in missing:
+        for key in new:
             if len(key) > MEMO_CHARS:
-                for part in {key, *units(key)[1:]}:
-                    memo.pop(part, None)
+                del memo[key]
         for i, ids in zip(odd, whole([texts[i] for i in odd]), strict=True):
             found[i] = ids
         return [np.frombuffer(x + end, "<u4") for x in found]
