@@ -37,7 +37,7 @@ SHARD_DOCS, SHARD_BYTES = 4096, 4 << 20
 #: Documents that train the dictionary, bytes of each that it looks at, bytes of the dictionary.
 SAMPLE_DOCS, SAMPLE_BYTES, DICTIONARY_BYTES = 1000, 16 << 10, 64 << 10
 #: Pieces of text whose ids a worker process remembers, those it keeps when there are more, and their longest.
-MEMO, MEMO_KEPT, MEMO_CHARS = 1_000_000, 400_000, 64
+MEMO, MEMO_KEPT, MEMO_CHARS = 1_200_000, 600_000, 64
 #: Characters of the texts that are encoded at once, at least.
 CHUNK_CHARS = 1 << 20
 #: Signs that a byte-level tokenizer parts from a letter or digit before them.
@@ -108,7 +108,7 @@ def encoder(tokenizer_path: str, end_id: int) -> Callable[[list[str]], list[np.n
         if words:
             learn_words(list(words))
         memo.update(zip(others, whole([x[1:] if x[0] == "\r" else " " + x for x in others]), strict=True))
-        memo.update([(key, (line_feed if key[0] == "\n" else b"") + memo[core] + memo[tail]) for key, core, tail in zip(keys, cores, tails, strict=True)])
+        memo.update(zip(keys, [(line_feed if key[0] == "\n" else b"") + memo[core] + memo[tail] for key, core, tail in zip(keys, cores, tails, strict=True)], strict=True))
         return missing | parts
 
     def encode(texts: list[str]) -> list[np.ndarray]:
