@@ -1,13 +1,16 @@
 """Language-model scoring by a class-based bigram model (Brown classes found by exchange).
 
-All counts are over all training texts. The most frequent words are types of their own; all others
-share a type by their spelling (a hash of their last two bytes). The exchange algorithm assigns types
-to classes so that the class bigrams keep the most mutual information. A text's probability is the product over its tokens of
+All counts are over all training texts, and every word of them has a class found by exchange, however rare it is. It
+starts on the driver: the most frequent words (the core) are types of their own, all others share a type by their
+spelling (a hash of their last two bytes), and the exchange algorithm assigns types to classes so that the class
+bigrams keep the most mutual information. Then Spark sweeps over all words outside the core: each goes to the class
+that gains the most by the word's own neighbours. The driver holds classes by classes; a sweep that lowers the mutual information is undone.
+A text's probability is the product over its tokens of
 
-    P(class | class before) * P(type | class) * P(word | type)
+    P(class | class before) * P(word | class)
 
-with Witten-Bell smoothing of the classes' transitions, additive smoothing of a class's types, and absolute
-discounting of a type's words, which leaves a share for the unknown words of that spelling.
+with Witten-Bell smoothing of the classes' transitions and absolute discounting of a class's words, which leaves a
+share for the unknown words. An unknown word takes the class that most words seen once of its spelling have.
 """
 
 from __future__ import annotations
@@ -19,17 +22,25 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from barloom.llm.common import broadcast_if_small
 from barloom.scratch import settle
 
-#: Words that are types of their own, types by spelling, classes.
+#: Words of the core, types by spelling that all others start from, classes.
 TYPES, SHAPES, CLASSES = 1023, 256, 48
+#: Sweeps over the words outside the core, at most; the share of mutual information that a sweep must gain for another one.
+SWEEPS, GAIN = 4, 1e-3
+#: Seed of Spark's own 64-bit hash, by which words outside the core are known to the sweeps.
+SEED = 42
 #: Words whose counts every task has at hand; all others are looked up by a join.
 FREQUENT = 50_000
-#: Words that a task counts before it passes them on.
-FLUSH = 400_000
+#: Words that a task counts before it passes them on, and pairs of words.
+FLUSH, FLUSH_PAIRS = 400_000, 1_000_000
+#: Counts whose gains a sweep looks up; those of larger counts are computed one by one.
+LOOKED_UP = 16
 END = b""
 
 
@@ -83,25 +94,65 @@ def type_sequence(words: list[bytes], frequent: dict[bytes, int], shapes: np.nda
     return types, numbers, rest
 
 
-def type_bigrams(texts: DataFrame, shared) -> DataFrame:
-    """``pair`` (type before times the number of types, plus the type) and ``n`` over the column ``text``."""
+def word_key(word: bytes) -> int:
+    """What Spark's xxhash64 gives for a binary value."""
+    x = xxhash.xxh64_intdigest(word, SEED)
+    return x - (1 << 64) if x >> 63 else x
+
+
+def bigram_counts(texts: DataFrame, shared) -> DataFrame:
+    """``typed``, ``a``, ``b`` and ``n`` over the column ``text``: the bigrams of types, and those of word keys (a core word's number, else
+    the word's hash) where at least one word is outside the core. A bigram has a row for each time that a task passes it on."""
     width = TYPES + 1 + SHAPES
+    names = ["typed", "a", "b", "n"]
+
+    def rows(typed: bool, a: np.ndarray, b: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for k in range(0, len(a), 1 << 16):
+            part = slice(k, k + (1 << 16))
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(a[part]), typed)), pa.array(a[part]), pa.array(b[part]), pa.array(n[part])], names=names)
+
+    def counted(pairs: list) -> Iterator[pa.RecordBatch]:
+        a, b = (np.concatenate(x) for x in zip(*pairs, strict=True))
+        order = np.lexsort((b, a))
+        a, b = a[order], b[order]
+        first = np.flatnonzero(np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1]))))
+        return rows(False, a[first], b[first], np.diff(np.concatenate((first, [len(a)]))))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent, shapes = shared.value
+        frequent, shapes, keys_of = shared.value
         total = np.zeros(width * width, np.int64)
+        held, size = [], 0
         for batch in batches:
-            pairs = []
+            firsts = []
             for text in batch.column(0).to_pylist():
-                types, _, _ = type_sequence(tokens(text), frequent, shapes)
-                pairs.append(np.concatenate(([0], types[:-1])).astype(np.int64) * width + types)
-            if pairs:
-                total += np.bincount(np.concatenate(pairs), minlength=len(total))
+                types, numbers, rest = type_sequence(tokens(text), frequent, shapes)
+                before = np.concatenate(([0], types[:-1])).astype(np.int64)
+                firsts.append(before * width + types)
+                keys = keys_of[numbers]
+                keys[numbers < 0] = [word_key(w) for w in rest]
+                rare = (types > TYPES) | (before > TYPES)
+                held.append((np.concatenate(([0], keys[:-1]))[rare], keys[rare]))
+                size += int(rare.sum())
+                if size >= FLUSH_PAIRS:
+                    yield from counted(held)
+                    held, size = [], 0
+            if firsts:
+                total += np.bincount(np.concatenate(firsts), minlength=len(total))
+        if size:
+            yield from counted(held)
         at = np.flatnonzero(total)
-        for k in range(0, len(at), 1 << 16):
-            yield pa.RecordBatch.from_arrays([pa.array(at[k : k + (1 << 16)]), pa.array(total[at[k : k + (1 << 16)]])], names=["pair", "n"])
+        yield from rows(True, at // width, at % width, total[at])
+
+    return texts.select("text").mapInArrow(work, "typed boolean, a long, b long, n long")
 
-    return texts.select("text").mapInArrow(work, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+
+def g(x: np.ndarray) -> np.ndarray:
+    return x * np.log(np.maximum(x, 1.0))
+
+
+def information(table: np.ndarray) -> float:
+    """The mutual information of class bigrams, but for a constant and a factor."""
+    return float(g(table).sum() - g(table.sum(0)).sum() - g(table.sum(1)).sum())
 
 
 def exchange_classes(bigrams: np.ndarray, classes: int, sweeps: int = 10) -> np.ndarray:
@@ -115,9 +166,6 @@ def exchange_classes(bigrams: np.ndarray, classes: int, sweeps: int = 10) -> np.
     table = np.zeros((classes, classes))
     np.add.at(table, (owner[:, None], owner[None, :]), bigrams)
 
-    def g(x: np.ndarray) -> np.ndarray:
-        return x * np.log(np.maximum(x, 1.0))
-
     for _ in range(sweeps):
         moved = 0
         for w in order:
@@ -149,6 +197,152 @@ def exchange_classes(bigrams: np.ndarray, classes: int, sweeps: int = 10) -> np.
     return owner
 
 
+def word_contexts(entries: DataFrame, classes: int) -> DataFrame:
+    """A row for each word: ``key``, ``class``, ``slots`` and ``counts``. ``entries``: ``key``, ``slot``, ``n``. Slots: the class of a core word before
+    it, of a word after it (from ``classes`` on), of another word before it (from twice that on), itself (three times), and its own class as ``n``."""
+    own = 3 * classes + 1
+    names = ["key", "class", "slots", "counts"]
+
+    def group(key: np.ndarray, slot: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        order = np.lexsort((slot, key))
+        key, slot, n = key[order], slot[order], n[order]
+        first = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (slot[1:] != slot[:-1]))))
+        key, slot, n = key[first], slot[first], np.add.reduceat(n, first)
+        mark = slot == own
+        words, of_class = key[mark], n[mark]
+        key, slot, n = key[~mark], slot[~mark], n[~mark]
+        ends = np.concatenate(([0], np.searchsorted(key, words, "right")))
+        for k in range(0, len(words), 4096):
+            to = min(k + 4096, len(words))
+            part, at = slice(ends[k], ends[to]), pa.array((ends[k : to + 1] - ends[k]).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(at, pa.array(x[part])) for x in (slot.astype(np.int32), n)]
+            yield pa.RecordBatch.from_arrays([pa.array(words[k:to]), pa.array(of_class[k:to].astype(np.int32)), *lists], names=names)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        size = 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held.append(tuple(batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "slot", "n")))
+            size += batch.num_rows
+            if size >= FLUSH_PAIRS:
+                # The last word may go on in the next batch.
+                key, slot, n = (np.concatenate(x) for x in zip(*held, strict=True))
+                cut = np.searchsorted(key, key[-1])
+                if cut:
+                    yield from group(key[:cut], slot[:cut], n[:cut])
+                held = [(key[cut:], slot[cut:], n[cut:])]
+                size = len(key) - cut
+        if size:
+            yield from group(*(np.concatenate(x) for x in zip(*held, strict=True)))
+
+    dealt = entries.select("key", F.col("slot").cast("long").alias("slot"), "n").repartition("key").sortWithinPartitions("key")
+    return dealt.mapInArrow(work, "key long, class int, slots array<int>, counts array<long>")
+
+
+def _flat(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+    """The words' classes, and of each of their counts the word's place in the batch, the slot and the count."""
+    sizes = np.diff(batch.column("slots").offsets.to_numpy())
+    place = np.repeat(np.arange(batch.num_rows), sizes)
+    return batch.column("class").to_numpy().astype(np.int64), place, batch.column("slots").flatten().to_numpy().astype(np.int64), batch.column("counts").flatten().to_numpy()
+
+
+def class_table(contexts: DataFrame, classes: int) -> np.ndarray:
+    """The class bigrams with at least one word outside the core, each once: those after such a word, and those after a core word."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.zeros((classes, classes), np.int64)
+        for batch in batches:
+            own, place, slot, n = _flat(batch)
+            own = own[place]
+            core, after, same = slot < classes, (slot >= classes) & (slot < 2 * classes), slot == 3 * classes
+            np.add.at(table, (slot[core], own[core]), n[core])
+            np.add.at(table, (own[after], slot[after] - classes), n[after])
+            np.add.at(table, (own[same], own[same]), n[same])
+        at = np.flatnonzero(table)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(table.ravel()[at])], names=["cell", "n"])
+
+    table = np.zeros(classes * classes)
+    for r in contexts.mapInArrow(work, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():
+        table[r["cell"]] = r["n"]
+    return table.reshape(classes, classes)
+
+
+def moved_words(contexts: DataFrame, table: np.ndarray, classes: int) -> DataFrame:
+    """``key`` and ``class``: of each word the class that gains the most mutual information from its neighbours, where the table is
+    taken without the word's own counts in its own class. A word stays where no class gains more."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, columns, diagonal = table.sum(1), table.sum(0), np.diagonal(table)
+        # The cells that a count in a slot adds to, by class: [left classes, then right classes, then the diagonal].
+        cells = np.concatenate((table, table.T, diagonal[None, :]))
+        small = np.stack([g(cells + n) - g(cells) for n in range(LOOKED_UP + 1)])
+        for whole in batches:
+            for batch in _slices(whole, 4096):
+                own, place, slot, n = _flat(batch)
+                # Core and other words before it are one context.
+                kind = np.where(slot < classes, slot, np.where(slot < 2 * classes, slot, np.where(slot < 3 * classes, slot - 2 * classes, 2 * classes)))
+                code, index = np.unique(place * (2 * classes + 1) + kind, return_inverse=True)
+                n = np.bincount(index, n)
+                place, kind = code // (2 * classes + 1), code % (2 * classes + 1)
+                gain = small[np.minimum(n, LOOKED_UP).astype(np.int64), kind]
+                large = np.flatnonzero(n > LOOKED_UP)
+                gain[large] = g(cells[kind[large]] + n[large, None]) - g(cells[kind[large]])
+                mine = own[place]
+                held = cells[kind, mine]
+                gain[np.arange(len(n)), mine] = g(held) - g(np.maximum(held - n, 0))
+                total = np.add.reduceat(gain, np.searchsorted(place, np.arange(batch.num_rows)))
+                after = np.bincount(place, np.where(kind >= classes, n, 0), batch.num_rows)
+                before = np.bincount(place, np.where((kind < classes) | (kind == 2 * classes), n, 0), batch.num_rows)
+                at = np.arange(batch.num_rows)
+                for sums, size in ((rows, after), (columns, before)):
+                    more = g(sums + size[:, None]) - g(sums)
+                    more[at, own] = g(sums[own]) - g(np.maximum(sums[own] - size, 0))
+                    total -= more
+                best = np.argmax(total, 1)
+                new = np.where(total[at, best] > total[at, own] + 1e-9, best, own)
+                yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(new.astype(np.int32))], names=["key", "class"])
+
+    return contexts.mapInArrow(work, "key long, class int")
+
+
+def exchange_words(bigrams: DataFrame, start: DataFrame, core: np.ndarray, core_table: np.ndarray, sweeps: int = SWEEPS) -> tuple[DataFrame, np.ndarray, list[float]]:
+    """``key`` and ``class`` of all words outside the core, the class bigrams, and the mutual information at the start and after each sweep.
+
+    ``bigrams``: ``a``, ``b``, ``n`` of word keys, at least one of each outside the core. ``start``: the classes to start from. ``core``
+    has the core's classes, which stay, and ``core_table`` the class bigrams within the core.
+    """
+    classes, spark = len(core_table), start.sparkSession
+    in_core = lambda c: F.col(c).between(0, len(core) - 1)
+    before = bigrams.where(~in_core("b")).select(F.col("b").alias("key"), F.lit(0).alias("side"), F.col("a").alias("other"), "n")
+    after = bigrams.where(~in_core("a") & (F.col("a") != F.col("b"))).select(F.col("a").alias("key"), F.lit(1).alias("side"), F.col("b").alias("other"), "n")
+    pairs = before.unionByName(after)
+    of_core = spark.createDataFrame([(k, int(c)) for k, c in enumerate(core)], "other long, class int")
+    by_core = pairs.where(in_core("other")).join(F.broadcast(of_core), "other").select("key", (F.col("side") * classes + F.col("class")).alias("slot"), "n")
+    same = pairs.where("key = other").select("key", F.lit(3 * classes).alias("slot"), "n")
+    fixed = settle(by_core.unionByName(same).groupBy("key", "slot").agg(F.sum("n").alias("n")))
+    loose = pairs.where(~in_core("other") & (F.col("key") != F.col("other")))
+
+    owners, told = settle(start), []
+    kept = None
+    for sweep in range(sweeps + 1):
+        of_other = broadcast_if_small(owners.select(F.col("key").alias("other"), "class"), 24)
+        by_other = loose.join(of_other, "other").select("key", (F.when(F.col("side") == 1, classes).otherwise(2 * classes) + F.col("class")).alias("slot"), "n")
+        own = owners.select("key", F.lit(3 * classes + 1).alias("slot"), F.col("class").cast("long").alias("n"))
+        contexts = settle(word_contexts(fixed.unionByName(by_other).unionByName(own), classes))
+        table = core_table + class_table(contexts, classes)
+        now = information(table)
+        if kept is not None and now <= told[-1]:
+            return *kept, told
+        kept = owners, table
+        told.append(now)
+        if sweep == sweeps or (sweep and now - told[-2] <= GAIN * abs(now - told[0])):
+            break
+        owners = settle(moved_words(contexts, table, classes))
+    return *kept, told
+
+
 @dataclass
 class ClassModel:
     owner: np.ndarray  # the class of each type
@@ -160,6 +354,16 @@ class ClassModel:
         return float(self.transition[np.concatenate((self.owner[:1], own[:-1])), own].sum() + self.emission[types].sum())
 
 
+def transitions(table: np.ndarray, members: np.ndarray) -> np.ndarray:
+    """log10 P(class | class before), smoothed with the classes' own shares, to which ``members`` are added."""
+    alone = (table.sum(0) + members) / (table.sum() + members.sum())
+    followers = (table > 0).sum(1)
+    seen = table.sum(1)
+    smooth = np.where(seen + followers > 0, followers / np.maximum(seen + followers, 1), 1.0)[:, None]
+    with np.errstate(divide="ignore"):
+        return np.log10((1 - smooth) * table / np.maximum(seen, 1)[:, None] + smooth * alone)
+
+
 def fit_classes(bigrams: np.ndarray, classes: int = CLASSES) -> ClassModel:
     """Classes and their smoothed probabilities from the counts of type bigrams."""
     owner = exchange_classes(bigrams, classes)
@@ -168,13 +372,7 @@ def fit_classes(bigrams: np.ndarray, classes: int = CLASSES) -> ClassModel:
     counts = bigrams.sum(0) + 0.5
     members = np.bincount(owner, minlength=classes)
     of_class = np.bincount(owner, counts, classes)
-    alone = (table.sum(0) + members) / (table.sum() + members.sum())
-    followers = (table > 0).sum(1)
-    seen = table.sum(1)
-    smooth = np.where(seen + followers > 0, followers / np.maximum(seen + followers, 1), 1.0)[:, None]
-    chance = (1 - smooth) * table / np.maximum(seen, 1)[:, None] + smooth * alone
-    with np.errstate(divide="ignore"):
-        return ClassModel(owner, np.log10(chance), np.log10(counts / of_class[owner]))
+    return ClassModel(owner, transitions(table, members), np.log10(counts / of_class[owner]))
 
 
 def brown_scores(documents: DataFrame, trained: Column, id_col: str = "doc_id", text_col: str = "text", classes: int = CLASSES) -> DataFrame:
@@ -194,73 +392,125 @@ def brown_scores(documents: DataFrame, trained: Column, id_col: str = "doc_id",
     frequent = {END: 0} | {bytes(r["word"]): k + 1 for k, r in enumerate(common)}
     known = np.array([ends["c"] if ends else 0, *[r["c"] for r in common]], float)
     shapes = np.array([k if k <= TYPES else TYPES + 1 + shape(w) for w, k in frequent.items()], np.int64)
-    shared = spark.sparkContext.broadcast((frequent, shapes))
+    keys = np.array([k if k <= TYPES else word_key(w) for w, k in frequent.items()], np.int64)
+    shared = spark.sparkContext.broadcast((frequent, shapes, keys))
 
     width = TYPES + 1 + SHAPES
-    found = type_bigrams(training, shared).toArrow()
-    bigrams = np.zeros(width * width)
-    bigrams[found["pair"].to_numpy()] = found["n"].to_numpy()
-    model = fit_classes(bigrams.reshape(width, width), classes)
+    pairs = settle(bigram_counts(training, shared))
+    found = pairs.where("typed").groupBy("a", "b").agg(F.sum("n").alias("n")).toArrow()
+    bigrams = np.zeros((width, width))
+    bigrams[found["a"].to_numpy(), found["b"].to_numpy()] = found["n"].to_numpy()
+    owner = exchange_classes(bigrams, classes)
+    core = owner[: TYPES + 1]
+    core_table = np.zeros((classes, classes))
+    np.add.at(core_table, (core[:, None], core[None, :]), bigrams[: TYPES + 1, : TYPES + 1])
 
-    # Words that share a type: the tokens, words, and words that occur once and twice, of each spelling.
+    # All other words start in the class of their spelling.
     own = spark.createDataFrame([(w,) for w, k in frequent.items() if k <= TYPES], "word binary")
-    shared_words = counts.join(F.broadcast(own), "word", "left_anti").withColumn("shape", shape_column(F.col("word")))
-    stats = shared_words.groupBy("shape").agg(F.sum("c").alias("t"), F.count("*").alias("v"), F.count_if(F.col("c") == 1).alias("n1"), F.count_if(F.col("c") == 2).alias("n2")).collect()
-    once, twice = sum(r["n1"] for r in stats), sum(r["n2"] for r in stats)
+    others = counts.join(F.broadcast(own), "word", "left_anti").select("word", "c", F.xxhash64("word").alias("key"), shape_column(F.col("word")).alias("shape"))
+    first_class = F.get(F.array(*[F.lit(int(x)) for x in owner[TYPES + 1 :]]), F.col("shape"))
+    owners, table, _ = exchange_words(pairs.where("not typed").select("a", "b", "n"), others.select("key", first_class.alias("class")).dropDuplicates(["key"]), core, core_table)
+    members = settle(others.join(broadcast_if_small(owners, 24), "key"))
+
+    # Tokens and words of each class, and the words that occur once by spelling and class.
+    tokens_of, words_of, single = np.zeros(classes), np.zeros(classes), np.zeros((SHAPES, classes))
+    twice = 0
+    for r in members.groupBy("shape", "class").agg(F.sum("c").alias("t"), F.count("*").alias("v"), F.count_if(F.col("c") == 1).alias("n1"), F.count_if(F.col("c") == 2).alias("n2")).collect():
+        tokens_of[r["class"]] += r["t"]
+        words_of[r["class"]] += r["v"]
+        single[r["shape"], r["class"]] += r["n1"]
+        twice += r["n2"]
+    for w, k in frequent.items():
+        if k <= TYPES and known[k]:
+            tokens_of[core[k]] += known[k]
+            words_of[core[k]] += 1
+            single[shape(w), core[k]] += known[k] == 1
+            twice += known[k] == 2
+    once = single.sum()
     discount = min(max(once / (once + 2 * twice), 0.1), 0.9) if once else 0.5
-    tokens_of, words_of = np.zeros(SHAPES), np.zeros(SHAPES)
-    for r in stats:
-        tokens_of[r["shape"]], words_of[r["shape"]] = r["t"], r["v"]
-    left = np.where(tokens_of > 0, np.log10(np.where(tokens_of > 0, discount * words_of / np.maximum(tokens_of, 1), 1.0)), 0.0)
-    of_word = np.zeros(len(known))
-    late = np.arange(len(known)) > TYPES
-    if late.any():
-        of_word[late] = np.log10((known[late] - discount) / tokens_of[shapes[late] - TYPES - 1])
-    local = spark.sparkContext.broadcast((vars(model), np.log10(known + 1), known > 0, of_word, left))
-
-    names = ["row", "doc_id", "trained", "n_tokens", "n_known", "base", "score", "words", "times"]
+    unknown_class = np.where(single.any(1), single.argmax(1), single.sum(0).argmax())
+    with np.errstate(divide="ignore"):
+        left = np.where(tokens_of > 0, np.log10(np.where(tokens_of > 0, discount * words_of / np.maximum(tokens_of, 1), 1.0)), 0.0)
+    # The frequent words' classes and probabilities within them.
+    class_of = np.concatenate((core, np.zeros(max(len(known) - TYPES - 1, 0), int)))[: len(known)]
+    if len(known) > TYPES + 1:
+        number = spark.createDataFrame([(int(x), k + TYPES + 1) for k, x in enumerate(keys[TYPES + 1 :])], "key long, number int")
+        for r in owners.join(F.broadcast(number), "key").select("number", "class").collect():
+            class_of[r["number"]] = r["class"]
+    in_class = np.where(known > 0, np.log10(np.maximum(known - discount, 1e-9) / np.maximum(tokens_of[class_of], 1)), left[class_of])
+    chance = transitions(table, np.ones(classes))
+    local = spark.sparkContext.broadcast((chance, class_of, np.log10(known + 1), known > 0, in_class, unknown_class, left))
+
+    names = ["row", "doc_id", "trained", "n_tokens", "n_known", "base", "score", "words", "times", "spelled", "before", "after"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers_of, shape_of = shared.value
-        state, log_count, is_known, in_type, unknown = local.value
-        scorer = ClassModel(**state)
+        numbers_of, shape_of, _ = shared.value
+        chance, class_of, log_count, is_known, in_class, unknown_class, _ = local.value
         for batch in (part for whole in batches for part in _slices(whole)):
-            out: list[list] = [[], [], [], [], [], []]
+            out: list[list] = [[] for _ in range(9)]
             for text in batch.column("text").to_pylist():
                 words = tokens(text)
-                types, numbers, rest = type_sequence(words, numbers_of, shape_of)
+                _, numbers, rest = type_sequence(words, numbers_of, shape_of)
                 near = numbers[numbers >= 0]
-                spelled = types[numbers < 0] - TYPES - 1
                 times = Counter(rest)
+                place = {w: -1 - k for k, w in enumerate(times)}
+                # The classes of the tokens; those of words to be looked up later are below zero.
+                sequence = class_of[numbers]
+                sequence[numbers < 0] = [place[w] for w in rest]
+                before = np.concatenate((class_of[:1], sequence[:-1]))
+                here = (before >= 0) & (sequence >= 0)
                 values = (
                     len(words),
                     int(is_known[near].sum()),
                     float(log_count[near].sum()),
-                    scorer.score(types) + float(in_type[near].sum()) + float(unknown[spelled].sum()),
+                    float(chance[before[here], sequence[here]].sum() + in_class[near].sum()),
                     list(times),
                     list(times.values()),
+                    [int(unknown_class[shape(w)]) for w in times],
+                    before[~here],
+                    sequence[~here],
                 )
                 for column, value in zip(out, values, strict=True):
                     column.append(value)
-            kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int64())]
+            whole_numbers = pa.list_(pa.int32())
+            kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int64()), whole_numbers, whole_numbers, whole_numbers]
             arrays = [pa.array(x, k) for x, k in zip(out, kinds, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc_id"), batch.column("trained"), *arrays], names=names)
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    schema = f"row long, doc_id {kind}, trained boolean, n_tokens long, n_known long, base double, score double, words array<binary>, times array<long>"
+    schema = f"row long, doc_id {kind}, trained boolean, n_tokens long, n_known long, base double, score double, words array<binary>, times array<long>, spelled array<int>, before array<int>, after array<int>"
     parts = settle(rows.withColumn("row", F.monotonically_increasing_id()).mapInArrow(work, schema))
-    # What stays to be looked up: words beyond the frequent ones. A word found gains over an unknown one of its spelling.
-    spread = spark.createDataFrame([(k, float(np.log10(discount * words_of[k]))) for k in range(SHAPES) if words_of[k]], "shape int, unseen double")
-    gains = shared_words.join(F.broadcast(spread), "shape").select("word", F.log10(F.col("c") + 1).alias("more"), (F.log10(F.col("c") - discount) - F.col("unseen")).alias("gain"))
-    rare = parts.select("row", F.explode(F.arrays_zip("words", "times")).alias("x")).select("row", F.col("x.words").alias("word"), F.col("x.times").alias("n"))
-    met = rare.join(gains, "word").groupBy("row").agg(F.sum("n").alias("met"), F.sum(F.col("n") * F.col("more")).alias("more"), F.sum(F.col("n") * F.col("gain")).alias("gain"))
-    zero, size = F.lit(0.0), float(np.log10(total + distinct + 1))
-    return parts.drop("words", "times").join(met, "row", "left").select(
+    # What stays to be looked up: words beyond the frequent ones. One that is not found is unknown.
+    rare = parts.select("row", F.posexplode("words").alias("at", "word"))
+    met = rare.join(members.select("word", "class", "c"), "word").groupBy("row").agg(F.collect_list(F.struct("at", "class", "c")).alias("met"))
+    fields = F.col("met")
+    joined = parts.drop("words").join(met, "row", "left").select(*[c for c in names if c not in ("row", "words")], *[F.coalesce(fields[x], F.array().cast(f"array<{t}>")).alias(f"met_{x}") for x, t in (("at", "int"), ("class", "int"), ("c", "long"))])
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chance, _, _, _, _, _, left = local.value
+        for batch in (part for whole in batches for part in _slices(whole)):
+            new: list[list] = [[], [], []]
+            taken = (batch.column(c) for c in ("n_known", "base", "score", "times", "spelled", "before", "after", "met_at", "met_class", "met_c"))
+            for n_known, base, score, *lists in zip(*taken, strict=True):
+                times, spelled, before, after, at, of_class, c = (np.asarray(x.values.to_numpy()) for x in lists)
+                own, inside = spelled.copy(), left[spelled]
+                own[at] = of_class
+                inside[at] = np.log10((c - discount) / tokens_of[of_class])
+                before, after = (np.where(x < 0, own[np.maximum(-1 - x, 0)] if len(own) else 0, x) for x in (before, after))
+                new[0].append(n_known.as_py() + int(times[at].sum()))
+                new[1].append(base.as_py() + float((times[at] * np.log10(c + 1)).sum()))
+                new[2].append(score.as_py() + float((times * inside).sum() + chance[before, after].sum()))
+            arrays = [pa.array(x, k) for x, k in zip(new, (pa.int64(), pa.float64(), pa.float64()), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("trained"), batch.column("n_tokens"), *arrays], names=["doc_id", "trained", "n_tokens", "n_known", "base", "score"])
+
+    scored = joined.mapInArrow(finish, f"doc_id {kind}, trained boolean, n_tokens long, n_known long, base double, score double")
+    size = float(np.log10(total + distinct + 1))
+    return scored.select(
         "doc_id",
         "trained",
         "n_tokens",
-        (F.col("n_known") + F.coalesce("met", F.lit(0))).alias("n_known"),
+        "n_known",
         F.lit(int(total)).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("more", zero) - F.col("n_tokens") * size).alias("base_score"),
-        (F.col("score") + F.coalesce("gain", zero)).alias("score"),
+        (F.col("base") - F.col("n_tokens") * size).alias("base_score"),
+        "score",
     )

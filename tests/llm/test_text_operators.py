@@ -367,3 +367,34 @@ def test_folds_match_crc32(spark):
 
     got = {r["i"]: r["f"] for r in spark.range(50).select(F.col("id").alias("i"), in_fold(F.col("id"), 5, 0).alias("f")).collect()}
     assert got == {i: zlib.crc32(str(i).encode()) % 5 == 0 for i in range(50)}
+
+
+def test_every_word_has_a_class_by_exchange(spark, documents, monkeypatch):
+    monkeypatch.setattr(brown, "TYPES", 3)
+    monkeypatch.setattr(brown, "FREQUENT", 8)
+    # Words of two kinds in turn, all with one spelling of their last two bytes and each rare: only their neighbours tell them apart.
+    rng = random.Random(11)
+    text = lambda: " ".join(f"{'mn'[j % 2]}{rng.randrange(40)}xx" for j in range(30))
+    found = {}
+
+    def noted(*a, f=brown.exchange_words, **b):
+        found["out"] = f(*a, **b)
+        return found["out"]
+
+    monkeypatch.setattr(brown, "exchange_words", noted)
+    rows = [(k, text()) for k in range(90)]
+    scored = brown.brown_scores(documents(*rows), F.col("doc_id") < 60, classes=4).collect()
+    owners, table, told = found["out"]
+    words = {w for k, t in rows if k < 60 for w in brown.tokens(t)}
+    own = {r["key"]: r["class"] for r in owners.collect()}
+    assert len(own) >= len(words) - 4 and set(own) <= {brown.word_key(w) for w in words}
+    kinds = {c: Counter(w[:1] for w in words if own.get(brown.word_key(w)) == c) for c in set(own.values())}
+    assert len(own) - sum(max(x.values()) for x in kinds.values()) <= 4
+    assert told == sorted(told) and told[-1] > told[0] and table.sum() == sum(len(brown.tokens(t)) for k, t in rows if k < 60)
+    assert all(math.isfinite(r["score"]) and r["score"] < 0 for r in scored)
+
+
+def test_word_keys_are_the_engines_hash(spark):
+    words = [b"", b"a", "é日".encode(), b"x" * 100]
+    got = [r[0] for r in spark.createDataFrame([(w,) for w in words], "w binary").select(F.xxhash64("w")).collect()]
+    assert got == [brown.word_key(w) for w in words]
