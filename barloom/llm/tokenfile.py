@@ -61,16 +61,16 @@ def encoder(tokenizer_path: str, end_id: int) -> Callable[[list[str]], list[np.n
 
     A byte-level tokenizer cuts a text before each single blank and around each single line feed between other
     characters, and between a letter or digit and the signs of ``TAIL`` that end a piece; so the pieces are encoded
-    once and remembered. Texts with any other white space go to the tokenizer whole, and so do all
-    texts if the tokenizer is of another kind.
+    once and remembered. Texts with any other white space go to the tokenizer whole, and so do those that hold the
+    content of an added token, which the tokenizer takes for that token, and all texts if the tokenizer is of another kind.
     """
     tokenizer = Tokenizer.from_file(tokenizer_path)
-    tokenizer.encode_special_tokens = True
     tokenizer.no_truncation()
     made = json.loads(tokenizer.to_str())
     before = made.get("pre_tokenizer") or {}
     # The settings under which the cuts above are cuts of the tokenizer too.
     by_piece = before.get("type") == "ByteLevel" and before.get("use_regex") is True and before.get("add_prefix_space") is False and made.get("normalizer") is None
+    added = [x["content"] for x in made.get("added_tokens") or []]
     memo: dict[str, bytes] = {}
     end = np.array([end_id], "<u4").tobytes()
 
@@ -123,7 +123,7 @@ def encoder(tokenizer_path: str, end_id: int) -> Callable[[list[str]], list[np.n
             if not text:
                 continue
             parts = text.replace("\n", " \n").split(" ")
-            if not by_piece or "" in parts or "\n" in parts or any(c in text for c in SPACES):
+            if not by_piece or "" in parts or "\n" in parts or any(c in text for c in SPACES) or any(x in text for x in added):
                 odd.append(i)
                 continue
             parts[0] = "\r" + parts[0]

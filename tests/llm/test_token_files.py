@@ -64,3 +64,16 @@ def test_an_empty_table(spark, documents):
     path = scratch_dir(spark)
     tokenfile.write_token_files(documents((1, "a")).where("false"), path, PATH, 2)
     assert tokenfile.read_token_files(spark, path).count() == 0
+
+
+def test_added_tokens_are_encoded_as_the_tokenizer_does(spark, documents):
+    plain = Tokenizer.from_file(PATH)
+    texts = ["end<|endoftext|> go", "<|endoftext|>", "a\n<|endoftext|><|endoftext|>\nb c.", "no <|endoftext |> here", "end go", ""]
+    want = [[*plain.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+    assert want[0] == [437, 50256, 467, 2]
+    assert [x.tolist() for x in tokenfile.encoder(PATH, 2)(texts)] == want
+    path = scratch_dir(spark)
+    tokenfile.write_token_files(documents(*enumerate(texts)), path, PATH, 2)
+    got = [(r["start"], r["n_tokens"], r["ids_crc32"]) for r in tokenfile.read_token_files(spark, path).orderBy("doc_id").collect()]
+    sizes = [len(x) for x in want]
+    assert got == [(sum(sizes[:k]), len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for k, x in enumerate(want)]
