@@ -115,8 +115,8 @@ def contamination(
     documents: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", keep: list[str] | None = None, window: int = 10, slop: int = 1
 ) -> DataFrame:
     """One row for each row of ``documents``: its id, the columns ``keep``, ``n_words``, ``n_hit`` (words inside an
-    occurrence of a window), ``items`` (sorted ids, as text, of the items with an occurring window) and ``near_items``
-    (of those with a proximity match, which each phrase is too).
+    occurrence of a window), ``items`` (sorted ids, as text, of the items with an occurring window), ``n_near`` (words inside a
+    proximity match, which each phrase is too) and ``near_items`` (the ids of the items with such a match).
 
     A window is ``window`` consecutive words of an item; an item of fewer words is one window, an item
     without words none. Null texts have no words. Repeated rows stay rows of their own; items that share
@@ -129,6 +129,7 @@ def contamination(
     hits = matches.groupBy("row").agg(
         F.count_distinct(F.when(F.col("phrase"), F.col("pos"))).alias("n_hit"),
         F.array_sort(F.collect_set(F.when(F.col("phrase"), F.col("item_id")))).alias("items"),
+        F.count_distinct("pos").alias("n_near"),
         F.array_sort(F.collect_set("item_id")).alias("near_items"),
     )
     none = F.array().cast("array<string>")
@@ -138,5 +139,6 @@ def contamination(
         "n_words",
         F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce("items", none).alias("items"),
+        F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
         F.coalesce("near_items", none).alias("near_items"),
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.llm import brown, chat, decontaminate, extract, language, mixing, quality, search, simhash, tokenfile
@@ -33,17 +33,29 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Windows of ten words, phrases only."""
-    found = decontaminate.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), window=10, slop=0)
-    return found.select(
-        "doc_id",
-        "n_words",
-        "n_hit",
+def _op4_columns() -> list[Column]:
+    return [
+        F.col("doc_id"),
+        F.col("n_words"),
+        F.col("n_hit"),
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
-    )
+    ]
+
+
+def _op4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), window=10, slop=1)
+
+
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of ten words, phrases and proximity matches of one place; the columns are those of the phrases."""
+    return _op4_found(spark, sf_dir).select(*_op4_columns())
+
+
+def op4_near_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same matches with the proximity matches' words and items beside the columns of the phrases."""
+    return _op4_found(spark, sf_dir).select(*_op4_columns(), "n_near", "near_items")
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,6 +126,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_html_extraction,
         op3_simhash,
         op4_decontamination,
+        op4_near_decontamination,
         op5_mixing,
         op6_language_id,
         op7_chat_format,

@@ -33,6 +33,13 @@ def test_leaks_go_and_clean_documents_stay(spark, small, documents):
     assert sorted((r["doc_id"]) for r in pipeline.decontamination_stage(spark, docs, small).collect()) == [2, 3]
 
 
+def test_near_leaks_go(spark, small, documents):
+    words = [f"leak{k}" for k in range(12)]
+    put_in, swapped, apart = words[:6] + ["new"] + words[6:], [*words[:4], words[5], words[4], *words[6:]], words[:6] + ["a", "b", "c"] + words[6:]
+    docs = documents((1, " ".join(put_in)), (2, " ".join(swapped)), (3, " ".join(apart)), (4, "clean"))
+    assert sorted(r["doc_id"] for r in pipeline.decontamination_stage(spark, docs, small).collect()) == [3, 4]
+
+
 def test_mix_repeats_documents(spark, small, documents):
     docs = documents((1, "a b", "en", "s"), (2, "a b", "en", "t"), (2, "a b", "en", "t"), (3, None, "en", None))
     counts = pipeline.mixing_stage(spark, docs, small).groupBy("doc_id").count()

@@ -36,3 +36,14 @@ def test_held_out_accuracy(spark, sf_dir, name):
         truth, same = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang"), "lang_pred = lang"
     joined = found.join(truth, "doc_id")
     assert joined.where(same).count() >= 0.9 * joined.count() > 0
+
+
+def test_op4_returns_near_matches(spark, tmp_path, documents):
+    words = [f"leak{k}" for k in range(12)]
+    put_in = " ".join(words[:6] + ["new"] + words[6:])
+    documents((1, " ".join(words)), (2, put_in), (3, None)).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, " ".join(words))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    found = {r["doc_id"]: r for r in queries.queries()["op4_near_decontamination"](spark, str(tmp_path)).collect()}
+    assert [(found[k]["n_hit"], found[k]["n_near"] > 0, found[k]["near_items"]) for k in (1, 2, 3)] == [(12, True, ["1"]), (0, True, ["1"]), (0, False, [])]
+    contract = queries.queries()["op4_decontamination"](spark, str(tmp_path))
+    assert {r["doc_id"]: r["n_hit"] for r in contract.collect()} == {1: 12, 2: 0, 3: 0}
