@@ -1,10 +1,10 @@
 """HTML extraction with site template removal.
 
 Pages are read into element trees by a small tolerant reader. The hash of each element's subtree (tag, class, text and
-the hashes of its children) is counted per host by Spark, as the number of different parents it was
-seen under. Elements that recur on many pages of a host are its template: they are deleted, except for the main element
-and what is above it, and for text blocks inside it, which recur where documents share a passage. Elements whose tag,
-role, class or id names them as furniture go on every page.
+the hashes of its children) is counted per host by Spark, as the number of different pages it was seen on (inside an
+article: of different articles). Elements of the body that recur on many pages of a host are its template: they are deleted, except for the main
+elements (every top-level article) and what is above them, and for text blocks inside them, which recur where documents share a passage.
+Elements whose tag, role, class or id names them as furniture go on every page. All else of the body is text.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from barloom.llm.common import broadcast_if_small
 from barloom.scratch import settle
 
-#: An element is template if it is seen under so many different parents on a host, and on such a share of its pages.
+#: An element is template if it is seen on so many different pages of a host, and on such a share of them.
 MIN_PARENTS, MIN_SHARE = 8, 0.2
 
 # Names of HTML.
@@ -39,6 +39,8 @@ BLOCKS = frozenset(
     "address article blockquote body center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html li main nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 TEXT_BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dd dt td th tr table tbody ul ol dl figure figcaption b i em strong a span br hr code".split())
+#: What stands for a page itself, whatever its class.
+PAGE = frozenset(("#root", "html", "body"))
 #: What a start tag ends when it is still open, up to the tags behind the bar.
 CLOSES = {
     "li": ("li", "ul ol"),
@@ -137,40 +139,46 @@ def code_subtrees(root: Element) -> None:
         element.code = xxhash.xxh64_intdigest("\x00".join(parts).encode("utf-8", "replace")) - (1 << 63)
 
 
-def main_element(root: Element) -> Element | None:
-    """The first article, else the first main element, that is not furniture."""
+def main_elements(root: Element) -> list[Element]:
+    """The top-level articles, else the top-level main elements, that are not inside furniture."""
     for tag in ("article", "main"):
-        stack = [root]
+        found, stack = [], [root]
         while stack:
             element = stack.pop()
             if element.tag == tag or (tag == "main" and element.role == "main"):
-                return element
-            stack += [x for x in reversed(element.children) if isinstance(x, Element) and not x.furniture()]
-    return None
-
-
-def candidates(root: Element) -> Iterator[Element]:
-    """Elements that may be a site's template: all but the main element, what is above it, and text blocks inside it."""
-    main = main_element(root)
-    above = set()
-    element = main
-    while element is not None:
-        above.add(id(element))
-        element = element.parent
-    stack = [(x, False) for x in root.children if isinstance(x, Element)]
+                found.append(element)
+            else:
+                stack += [x for x in reversed(element.children) if isinstance(x, Element) and (x.tag in PAGE or not x.furniture())]
+        if found:
+            return found
+    return []
+
+
+def candidates(root: Element) -> Iterator[tuple[Element, Element]]:
+    """Elements that may be a site's template, each with its main element or else the page: all but the main elements, what is above
+    them, text blocks inside them, and what furniture holds, which goes with it."""
+    mains = main_elements(root)
+    own, above = {id(x) for x in mains}, set()
+    for element in mains:
+        while element is not None and id(element) not in above:
+            above.add(id(element))
+            element = element.parent
+    stack = [(x, root) for x in root.children if isinstance(x, Element)]
     while stack:
-        element, inside = stack.pop()
-        inside = inside or element is main
-        if id(element) not in above and element.tag not in ("html", "body") and not (inside and element.tag in TEXT_BLOCKS):
-            yield element
-        stack += [(x, inside) for x in element.children if isinstance(x, Element)]
+        element, under = stack.pop()
+        if id(element) in own:
+            under = element
+        elif element.tag not in PAGE and element.furniture():
+            continue
+        if id(element) not in above and element.tag not in PAGE and not (under is not root and element.tag in TEXT_BLOCKS):
+            yield element, under
+        stack += [(x, under) for x in element.children if isinstance(x, Element)]
 
 
 def main_text(root: Element, template: frozenset[int] | set[int] = frozenset()) -> str:
-    """The blocks of the main element (the body without one) that are neither furniture nor template, joined by two line feeds.
+    """The blocks of the body that are neither furniture nor template, joined by two line feeds.
     White space within a block is one blank; a line break is white space."""
-    removable = {id(x) for x in candidates(root) if x.code in template} if template else set()
-    start = main_element(root) or root
+    removable = {id(x) for x, _ in candidates(root) if x.code in template} if template else set()
     blocks: list[str] = []
     line: list[str] = []
 
@@ -180,17 +188,17 @@ def main_text(root: Element, template: frozenset[int] | set[int] = frozenset())
         if text:
             blocks.append(text)
 
-    stack: list[Element | str | None] = [start]
+    stack: list[Element | str | None] = [root]
     while stack:
         x = stack.pop()
         if x is None:
             end()
         elif isinstance(x, str):
             line.append(x)
-        elif x is start or not (x.furniture() or id(x) in removable):
+        elif x.tag in PAGE or not (x.furniture() or id(x) in removable):
             if x.tag == "br":
                 line.append(" ")
-            if x.tag in BLOCKS or x is start:
+            if x.tag in BLOCKS or x is root:
                 end()
                 stack.append(None)
             stack += reversed(x.children)
@@ -206,7 +214,7 @@ def host_of(url: Column) -> Column:
 def site_templates(pages: DataFrame, min_parents: int = MIN_PARENTS, min_share: float = MIN_SHARE) -> DataFrame:
     """``host`` and ``codes``, the subtree hashes of its template. ``pages``: ``host`` and ``html``.
 
-    A subtree counts once for each different parent, so copies of one page count once. A host can't have more
+    A subtree counts once for each different page, and inside a main element once for each different one, so copies count once. A host can't have more
     template subtrees than its pages have elements on average over ``min_share``.
     """
 
@@ -216,7 +224,7 @@ def site_templates(pages: DataFrame, min_parents: int = MIN_PARENTS, min_share:
             for host, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
                 root = read_page(page)
                 code_subtrees(root)
-                seen.update((host, x.code, x.parent.code) for x in candidates(root))
+                seen.update((host, x.code, under.code) for x, under in candidates(root))
             hosts, codes, parents = zip(*seen, strict=True) if seen else ((), (), ())
             yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(codes, pa.int64()), pa.array(parents, pa.int64())], names=["host", "code", "parent"])
 

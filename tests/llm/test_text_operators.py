@@ -398,3 +398,10 @@ def test_word_keys_are_the_engines_hash(spark):
     words = [b"", b"a", "é日".encode(), b"x" * 100]
     got = [r[0] for r in spark.createDataFrame([(w,) for w in words], "w binary").select(F.xxhash64("w")).collect()]
     assert got == [brown.word_key(w) for w in words]
+
+
+def test_extraction_keeps_every_article_and_other_text_of_the_body(spark):
+    body = "<body class='has-sidebar'><nav>Home</nav><div class='box7'>Join our club</div><h1>Day %d</h1><article><p>One %d</p></article><div><article><p>Two %d</p></article></div><footer>x</footer></body>"
+    rows = [(k, "https://two.org/p", f"<html>{body % (k, k, k)}</html>") for k in range(20)]
+    found = extract.extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    assert {r["page_id"]: r["text"] for r in found.collect()} == {k: f"Day {k}\n\nOne {k}\n\nTwo {k}" for k in range(20)}
