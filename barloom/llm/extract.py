@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from barloom.llm.common import broadcast_if_small
 from barloom.scratch import settle
 
-#: An element is template if it is seen on so many different pages of a host, and on such a share of them.
-MIN_PARENTS, MIN_SHARE = 8, 0.2
+#: An element is template if it is seen on so many different pages of a host, and on such a share of its different pages; so many do on any host.
+MIN_PARENTS, MIN_SHARE, ENOUGH = 8, 0.2, 40
 
 # Names of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -214,8 +214,8 @@ def host_of(url: Column) -> Column:
 def site_templates(pages: DataFrame, min_parents: int = MIN_PARENTS, min_share: float = MIN_SHARE) -> DataFrame:
     """``host`` and ``codes``, the subtree hashes of its template. ``pages``: ``host`` and ``html``.
 
-    A subtree counts once for each different page, and inside a main element once for each different one, so copies count once. A host can't have more
-    template subtrees than its pages have elements on average over ``min_share``.
+    A subtree counts once for each different page, and inside a main element once for each different one, so copies count
+    once; so do they among the pages of the host that ``min_share`` is taken of. From ``ENOUGH`` pages on no share is needed.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -224,14 +224,19 @@ def site_templates(pages: DataFrame, min_parents: int = MIN_PARENTS, min_share:
             for host, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
                 root = read_page(page)
                 code_subtrees(root)
+                seen.add((host, root.code, None))
                 seen.update((host, x.code, under.code) for x, under in candidates(root))
-            hosts, codes, parents = zip(*seen, strict=True) if seen else ((), (), ())
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(codes, pa.int64()), pa.array(parents, pa.int64())], names=["host", "code", "parent"])
-
-    seen = pages.select("host", "html").mapInArrow(work, "host string, code long, parent long").distinct()
-    counted = seen.groupBy("host", "code").agg(F.count("*").alias("parents")).where(F.col("parents") >= min_parents)
-    sizes = broadcast_if_small(settle(pages.groupBy("host").agg(F.count("*").alias("pages"))), 64)
-    return counted.join(sizes, "host").where(F.col("parents") >= F.col("pages") * min_share).groupBy("host").agg(F.collect_list("code").alias("codes"))
+            hosts, codes, under = zip(*seen, strict=True) if seen else ((), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(codes, pa.int64()), pa.array(under, pa.int64())], names=["host", "code", "under"])
+
+    # A row without ``under`` is a page.
+    seen = pages.select("host", "html").mapInArrow(work, "host string, code long, under long").distinct()
+    counted = seen.groupBy("host", "code").agg(F.count("under").alias("found"), F.bool_or(F.col("under").isNull()).alias("page"))
+    counted = settle(counted.where((F.col("found") >= min_parents) | F.col("page")))
+    sizes = broadcast_if_small(settle(counted.where("page").groupBy("host").agg(F.count("*").alias("pages"))), 64)
+    needed = F.least(F.col("pages") * min_share, F.lit(float(ENOUGH)))
+    templates = counted.where(F.col("found") >= min_parents).join(sizes, "host").where(F.col("found") >= needed)
+    return templates.groupBy("host").agg(F.collect_list("code").alias("codes"))
 
 
 def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_parents: int = MIN_PARENTS, min_share: float = MIN_SHARE) -> DataFrame:

@@ -405,3 +405,23 @@ def test_extraction_keeps_every_article_and_other_text_of_the_body(spark):
     rows = [(k, "https://two.org/p", f"<html>{body % (k, k, k)}</html>") for k in range(20)]
     found = extract.extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string"))
     assert {r["page_id"]: r["text"] for r in found.collect()} == {k: f"Day {k}\n\nOne {k}\n\nTwo {k}" for k in range(20)}
+
+
+def test_template_share_is_of_different_pages_and_no_more_than_enough(spark):
+    copied = [("c", FRAME % f"<article><p>{k % 100}</p></article>") for k in range(1000)]
+    large = [("l", f"<div class='box7'>{'Offers' if k < 50 else k}</div><article><p>{k}</p></article>") for k in range(400)]
+    few = [("f", f"<div class='box7'>{'Offers' if k < 10 else k}</div><article><p>{k}</p></article>") for k in range(100)]
+    found = extract.site_templates(spark.createDataFrame(copied + large + few, "host string, html string"))
+    codes = {r["host"]: set(r["codes"]) for r in found.collect()}
+
+    def texts(rows):
+        out = set()
+        for host, page in rows:
+            root = extract.read_page(page)
+            extract.code_subtrees(root)
+            out.add(extract.main_text(root, codes.get(host, set())))
+        return out
+
+    assert texts(copied) == {str(k) for k in range(100)}
+    assert texts(large[:50]) == {str(k) for k in range(50)}
+    assert texts(few[:10]) == {f"Offers\n\n{k}" for k in range(10)}
