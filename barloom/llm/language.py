@@ -2,7 +2,7 @@
 
 A text is lower-cased; its runs of letters give n-grams of one to three letters (a blank on either
 side of a run counts as a letter), hashed to ``2**BITS`` coordinates. The vectors of a bounded sample of
-each language are clustered by spherical k-means; a text gets the language of the centroid with the
+each language are clustered by spherical k-means, each language in a task of its own; a text gets the language of the centroid with the
 largest cosine. A text that is farther from its centroid than ``reject`` of the sample's own texts were is
 marked as rejected; a text without letters has no vector.
 """
@@ -16,11 +16,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from barloom.llm.common import broadcast_if_small
+from barloom.scratch import settle
+
 BITS = 15
 #: Texts of each language that a fit uses at most, centroids of each language, share of a language's own texts within its radius.
 ROWS_PER_LANGUAGE, CENTROIDS, WITHIN = 400, 4, 0.995
-#: A fit takes the languages with the most texts, up to so many.
-LANGUAGES = 200
+#: What a row of a language or of a sample's id takes in a broadcast, at most about.
+_ROW_BYTES = 48
 
 
 def _letters() -> np.ndarray:
@@ -93,7 +96,9 @@ def spherical_kmeans(at: list[np.ndarray], values: list[np.ndarray], size: int,
 class LanguageModel:
     languages: list[str]
     owner: np.ndarray  # the language of each centroid
-    centroids: np.ndarray  # coordinates x centroids
+    starts: np.ndarray  # where each coordinate's part of the next two starts, and the end
+    centroid: np.ndarray  # the centroids that have a coordinate
+    weight: np.ndarray  # and their values there
     idf: np.ndarray
     radius: np.ndarray  # the largest accepted distance of each language
     bits: int = BITS
@@ -109,47 +114,38 @@ class LanguageModel:
         at, values = self.vector(text)
         if not len(at) or not self.languages:
             return None, 0.0, True
-        cosines = values @ self.centroids[at]
+        first, sizes = self.starts[at], self.starts[at + 1] - self.starts[at]
+        ends = np.cumsum(sizes)
+        taken = np.arange(ends[-1]) + np.repeat(first - ends + sizes, sizes)
+        cosines = np.bincount(self.centroid[taken], np.repeat(values, sizes) * self.weight[taken], len(self.owner))
         best = int(np.argmax(cosines))
         cosine = float(min(max(cosines[best], 0.0), 1.0))
         return self.languages[self.owner[best]], cosine, bool(1 - cosine > self.radius[self.owner[best]])
 
 
-def fit_counts(rows: list[tuple[str, np.ndarray, np.ndarray]], bits: int = BITS, k: int = CENTROIDS, within: float = WITHIN) -> LanguageModel:
-    """The model of (language, coordinates, counts)."""
-    size = 1 << bits
-    seen = np.zeros(size)
-    for _, at, _ in rows:
-        seen[at] += 1
-    idf = np.log((1 + len(rows)) / (1 + seen)) + 1
-    languages = sorted({lang for lang, at, _ in rows if len(at)})
-    centroids, owner, radius = [], [], []
-    for n, lang in enumerate(languages):
-        own = [(at, (1 + np.log(counts)) * idf[at]) for name, at, counts in rows if name == lang and len(at)]
-        vectors = [v / np.sqrt(v @ v) for _, v in own]
-        centres = spherical_kmeans([at for at, _ in own], vectors, size, k)
-        best = [max(float(v @ c[at]) for c in centres) for (at, _), v in zip(own, vectors, strict=True)]
-        centroids.extend(centres)
-        owner += [n] * len(centres)
-        radius.append(1 - float(np.quantile(best, 1 - within)))
-    table = np.array(centroids).T if centroids else np.zeros((size, 0))
-    return LanguageModel(languages, np.array(owner, int), np.ascontiguousarray(table), idf, np.array(radius), bits)
+def fit_language(rows: list[tuple[np.ndarray, np.ndarray]], idf: np.ndarray, k: int = CENTROIDS, within: float = WITHIN) -> tuple[np.ndarray, float]:
+    """The centroids of one language and its radius, from the coordinates and counts of its texts; none has no coordinates."""
+    own = [(at, (1 + np.log(counts)) * idf[at]) for at, counts in rows]
+    vectors = [v / np.sqrt(v @ v) for _, v in own]
+    centres = spherical_kmeans([at for at, _ in own], vectors, len(idf), k)
+    best = [max(float(v @ c[at]) for c in centres) for (at, _), v in zip(own, vectors, strict=True)]
+    return centres, 1 - float(np.quantile(best, 1 - within))
 
 
 def train_languages(
-    documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows_per_language: int = ROWS_PER_LANGUAGE, languages: int = LANGUAGES, bits: int = BITS, k: int = CENTROIDS
+    documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows_per_language: int = ROWS_PER_LANGUAGE, bits: int = BITS, k: int = CENTROIDS
 ) -> LanguageModel:
     """Fit on the rows with a language, at most ``rows_per_language`` of each: those with the smallest hash of
-    their id. Null languages and null ids are left out. Of more than ``languages`` the most frequent are learned."""
+    their id. Null languages and null ids are left out. Every language is learned, and the driver holds its centroids, sparse."""
     rows = documents.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"), F.col(f"`{lang_col}`").cast("string").alias("lang"))
     known = rows.where("lang is not null and id is not null and text is not null")
-    common = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(languages)
+    every = broadcast_if_small(known.groupBy("lang").agg(F.count("*").alias("n")), _ROW_BYTES)
     first = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
     # Ids first: only the texts of the sample are carried further. A threshold on the hash leaves about four times
-    # as many ids as are wanted, however frequent a language is; the broadcast has languages x rows_per_language rows at most.
-    near = known.select("lang", "id").join(F.broadcast(common), "lang").where(F.pmod(F.xxhash64("id"), F.lit(1 << 31)) * F.col("n") < float(4 * rows_per_language * (1 << 31)))
+    # as many ids as are wanted, however frequent a language is.
+    near = known.select("lang", "id").join(every, "lang").where(F.pmod(F.xxhash64("id"), F.lit(1 << 31)) * F.col("n") < float(4 * rows_per_language * (1 << 31)))
     chosen = near.withColumn("turn", F.row_number().over(first)).where(F.col("turn") <= rows_per_language)
-    chosen = chosen.select("lang", "id").distinct()
+    chosen = broadcast_if_small(settle(chosen.select("lang", "id").distinct()), _ROW_BYTES)
 
     def counted(batches):
         for frame in batches:
@@ -164,17 +160,55 @@ def train_languages(
             )
 
     capped = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id", F.xxhash64("at", "counts"))
-    found = (
-        known.join(F.broadcast(chosen), ["lang", "id"])
+    sample = settle(
+        known.join(chosen, ["lang", "id"])
         .select("lang", "id", "text")
         .mapInPandas(counted, "lang string, id string, at binary, counts binary")
         .withColumn("turn", F.row_number().over(capped))
         .where(F.col("turn") <= rows_per_language)
-        .orderBy("lang", "turn")
-        .collect()
+        .select("lang", "turn", "at", "counts")
     )
-    unpacked = [(r["lang"], np.frombuffer(r["at"], "<u4").astype(np.int64), np.frombuffer(r["counts"], "<f4").astype(float)) for r in found]
-    return fit_counts(unpacked, bits, k)
+
+    def coordinates(batches):
+        total = np.zeros(1 << bits, np.int64)
+        for frame in batches:
+            for x in frame["at"]:
+                total[np.frombuffer(x, "<u4")] += 1
+        at = np.flatnonzero(total)
+        yield pd.DataFrame({"at": at, "n": total[at]})
+
+    seen = np.zeros(1 << bits)
+    for r in sample.select("at").mapInPandas(coordinates, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).collect():
+        seen[r["at"]] = r["n"]
+    idf = np.log((1 + sample.count()) / (1 + seen)) + 1
+
+    def fit(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("turn")
+        rows = [(np.frombuffer(a, "<u4").astype(np.int64), np.frombuffer(c, "<f4").astype(float)) for a, c in zip(frame["at"], frame["counts"], strict=True)]
+        centres, radius = fit_language(rows, idf, k)
+        nonzero = [np.flatnonzero(c) for c in centres]
+        return pd.DataFrame(
+            {
+                "lang": frame["lang"].iloc[0],
+                "number": range(len(centres)),
+                "at": [x.astype("<u4").tobytes() for x in nonzero],
+                "weight": [c[x].astype("<f8").tobytes() for c, x in zip(centres, nonzero, strict=True)],
+                "radius": radius,
+            }
+        )
+
+    fitted = sample.where("length(at) > 0").groupBy("lang").applyInPandas(fit, "lang string, number int, at binary, weight binary, radius double").collect()
+    fitted.sort(key=lambda r: (r["lang"], r["number"]))
+    learned = sorted({r["lang"] for r in fitted})
+    place = {lang: n for n, lang in enumerate(learned)}
+    radius = {r["lang"]: r["radius"] for r in fitted}
+    at = np.concatenate([np.frombuffer(r["at"], "<u4").astype(np.int64) for r in fitted] or [np.empty(0, np.int64)])
+    weight = np.concatenate([np.frombuffer(r["weight"], "<f8") for r in fitted] or [np.empty(0)])
+    centroid = np.repeat(np.arange(len(fitted)), [len(r["at"]) // 4 for r in fitted])
+    order = np.argsort(at, kind="stable")
+    starts = np.searchsorted(at[order], np.arange((1 << bits) + 1))
+    owner = np.array([place[r["lang"]] for r in fitted], int)
+    return LanguageModel(learned, owner, starts, centroid[order].astype(np.int32), weight[order], idf, np.array([radius[x] for x in learned]), bits)
 
 
 def language_of(model: LanguageModel, text: Column) -> Column:

@@ -425,3 +425,13 @@ def test_template_share_is_of_different_pages_and_no_more_than_enough(spark):
     assert texts(copied) == {str(k) for k in range(100)}
     assert texts(large[:50]) == {str(k) for k in range(50)}
     assert texts(few[:10]) == {f"Offers\n\n{k}" for k in range(10)}
+
+
+def test_every_language_is_learned(documents):
+    # Each language has letters of its own; the last ones are the rarest.
+    word = lambda n: chr(0x4E00 + 3 * n) + chr(0x4E01 + 3 * n)
+    names = [f"l{n:03d}" for n in range(230)]
+    rows = [(1000 * k + n, word(n), names[n]) for n in range(230) for k in range(2 if n < 200 else 1)]
+    model = language.train_languages(documents(*rows))
+    assert model.languages == names
+    assert [model.predict(word(n))[0] for n in range(230)] == names
