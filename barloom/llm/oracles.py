@@ -47,9 +47,38 @@ SELECT conv_id, count(*) AS n_turns,
 FROM e GROUP BY conv_id
 """
 
+OP13 = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM p),
+g AS (
+  SELECT lang, k AS words, array_to_string(ws[s:s + k - 1], ' ') AS phrase
+  FROM w, unnest([1, 2, 3]) AS t(k), unnest(range(1, len(ws) - k + 2)) AS u(s)),
+f AS (SELECT lang, words, phrase, count(*) AS c FROM g GROUP BY ALL),
+n AS (SELECT lang, sum(c) AS n FROM f WHERE words = 1 GROUP BY lang),
+cand AS (SELECT lang, words, phrase, c AS a, string_split(phrase, ' ') AS ws FROM f WHERE words > 1 AND c >= 10),
+cuts AS (
+  SELECT q.lang, q.words, q.phrase, q.a, k, x.c AS l, y.c AS r,
+         (1000000::HUGEINT * q.a * q.a) // (x.c::HUGEINT * y.c) AS score
+  FROM cand q, unnest(range(1, q.words)) AS t(k)
+  JOIN f x ON x.lang = q.lang AND x.words = k AND x.phrase = array_to_string(q.ws[1:k], ' ')
+  JOIN f y ON y.lang = q.lang AND y.words = q.words - k AND y.phrase = array_to_string(q.ws[k + 1:q.words], ' ')),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (
+  SELECT q.lang, array_to_string(q.ws[s:s + m - 1], ' ') AS phrase, max(q.a) AS longer
+  FROM cand q, unnest(range(2, q.words)) AS t(m), unnest(range(1, q.words - m + 2)) AS u(s) GROUP BY ALL),
+kept AS (SELECT b.* FROM best b LEFT JOIN inside i USING (lang, phrase) WHERE i.longer IS NULL OR 100 * i.longer < 50 * b.a)
+SELECT lang, rank, phrase, a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept) JOIN n USING (lang)
+WHERE rank <= 2000
+"""
+
 ORACLES: dict[str, str] = {
     "op4_decontamination": OP4,
     "op7_chat_format": OP7,
+    "op13_phrases": OP13,
 }
 
 

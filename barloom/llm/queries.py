@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import brown, chat, decontaminate, extract, language, mixing, quality, search, simhash, tokenfile
+from barloom.llm import brown, chat, decontaminate, extract, language, mixing, phrases, quality, search, simhash, tokenfile
 from barloom.llm.common import in_fold, read
 from barloom.scratch import scratch_dir
 
@@ -119,6 +119,11 @@ def op10_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.top_k(read(spark, sf_dir, "documents"), F.col("doc_id") % 20 == 0, k=10)
 
 
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Phrases of two and three words that occur ten times; those that lie in a longer one with half of their occurrences go."""
+    return phrases.collocations(read(spark, sf_dir, "documents"), longest=3, least=10, share=50, top=2000)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -133,6 +138,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_class_lm,
         op9_token_files,
         op10_top_k_search,
+        op13_phrases,
     )
 }
 

@@ -1,0 +1,104 @@
+"""Phrase mining against a brute-force version."""
+
+import random
+import re
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from barloom.llm import phrases
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def counted(rows, longest):
+    """Occurrences of phrases by (lang, words)."""
+    counts = defaultdict(Counter)
+    for lang, text in rows:
+        for piece in re.split("[.,;:!?\n\x0b\x0c\r]", (text or "").translate(LOWER)):
+            words = [w for w in re.split("[ \t]+", piece) if w]
+            for n in range(1, longest + 1):
+                counts["und" if lang is None else lang].update(tuple(words[i : i + n]) for i in range(len(words) - n + 1))
+    return counts
+
+
+def brute(rows, longest=3, least=10, share=50, top=2000):
+    out = set()
+    for lang, f in counted(rows, longest).items():
+        total = sum(c for p, c in f.items() if len(p) == 1)
+        candidates = {p: c for p, c in f.items() if len(p) > 1 and c >= least}
+        longer = Counter()
+        for p, c in candidates.items():
+            for m in range(2, len(p)):
+                for s in range(len(p) - m + 1):
+                    longer[p[s : s + m]] = max(longer[p[s : s + m]], c)
+        kept = []
+        for p, a in candidates.items():
+            if longer[p] and 100 * longer[p] >= share * a:
+                continue
+            score, k = min((1000000 * a * a // (f[p[:k]] * f[p[k:]]), k) for k in range(1, len(p)))
+            kept.append((-score, -a, " ".join(p).encode(), f[p[:k]], f[p[k:]]))
+        for rank, (score, a, p, left, right) in enumerate(sorted(kept)[:top], 1):
+            out.add((lang, rank, p.decode(), -a, left, right, total, -score))
+    return out
+
+
+def corpus(n, seed=0):
+    rng = random.Random(seed)
+    words = ["New", "york", "city", "the", "of", "é", "ü", "red-tape", "x" * 40]
+    marks = [" ", " ", " ", "  ", "\t", ", ", ".", "\n", "\r\n", "\x0b", "\x85", " ", "\x1f"]
+    return [(rng.choice(["en", "fr", None]), "".join(rng.choice(words) + rng.choice(marks) for _ in range(rng.randrange(60)))) for _ in range(n)]
+
+
+def frame(spark, rows):
+    made = [(k, lang, text, 1, "x", 2) for k, (lang, text) in enumerate(rows)]
+    return spark.createDataFrame(made, "doc_id long, lang string, text string, c int, phrase string, words int")
+
+
+def found(df):
+    return {(r["lang"], r["rank"], r["phrase"], r["a"], r["l"], r["r"], r["n"], r["score"]) for r in df.collect()}
+
+
+@pytest.mark.parametrize(("shards", "longest", "share", "top"), [(3, 3, 50, 2000), (1, 3, 100, 7), (2, 4, 60, 2000)])
+def test_phrases_equal_brute_force(spark, shards, longest, share, top):
+    rows = corpus(120, seed=shards) + [("en", "one very common line of words. ")] * 40 + [("en", None), ("en", ""), (None, "...")]
+    got = found(phrases.collocations(frame(spark, rows), longest=longest, share=share, top=top, shards=shards))
+    assert got == brute(rows, longest, share=share, top=top) and got
+
+
+def test_counts_are_of_whole_cycles_and_long_texts_are_cut_without_loss(spark, monkeypatch):
+    monkeypatch.setattr(phrases, "CHUNK_BYTES", 64)
+    monkeypatch.setattr(phrases, "HELD_ROWS", 16)
+    rows = [*corpus(30, seed=9), ("en", "a b c " * 3000), ("en", "w" * 10_000), ("en", "late pair " * 9)]
+    counts = phrases.phrase_counts(frame(spark, rows).repartition(3), least=5, shards=3).collect()
+    want = counted(rows, 3)
+    for r in counts:
+        assert want[r["lang"]][tuple(r["phrase"].decode().split(" "))] == r["c"]
+    have = {(r["lang"], r["phrase"].decode()) for r in counts}
+    assert {(lang, " ".join(p)) for lang, f in want.items() for p, c in f.items() if c >= 5 or len(p) == 1} <= have
+
+
+def test_runs_of_tokens_join_to_the_whole():
+    text = b"Aa b,c\td  e! " * 50 + b"z" * 100
+    for size in (1, 7, 64, 10_000):
+        joined = [t for tokens, skip in phrases.token_runs(text, 3, size) for t in tokens[skip:]]
+        assert joined == text.lower().replace(b",", b" \xff ").replace(b"!", b" \xff ").split()
+    assert list(phrases.token_runs(b"", 3)) == [] and list(phrases.token_runs(b" \t ", 3)) == []
+
+
+def test_a_full_bitmap_changes_nothing(spark, monkeypatch):
+    """With few bits nearly every phrase is counted; what comes out is the same."""
+    monkeypatch.setattr(phrases, "FILTER_BITS", 64)
+    rows = corpus(100, seed=4)
+    assert found(phrases.collocations(frame(spark, rows))) == brute(rows)
+
+
+def test_products_beyond_64_bits_and_empty_tables(spark, monkeypatch):
+    big = 4_000_000_000
+    counts = [("en", 1, b"a", 3 * big), ("en", 1, b"b", 2 * big), ("en", 2, b"a b", big)]
+    monkeypatch.setattr(phrases, "phrase_counts", lambda *a: spark.createDataFrame(counts, "lang string, words int, phrase binary, c long"))
+    assert found(phrases.collocations(None)) == {("en", 1, "a b", big, 3 * big, 2 * big, 5 * big, 1000000 // 6)}
+    monkeypatch.undo()
+    none = phrases.collocations(frame(spark, [("en", "x")]).where(F.lit(False)))
+    assert none.collect() == [] and none.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
