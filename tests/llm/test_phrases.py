@@ -67,16 +67,35 @@ def test_phrases_equal_brute_force(spark, shards, longest, share, top):
     assert got == brute(rows, longest, share=share, top=top) and got
 
 
-def test_counts_are_of_whole_cycles_and_long_texts_are_cut_without_loss(spark, monkeypatch):
-    monkeypatch.setattr(phrases, "CHUNK_BYTES", 64)
-    monkeypatch.setattr(phrases, "HELD_ROWS", 16)
+@pytest.mark.parametrize(("shards", "longest"), [(3, 3), (2, 4)])
+def test_small_chunks_cut_long_texts_without_loss(spark, shards, longest):
     rows = [*corpus(30, seed=9), ("en", "a b c " * 3000), ("en", "w" * 10_000), ("en", "late pair " * 9)]
-    counts = phrases.phrase_counts(frame(spark, rows).repartition(3), least=5, shards=3).collect()
-    want = counted(rows, 3)
-    for r in counts:
-        assert want[r["lang"]][tuple(r["phrase"].decode().split(" "))] == r["c"]
-    have = {(r["lang"], r["phrase"].decode()) for r in counts}
-    assert {(lang, " ".join(p)) for lang, f in want.items() for p, c in f.items() if c >= 5 or len(p) == 1} <= have
+    made = phrases.collocations(frame(spark, rows).repartition(3), least=5, longest=longest, shards=shards, chunk=64, held_rows=16)
+    assert found(made) == brute(rows, longest, least=5)
+
+
+def test_phrases_of_hashes_that_words_share_are_counted_anew(spark, monkeypatch):
+    """The first seed gives words of one hash: the counts begin again with the next."""
+    seeds, plain = [], phrases._count_shard
+
+    def weak(shard, maps, step, with_words, seed, *rest):
+        seeds.append(seed)
+        counts = plain(shard, maps, step, with_words, seed, *rest)
+        return counts if seed else counts.withColumn("w1", F.when(F.col("word").isNotNull(), F.col("w1") % 2).otherwise(F.col("w1")))
+
+    monkeypatch.setattr(phrases, "_count_shard", weak)
+    rows = corpus(60, seed=2)
+    assert found(phrases.collocations(frame(spark, rows))) == brute(rows) and {0, 1} == set(seeds)
+
+
+def test_hashes_are_those_of_spark(spark):
+    import numpy as np
+
+    values = [(0, 0), (1, -1), (-(2**63), 2**63 - 1), (123456789, 42)]
+    df = spark.createDataFrame(values, "a long, b long").select(F.xxhash64("a").alias("h1"), F.xxhash64("a", "b").alias("h2"))
+    a, b = (np.array(x, np.int64).view(np.uint64) for x in zip(*values, strict=True))
+    one = phrases.chained(np.uint64(42), a)
+    assert [(r["h1"], r["h2"]) for r in df.collect()] == list(zip(one.view(np.int64).tolist(), phrases.chained(one, b).view(np.int64).tolist(), strict=True))
 
 
 def test_runs_of_tokens_join_to_the_whole():
@@ -94,11 +113,14 @@ def test_a_full_bitmap_changes_nothing(spark, monkeypatch):
     assert found(phrases.collocations(frame(spark, rows))) == brute(rows)
 
 
-def test_products_beyond_64_bits_and_empty_tables(spark, monkeypatch):
+def test_products_beyond_64_bits(spark):
     big = 4_000_000_000
-    counts = [("en", 1, b"a", 3 * big), ("en", 1, b"b", 2 * big), ("en", 2, b"a b", big)]
-    monkeypatch.setattr(phrases, "phrase_counts", lambda *a: spark.createDataFrame(counts, "lang string, words int, phrase binary, c long"))
-    assert found(phrases.collocations(None)) == {("en", 1, "a b", big, 3 * big, 2 * big, 5 * big, 1000000 // 6)}
-    monkeypatch.undo()
+    pairs = spark.createDataFrame([(1, 2, None, big)], "w1 long, w2 long, w3 long, c long")
+    words = spark.createDataFrame([(1, 3 * big), (2, 2 * big)], "w1 long, c long")
+    assert [(r["a"], r["l"], r["r"], r["score"]) for r in phrases.scored_phrases(pairs, words, 3, 50).collect()] == [(big, 3 * big, 2 * big, 1000000 // 6)]
+
+
+def test_empty_tables_and_texts_have_no_phrases(spark):
     none = phrases.collocations(frame(spark, [("en", "x")]).where(F.lit(False)))
     assert none.collect() == [] and none.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
+    assert phrases.collocations(frame(spark, [("en", None), (None, ""), ("en", " . \t")])).collect() == []
