@@ -75,9 +75,35 @@ FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC
 WHERE rank <= 2000
 """
 
+
+
+def _op12_round(n: int) -> str:
+    """The assignment to the centroids of round n, and the centroids after it."""
+    return f"""
+a{n} AS (
+  SELECT k.r, k.vec_id, k.v, c.c, list_sum(list_transform(list_zip(k.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS d
+  FROM k, c{n} c QUALIFY row_number() OVER (PARTITION BY k.r ORDER BY d, c.c) = 1),
+s{n} AS (SELECT c, i, sum(x)::BIGINT AS s, count(*) AS n FROM (SELECT c, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM a{n}) GROUP BY c, i),
+m{n} AS (SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY i) AS v FROM s{n} GROUP BY c),
+c{n + 1} AS (SELECT o.c, coalesce(m.v, o.v) AS v FROM c{n} o LEFT JOIN m{n} m USING (c)),"""
+
+
+OP12 = f"""
+WITH k AS (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS (SELECT row_number() OVER (ORDER BY h, v) - 1 AS c, v FROM (SELECT sha256('1:' || vec_id) AS h, v FROM k) ORDER BY h, v LIMIT 16),
+{"".join(_op12_round(n) for n in range(4))}
+t AS (SELECT c, sum(d) AS s FROM a3 GROUP BY c)
+SELECT vec_id, CAST(a3.c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance, CAST(t.s AS BIGINT) AS cluster_inertia,
+       CAST((SELECT sum(s) FROM t) AS BIGINT) AS inertia, sha256(array_to_string(c3.v, ',')) AS centroid_sha256
+FROM a3 JOIN t USING (c) JOIN c3 USING (c)
+"""
+
 ORACLES: dict[str, str] = {
     "op4_decontamination": OP4,
     "op7_chat_format": OP7,
+    "op12_centroid_clustering": OP12,
     "op13_phrases": OP13,
 }
 

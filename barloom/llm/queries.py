@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import brown, chat, decontaminate, extract, language, mixing, phrases, quality, search, simhash, tokenfile
+from barloom.llm import brown, centroids, chat, decontaminate, extract, language, mixing, neighbours, phrases, quality, search, simhash, tokenfile
 from barloom.llm.common import in_fold, read
 from barloom.scratch import scratch_dir
 
@@ -119,6 +119,16 @@ def op10_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.top_k(read(spark, sf_dir, "documents"), F.col("doc_id") % 20 == 0, k=10)
 
 
+def op11_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty nearest found for each vector whose id is divisible by 20, by largest inner product."""
+    return neighbours.nearest_neighbours(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sixteen centroids, three rounds, on floor(64 x)."""
+    return centroids.cluster_vectors(read(spark, sf_dir, "embeddings"), k=16, rounds=3, dims=64, scale=64, seed=1)
+
+
 def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Phrases of two and three words that occur ten times; those that lie in a longer one with half of their occurrences go."""
     return phrases.collocations(read(spark, sf_dir, "documents"), longest=3, least=10, share=50, top=2000)
@@ -138,6 +148,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_class_lm,
         op9_token_files,
         op10_top_k_search,
+        op11_nearest_neighbours,
+        op12_centroid_clustering,
         op13_phrases,
     )
 }

@@ -17,7 +17,7 @@ def test_entry_lists_them():
 @pytest.mark.parametrize("name", sorted(oracles.oracle_sql()))
 def test_oracle(spark, sf_dir, name):
     connection = duckdb.connect()
-    for table in ("documents", "benchmark", "conversations"):
+    for table in ("documents", "benchmark", "conversations", "embeddings"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{os.path.join(sf_dir, table)}.parquet'")
     got = queries.queries()[name](spark, sf_dir).toPandas()
     want = connection.execute(oracles.oracle_sql()[name]).df()
