@@ -38,8 +38,8 @@ SHARD_DOCS, SHARD_BYTES = 4096, 4 << 20
 SAMPLE_DOCS, SAMPLE_BYTES, DICTIONARY_BYTES = 1000, 16 << 10, 64 << 10
 #: Pieces of text whose ids a worker process remembers, those it keeps when there are more, and their longest.
 MEMO, MEMO_KEPT, MEMO_CHARS = 1_200_000, 600_000, 64
-#: Characters of the texts that are encoded at once, at least.
-CHUNK_CHARS = 1 << 20
+#: Characters of the texts that are encoded at once, at least; rows of a batch that are held as Python objects at once.
+CHUNK_CHARS, ROWS = 1 << 20, 1024
 #: Signs that a byte-level tokenizer parts from a letter or digit before them.
 TAIL = ".,!?*#$%&:;|"
 #: White space other than blank and line feed.
@@ -243,18 +243,21 @@ def write_token_files(documents: DataFrame, path: str, tokenizer_path: str, end_
                 x.clear()
             return pa.RecordBatch.from_arrays(columns, names=names)
 
-        for batch in batches:
-            part = batch.column("part")[0].as_py() if batch.num_rows else part
-            doc_ids, texts = batch.column("id").to_pylist(), batch.column("text").to_pylist()
-            for a, b in in_chunks(texts):
-                for doc_id, ids in zip(doc_ids[a:b], encode(texts[a:b]), strict=True):
-                    frame = writer.compress(ids.astype(f"<u{width}").tobytes())
-                    for x, y in zip(kept, (doc_id, frame, len(ids)), strict=True):
-                        x.append(y)
-                    held += len(frame)
-                    if len(kept[0]) >= SHARD_DOCS or held >= SHARD_BYTES:
-                        yield shard()
-                        seq, held = seq + 1, 0
+        for whole in batches:
+            part = whole.column("part")[0].as_py() if whole.num_rows else part
+            for batch in (whole.slice(k, ROWS) for k in range(0, whole.num_rows, ROWS)):
+                doc_ids, texts = batch.column("id").to_pylist(), batch.column("text").to_pylist()
+                for a, b in in_chunks(texts):
+                    for doc_id, ids in zip(doc_ids[a:b], encode(texts[a:b]), strict=True):
+                        frame = writer.compress(ids.astype(f"<u{width}").tobytes())
+                        for x, y in zip(kept, (doc_id, frame, len(ids)), strict=True):
+                            x.append(y)
+                        held += len(frame)
+                        if len(kept[0]) >= SHARD_DOCS or held >= SHARD_BYTES:
+                            yield shard()
+                            seq, held = seq + 1, 0
+            # Else the pool of a worker process, which runs many tasks, keeps what all batches have taken at most.
+            pa.default_memory_pool().release_unused()
         if kept[0]:
             yield shard()
 
