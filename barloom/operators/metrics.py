@@ -1,17 +1,20 @@
 """Price and volume metrics along every series.
 
-The arithmetic is on doubles. With ``exact_scale=n`` prices and volumes are taken as decimals of
-``n`` places and sums stay decimal until the last division, so results do not depend on the
-order of summation.
+The arithmetic is on doubles. Running sums are exact and rounded once (``functions/exact.py``), so they have the same
+bits however a series is cut. With ``exact_scale=n`` prices and volumes are taken as decimals of
+``n`` places and sums stay decimal until the last division; a value that ``n`` places would change, by more than the noise in a
+double's last bits, is an error that names it, and ``exact_scale_of`` tells the least ``n`` that changes none.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from barloom.functions.exact import ExactSum, plan_sums
 from barloom.operators.series import Slices, over_series
 from barloom.spec import BarSpec
 
@@ -22,8 +25,38 @@ VOLATILITY_SIZE = 20
 _PV, _V = "__pv", "__v"
 
 
-def _number(name: str, exact_scale: int | None) -> Column:
-    return F.col(name) if exact_scale is None else F.col(name).cast(f"decimal(18,{exact_scale})")
+# Digits of a decimal price or volume; decimals of more places than this are not tried.
+DIGITS, MOST_PLACES = 18, 17
+# What arithmetic on doubles may have changed of a decimal number: some units of the last of its 53 bits.
+NOISE = 2.0**-49
+
+
+def _places(x: Column, scale: int) -> Column:
+    """x with ``scale`` decimal places, or null if they change it."""
+    places = x.try_cast(f"decimal({DIGITS},{scale})")
+    return F.when(F.abs(places.cast("double") - x.cast("double")) <= F.abs(x.cast("double")) * NOISE, places)
+
+
+def _number(name: str, exact_scale: int | None, spec: BarSpec) -> Column:
+    x = F.col(name)
+    if exact_scale is None:
+        return x
+    places = _places(x, exact_scale)
+    at = [F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in (name, spec.key, spec.time)]
+    message = F.format_string(f"{name} %s of %s at %s has no decimal({DIGITS},{exact_scale})", *at)
+    return F.when(x.isNull() | places.isNotNull(), places).otherwise(F.raise_error(message))
+
+
+def exact_scale_of(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row: for each column ``{column}_scale``, the least number of decimal places that change no value, and
+    ``{column}_unfit``, how many values have none up to 17 places in 18 digits (NaN and infinite ones too). Nulls don't count; without a value the scale is null."""
+
+    def least(x: Column) -> Column:
+        return F.coalesce(*[F.when(_places(x, n).isNotNull(), F.lit(n)) for n in range(MOST_PLACES + 1)])
+
+    scales = df.select(*[F.col(c).isNotNull().alias(f"{c}_given") for c in columns], *[least(F.col(c)).alias(f"{c}_scale") for c in columns])
+    aggs = [[F.max(f"{c}_scale").alias(f"{c}_scale"), F.count_if(F.col(f"{c}_given") & F.col(f"{c}_scale").isNull()).alias(f"{c}_unfit")] for c in columns]
+    return scales.agg(*reduce(lambda a, b: a + b, aggs))
 
 
 def _add_prev_close(df: DataFrame, w: WindowSpec, spec: BarSpec) -> DataFrame:
@@ -41,21 +74,32 @@ def _add_moving_averages(
     def average(frame: WindowSpec) -> Column:
         if exact_scale is None:
             return F.avg(spec.close).over(frame)
-        total = F.sum(_number(spec.close, exact_scale)).over(frame)
+        total = F.sum(_number(spec.close, exact_scale, spec)).over(frame)
         return F.try_divide(total.cast("double"), F.count(spec.close).over(frame))
 
     return df.withColumns({f"close_ma_{n}": average(w.rowsBetween(1 - n, 0)) for n in sizes})
 
 
-def _running(spec: BarSpec, exact_scale: int | None) -> dict[str, Column]:
-    close, volume = _number(spec.close, exact_scale), _number(spec.volume, exact_scale)
-    return {_PV: close * volume, _V: volume}
+class _RunningVwap:
+    """What a cumulative VWAP adds up along a series, and the VWAP from it."""
 
+    def __init__(self, df: DataFrame, spec: BarSpec, exact_scale: int | None) -> None:
+        close, volume = _number(spec.close, exact_scale, spec), _number(spec.volume, exact_scale, spec)
+        sums = {_PV: close * volume, _V: volume}
+        self.plans: dict[str, ExactSum] = plan_sums(df, sums) if exact_scale is None else {}
+        self.running = sums
+        if self.plans:
+            self.running = {c: term for name, x in sums.items() for c, term in self.plans[name].terms(x).items()}
 
-def _add_vwap(df: DataFrame, w: WindowSpec) -> DataFrame:
-    so_far = w.rowsBetween(Window.unboundedPreceding, 0)
-    paid, traded = [F.sum(c).over(so_far).cast("double") for c in (_PV, _V)]
-    return df.withColumn("vwap", F.try_divide(paid, traded))
+    def add(self, df: DataFrame, w: WindowSpec) -> DataFrame:
+        so_far = w.rowsBetween(Window.unboundedPreceding, 0)
+        sums = {c: F.sum(c).over(so_far) for c in self.running}
+        paid, traded = f"{_PV}_so_far", f"{_V}_so_far"
+        if self.plans:
+            summed = self.plans[_V].total(self.plans[_PV].total(df, sums, paid), sums, traded)
+        else:
+            summed = df.withColumns({paid: sums[_PV].cast("double"), traded: sums[_V].cast("double")})
+        return summed.withColumn("vwap", F.try_divide(paid, traded)).drop(paid, traded)
 
 
 def _add_volatility(df: DataFrame, w: WindowSpec, size: int) -> DataFrame:
@@ -100,8 +144,10 @@ def cumulative_vwap(
     slices: Slices | None = None,
     exact_scale: int | None = None,
 ) -> DataFrame:
-    """``vwap`` from the first bar of the series on; null until something was traded."""
-    return over_series(df, spec, _add_vwap, slices, running=_running(spec, exact_scale))
+    """``vwap`` from the first bar of the series on; null until something was traded. Its bits do not depend on the cut: sums of
+    price times volume (as doubles) are exact and rounded once. Runs a job for the range of the terms."""
+    vwap = _RunningVwap(df, spec, exact_scale)
+    return over_series(df, spec, vwap.add, slices, running=vwap.running)
 
 
 def rolling_volatility(
@@ -132,10 +178,12 @@ def curated_bars(
 ) -> DataFrame:
     """All metrics in one pass: one shuffle and one sort of the wide rows."""
 
+    vwap = _RunningVwap(df, spec, exact_scale)
+
     def add(d: DataFrame, w: WindowSpec) -> DataFrame:
         d = _add_returns(d, w, spec)
         d = _add_moving_averages(d, w, spec, sizes, exact_scale)
-        d = _add_vwap(d, w)
+        d = vwap.add(d, w)
         return _add_volatility(d, w, volatility)
 
     # `volatility` returns need one close more than that.
@@ -146,6 +194,6 @@ def curated_bars(
         slices,
         tail=max([volatility, *[n - 1 for n in sizes]]),
         tail_columns=[spec.close],
-        running=_running(spec, exact_scale),
+        running=vwap.running,
         months=months,
     )

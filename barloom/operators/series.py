@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from barloom.functions.epoch import floor_div, int_div
 from barloom.scratch import settle
+from barloom.sources.layers import at_partitions
 from barloom.spec import BarSpec
 
 MAX_ROWS = 1_000_000
@@ -47,8 +48,8 @@ class Slices:
     ``width_ms`` cuts into fixed spans of time; ``column`` uses a column that sorts along time
     and is constant over spans of it, such as the ``yyyy-MM`` partition column of a layer.
     ``dense`` lists the keys that still have a slice of more than ``max_rows`` rows; these
-    are cut again into spans of ``max_rows`` milliseconds, which hold at most ``max_rows``
-    rows as long as times are distinct.
+    are cut again into spans of ``max_rows`` bars of the grid, or (``step_ms=1``, where the bars are denser than the
+    grid) of ``max_rows`` milliseconds: those hold at most ``max_rows`` rows as long as times are distinct.
     """
 
     width_ms: int | None = None
@@ -56,6 +57,7 @@ class Slices:
     max_rows: int = MAX_ROWS
     dense: DataFrame | None = None
     broadcast_dense: bool = False
+    step_ms: int = 1
 
     @property
     def whole(self) -> bool:
@@ -65,7 +67,7 @@ class Slices:
         return F.col(self.column) if self.column else floor_div(F.col(spec.time), self.width_ms)
 
     def assign(self, df: DataFrame, spec: BarSpec) -> DataFrame:
-        sub = floor_div(F.col(spec.time), self.max_rows)
+        sub = floor_div(F.col(spec.time), self.max_rows * self.step_ms)
         cut = df.withColumn(_SLICE, self._base(spec))
         if self.dense is None:
             return cut.withColumn(_SUB, F.lit(None).cast("long"))
@@ -119,15 +121,28 @@ def plan_slices(
         return Slices(max_rows=max_rows)
     if not found["overfull"]:
         return slices
+    dense = settle(per_key.where(overfull).select(spec.key))
     return Slices(
         width_ms=width,
         column=column,
         max_rows=max_rows,
-        dense=settle(per_key.where(overfull).select(spec.key)),
+        dense=dense,
         broadcast_dense=found["bytes"] <= BROADCAST_BYTES,
+        step_ms=_dense_step(at_partitions(df, dense, [spec.key]), spec, max_rows),
     )
 
 
+def _dense_step(df: DataFrame, spec: BarSpec, max_rows: int) -> int:
+    """The widest step for which spans of ``max_rows`` steps have no more rows than that: the grid's, else a second, else one
+    millisecond. A job for each that is tried."""
+    for step in (spec.interval_ms, 1000):
+        if 1 < step <= spec.interval_ms:
+            counts = df.groupBy(spec.key, floor_div(F.col(spec.time), max_rows * step)).count()
+            if (counts.agg(F.max("count")).first()[0] or 0) <= max_rows:
+                return step
+    return 1
+
+
 def over_series(
     df: DataFrame,
     spec: BarSpec,

@@ -1,0 +1,55 @@
+import math
+import random
+from fractions import Fraction
+
+import pytest
+from pyspark.sql import functions as F
+
+from barloom.functions.exact import plan_sums
+
+
+def exact(values):
+    """The sum rounded once."""
+    return math.fsum(values)
+
+
+def total_of(spark, groups):
+    rows = [(g, x) for g, values in groups.items() for x in values]
+    df = spark.createDataFrame(rows, "g string, x double").repartition(4)
+    plan = plan_sums(df, {"s": F.col("x")})["s"]
+    sums = df.withColumns(plan.terms(F.col("x"))).groupBy("g").agg(*[F.sum(c).alias(c) for c in plan.columns])
+    return {r["g"]: r["total"] for r in plan.total(sums, {c: F.col(c) for c in plan.columns}, "total").collect()}
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_sums_are_rounded_once(spark, seed):
+    rng = random.Random(seed)
+    groups = {f"g{k}": [math.ldexp(rng.random() - 0.3, rng.randrange(-40, 40)) for _ in range(rng.randrange(1, 60))] for k in range(150)}
+    groups |= {"wide": [1e200, 1.0, -1e200, 2**-60, 1e-200], "zero": [1.5, -1.5, 0.0], "one": [0.1], "minus": [-0.1, -0.2, -0.3]}
+    groups |= {f"tie{k}": [2.0**53, 1.0, math.ldexp(k - 2, -300)] for k in range(5)}
+    got = total_of(spark, groups)
+    assert got == {g: exact(v) for g, v in groups.items()}
+
+
+def test_every_exponent_of_the_highest_bit(spark):
+    groups = {f"{e}/{s}": [s * math.ldexp(1.0 + 2**-52, e), s * math.ldexp(1.0, e - 53), s * math.ldexp(1.0, e - 110)] for e in range(-70, 71) for s in (1, -1)}
+    assert total_of(spark, groups) == {g: exact(v) for g, v in groups.items()}
+
+
+def test_the_ends_of_the_range(spark):
+    groups = {"small": [5e-324, 5e-324, 2.5e-310], "large": [1.7e308, -1.6e308, 1e300], "both": [1e308, 5e-324, -1e308]}
+    assert total_of(spark, groups) == {g: float(sum(map(Fraction, v))) for g, v in groups.items()}
+
+
+def test_what_is_no_number_and_nulls(spark):
+    nan, inf = float("nan"), float("inf")
+    got = total_of(spark, {"nan": [1.0, nan], "inf": [inf, 2.0], "mixed": [inf, -inf], "null": [None, None], "some": [None, 0.1], "none": [0.0]})
+    assert math.isnan(got["nan"]) and got["inf"] == inf and math.isnan(got["mixed"])
+    assert got["null"] is None and got["some"] == 0.1 and got["none"] == 0.0
+
+
+def test_many_copies_of_one_value(spark):
+    df = spark.range(100_000).select(F.lit(0.1).alias("x"))
+    plan = plan_sums(df, {"s": F.col("x")})["s"]
+    sums = df.select(*[c.alias(n) for n, c in plan.terms(F.col("x")).items()]).agg(*[F.sum(c).alias(c) for c in plan.columns])
+    assert plan.total(sums, {c: F.col(c) for c in plan.columns}, "t").first()["t"] == float(Fraction(0.1) * 100_000)

@@ -61,6 +61,18 @@ def test_plan(bars):
     assert plan_slices(df.where("false"), spec).whole
 
 
+def test_dense_series_on_the_grid_are_cut_by_bars_of_it(bars):
+    spec = BarSpec(interval_ms=1000)
+    df = bars(*[("A", 1000 * t, 1.0) for t in range(300)])
+    planned = plan_slices(df, spec, max_rows=100, width_ms=10**9)
+    counts = planned.assign(df, spec).groupBy("symbol", "__slice", "__sub").count().collect()
+    assert planned.step_ms == 1000 and [r["count"] for r in counts] == [100] * 3
+    closer = bars(*[("A", t, 1.0) for t in range(300)])
+    planned = plan_slices(closer, spec, max_rows=100, width_ms=10**9)
+    counts = planned.assign(closer, spec).groupBy("symbol", "__slice", "__sub").count().collect()
+    assert planned.step_ms == 1 and max(r["count"] for r in counts) == 100
+
+
 def test_long_list_of_dense_keys_is_not_broadcast(bars, monkeypatch):
     monkeypatch.setattr(series, "BROADCAST_BYTES", 10)
     df = bars(*[("A", t, 1.0) for t in range(100)])
