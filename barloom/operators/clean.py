@@ -14,19 +14,24 @@ from barloom.operators.series import Slices, over_series
 from barloom.spec import BarSpec
 
 
-def dedup_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
+def dedup_rows(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None, copies: str | None = None
+) -> DataFrame:
     """One row per key: the smallest by ``order``, then by the remaining columns.
 
     An aggregate and not a row number, so copies collapse before the shuffle and a key with
-    very many of them stays cheap. Null keys count as equal.
+    very many of them stays cheap. Null keys count as equal. ``copies`` names a column for the number of
+    rows that collapsed into each.
     """
     rest = [c for c in df.columns if c not in keys]
-    if not rest:
-        return df.distinct()
     first = [c for c in (order or []) if c in rest]
     ranked = first + [c for c in rest if c not in first]
-    one = df.groupBy(*keys).agg(F.min(F.struct(*ranked)).alias("__row"))
-    return one.select(*[F.col(c) if c in keys else F.col(f"__row.`{c}`").alias(c) for c in df.columns])
+    collapsed = [(F.count("*") - 1).alias(copies)] if copies else []
+    if not rest and not copies:
+        return df.distinct()
+    one = df.groupBy(*keys).agg(*([F.min(F.struct(*ranked)).alias("__row")] if rest else []), *collapsed)
+    columns = [F.col(c) if c in keys else F.col(f"__row.`{c}`").alias(c) for c in df.columns]
+    return one.select(*columns, *([copies] if copies else []))
 
 
 def dedup_bars(df: DataFrame, spec: BarSpec = BarSpec(), order: Sequence[str] | None = None) -> DataFrame:

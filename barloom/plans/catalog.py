@@ -27,8 +27,9 @@ from barloom.plans.tables import (
     table,
 )
 from barloom.scratch import scratch_dir, settle
+from barloom.sources.digests import layer_changes
 from barloom.sources.files import bars_from_archives, scan_bars_csv, symbol_of
-from barloom.sources.layers import scan_layer, unify_symbols, write_layer
+from barloom.sources.layers import empty_partitions, scan_layer, unify_symbols, write_layer
 from barloom.sources.manifest import expand_months, missing_sources
 from barloom.sources.schema import BAR_SCHEMA, CURATED_SCHEMA, RAW_SCHEMA, REFINED_SCHEMA
 from barloom.spec import BarSpec
@@ -242,6 +243,30 @@ def _vwap(spark, sf_dir):
     return metrics.cumulative_vwap(hourly_bars(spark, sf_dir), HOURLY, exact_scale=SCALE)
 
 
+def _exact_vwap(df: DataFrame, slices: Slices) -> DataFrame:
+    bars = df.withColumns({"close": F.col("close") / 3, "year_month": year_month(F.col("open_time"))})
+    return metrics.cumulative_vwap(bars, DAILY, slices)
+
+
+@_query("cumulative_vwap_cut")
+def _vwap_cut(spark, sf_dir):
+    """On doubles, not rounded: a series whole, cut at every 500 bars, and cut by months. ``alike`` counts the cuts with the same bits."""
+    bars = settle(daily_bars(spark, sf_dir))
+    cuts = [Slices(), Slices(width_ms=500 * DAY_MS), Slices(column="year_month")]
+    found = [_exact_vwap(bars, s).select("symbol", "open_time", "vwap", F.lit(n).alias("cut")) for n, s in enumerate(cuts)]
+    met = unify_symbols(*found).groupBy("symbol", "open_time")
+    whole = F.max(F.when(F.col("cut") == 0, F.col("vwap")))
+    same = met.agg(whole.alias("vwap"), F.count_distinct("vwap").alias("values"), F.count("*").alias("alike"))
+    return same.select("symbol", "open_time", "vwap", F.when(F.col("values") == 1, F.col("alike")).otherwise(0).alias("alike"))
+
+
+@_query("exact_scale_of")
+def _exact_scale(spark, sf_dir):
+    """Prices have two decimal places, a quarter of them up to four, an eighth up to five."""
+    bars = daily_bars(spark, sf_dir).select("close", "volume", (F.col("close") / 4).alias("quarter"), (F.col("close") / 8).alias("eighth"))
+    return metrics.exact_scale_of(bars, ["close", "volume", "quarter", "eighth"])
+
+
 def _rounded(df: DataFrame) -> DataFrame:
     """The deviation is a double sum: its last bits depend on the order of summation."""
     return df.withColumn("volatility_20", F.round("volatility_20", 8))
@@ -468,6 +493,51 @@ def _refresh(spark, sf_dir):
     return curated.select(*_GAP_COLUMNS, "close", *CURATED_SCHEMA.names[-6:])
 
 
+@_query("drop_accounting")
+def _drop_accounting(spark, sf_dir):
+    """Files with rows of another month, faults and copies: what became of the rows of each symbol, from the account that the build keeps."""
+    unit = F.when(F.col("num_trades") % 2 == 0, F.lit(1000)).otherwise(F.lit(1)).cast("long")
+    astray = F.when(F.col("num_trades") % 109 == 0, F.col("open_time") + 31 * DAY_MS * unit).otherwise(F.col("open_time"))
+    landing, root = landing_zone(source_rows(spark, sf_dir).withColumn("open_time", astray)), scratch_dir(spark)
+    pipeline.ingest_bars(spark, landing, f"{root}/raw")
+    pipeline.build_refined(spark, f"{root}/raw", f"{root}/refined")
+    return pipeline.account_for_drops(spark, f"{root}/raw", f"{root}/refined")
+
+
+def _partition(symbol: str, year: str) -> Column:
+    return (F.col("symbol") == symbol) & (F.col("year_month") == year)
+
+
+@_query("changed_partitions")
+def _changed(spark, sf_dir):
+    """A layer of which one partition gets other rows, one comes new, one goes, and one is written again as it was."""
+    path = scratch_dir(spark)
+    bars = settle(daily_raw(spark, sf_dir))
+    new, other, gone, same = _partition("R-F", "1993"), _partition("N-F", "1998"), _partition("A-F", "1992"), _partition("A-F", "1994")
+    write_layer(bars.where(~new).withColumn("close", F.when(other, F.col("close") * 2).otherwise(F.col("close"))), path, cluster=True)
+    layer = scan_layer(spark, path, RAW_SCHEMA)
+    known = settle(layer_changes(layer, None)[1])
+    write_layer(bars.where(new | other | same).orderBy(F.desc("open_time")), path)
+    empty_partitions(spark, path, RAW_SCHEMA, bars.where(gone).select("symbol", "year_month").distinct())
+    return layer_changes(scan_layer(spark, path, RAW_SCHEMA), known)[0]
+
+
+@_query("refresh_changed_layers")
+def _refresh_changed(spark, sf_dir):
+    """As ``refresh_layers``, but what changed is found by the digests."""
+    root = scratch_dir(spark)
+    paths = pipeline.LayerPaths("", *[f"{root}/{layer}" for layer in ("raw", "refined", "curated", "quality")])
+    bars = settle(daily_raw(spark, sf_dir))
+    wrong = _partition("N-F", "1998")
+    write_layer(bars.withColumn("close", F.when(wrong, F.col("close") * 2).otherwise(F.col("close"))), paths.raw, cluster=True)
+    pipeline.build_refined(spark, paths.raw, paths.refined, DAILY)
+    pipeline.build_curated(spark, paths.refined, paths.curated, DAILY, exact_scale=SCALE)
+    write_layer(bars.where(wrong), paths.raw)
+    pipeline.refresh_layers(spark, paths, spec=DAILY, exact_scale=SCALE)
+    curated = _rounded(scan_layer(spark, paths.curated, CURATED_SCHEMA))
+    return curated.select(*_GAP_COLUMNS, "close", *CURATED_SCHEMA.names[-6:])
+
+
 def _lost(bars: DataFrame) -> Column:
     return (F.col("symbol") == "N-F") & (F.col("year_month") == "1998")
 

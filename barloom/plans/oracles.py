@@ -191,10 +191,54 @@ SELECT {gap_columns}, close,
 FROM refined"""
 
 
+def _rounded_once(total: str) -> str:
+    """The double nearest to a positive whole number in units of 2**-64: 61 bits of it, the last set if any bit below is."""
+    shift = f"greatest(0, CAST(floor(log2({total}::DOUBLE)) AS INTEGER) - 60)"
+    unit = f"CAST(pow(2, {shift}) AS HUGEINT)"
+    return f"(CAST({total} // {unit} AS BIGINT) | (CASE WHEN {total} % {unit} <> 0 THEN 1 ELSE 0 END))::DOUBLE * pow(2, {shift} - 64)"
+
+
+# Closes and volumes are at least 2**-11, so a term is a whole number of units of 2**-64.
+_EXACT_VWAP = f"""terms AS (
+  SELECT symbol, open_time, CAST((close / 3) * volume * pow(2, 64) AS HUGEINT) AS pv, CAST(volume * pow(2, 64) AS HUGEINT) AS v FROM daily),
+sums AS (
+  SELECT symbol, open_time, sum(pv) OVER w AS pv, sum(v) OVER w AS v
+  FROM terms WINDOW w AS (PARTITION BY symbol ORDER BY open_time ROWS UNBOUNDED PRECEDING))
+SELECT symbol, open_time, ({_rounded_once("pv")}) / ({_rounded_once("v")}) AS vwap, CAST(3 AS BIGINT) AS alike FROM sums"""
+
+
+def _least_scale(x: str, name: str) -> str:
+    fits = " ".join(f"WHEN abs(CAST(TRY_CAST({x} AS DECIMAL(18,{n})) AS DOUBLE) - {x}) <= abs({x}) * pow(2, -49) THEN {n}" for n in range(18))
+    return f"max(CASE {fits} END) AS {name}_scale, count(*) FILTER (WHERE {x} IS NOT NULL AND (CASE {fits} END) IS NULL) AS {name}_unfit"
+
+
+_ACCOUNT = f"""o AS (
+  SELECT upper(symbol) AS symbol, open_time,
+    CASE WHEN symbol IS NOT NULL AND num_trades % 109 = 0 THEN 'stray' ELSE CASE {_REASONS} END END AS outcome FROM raw),
+k AS (SELECT *, row_number() OVER (PARTITION BY symbol, open_time, outcome) AS copy FROM o),
+c AS (
+  SELECT symbol, coalesce(outcome, CASE WHEN copy > 1 THEN 'copy' ELSE 'kept' END) AS outcome, count(*) AS rows
+  FROM k GROUP BY ALL),
+t AS (
+  SELECT symbol, CAST(sum(rows) AS BIGINT) AS raw_rows,
+    CAST(coalesce(sum(rows) FILTER (outcome = 'kept'), 0) AS BIGINT) AS refined_rows FROM c GROUP BY symbol)
+SELECT t.symbol, outcome, coalesce(rows, 0) AS rows, raw_rows, refined_rows, raw_rows - refined_rows AS dropped_rows,
+  CAST(0 AS BIGINT) AS unexplained_rows
+FROM t LEFT JOIN (SELECT symbol AS s, outcome, rows FROM c WHERE outcome <> 'kept') ON s IS NOT DISTINCT FROM t.symbol"""
+
+_CHANGES = """SELECT DISTINCT symbol, strftime(epoch_ms(open_time), '%Y') AS year_month,
+  CASE symbol WHEN 'R-F' THEN 'added' WHEN 'N-F' THEN 'changed' ELSE 'vanished' END AS change
+FROM daily
+WHERE (symbol, strftime(epoch_ms(open_time), '%Y')) IN (('R-F', '1993'), ('N-F', '1998'), ('A-F', '1992'))"""
+
+
 def oracle_sql() -> dict[str, str]:
     hourly, daily = f"WITH {_HOURLY}\n", f"WITH {_DAILY}\n"
     raw, clean, refined = f"WITH {_RAW}\n", f"WITH {_CLEAN}\n", f"WITH {_REFINED}\n"
     gap_columns = "symbol, open_time, gap_minutes_before, has_gap_before"
+    refreshed = f"""WITH {_DAILY}, refined AS ({_gaps('daily', 86_400_000)})
+SELECT {gap_columns}, close, prev_close, returns, close_ma_20, close_ma_50, vwap, volatility_20
+FROM ({_curated("refined")})"""
     return {
         "hourly_bars": hourly + "SELECT * FROM hourly",
         "daily_bars": daily + "SELECT * FROM daily",
@@ -293,7 +337,12 @@ FROM (SELECT *, {_PREV} FROM refined)""",
 SELECT count(*) AS row_count,
   CAST(count(*) FILTER (open_time // 86400000 % 11 = 0 OR open_time // 86400000 % 13 = 0) AS BIGINT) AS invalid_price_count,
   'fail' AS status FROM daily""",
-        "refresh_layers": f"WITH {_DAILY}, refined AS ({_gaps('daily', 86_400_000)})\n"
-        + f"""SELECT {gap_columns}, close, prev_close, returns, close_ma_20, close_ma_50, vwap, volatility_20
-FROM ({_curated("refined")})""",
+        "refresh_layers": refreshed,
+        "refresh_changed_layers": refreshed,
+        "cumulative_vwap_cut": f"WITH {_DAILY},\n{_EXACT_VWAP}",
+        "exact_scale_of": daily
+        + f"""SELECT {_least_scale("close", "close")}, {_least_scale("volume", "volume")},
+  {_least_scale("(close / 4)", "quarter")}, {_least_scale("(close / 8)", "eighth")} FROM daily""",
+        "changed_partitions": daily + _CHANGES,
+        "drop_accounting": f"WITH {_RAW},\n{_ACCOUNT}",
     }

@@ -7,12 +7,15 @@ written rows and no lineage is carried along.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-from barloom.operators.clean import clean_bars, detect_time_gaps, filter_invalid_bars
+from barloom.operators.accounting import clean_with_account, drop_accounting, with_strays
+from barloom.operators.clean import detect_time_gaps, filter_invalid_bars
 from barloom.operators.metrics import curated_bars
 from barloom.operators.normalize import raw_bars
 from barloom.operators.quality import (
@@ -25,8 +28,9 @@ from barloom.operators.quality import (
 )
 from barloom.operators.series import MAX_ROWS, Slices, plan_slices
 from barloom.scratch import settle
+from barloom.sources.digests import file_digests, layer_changes, partition_digests, with_files
 from barloom.sources.files import landing_files, month_of, scan_bars_csv, scan_bars_zip, symbol_of
-from barloom.sources.layers import empty_partitions, scan_layer, write_layer
+from barloom.sources.layers import at_partitions, empty_partitions, read_version, scan_layer, write_layer, write_version
 from barloom.sources.manifest import missing_sources
 from barloom.sources.schema import CURATED_SCHEMA, RAW_SCHEMA, REFINED_SCHEMA
 from barloom.spec import BarSpec
@@ -69,14 +73,15 @@ def ingest_bars(
     With a manifest only its sources are read, and those without a file are skipped and returned.
     Symbols are in upper case, as in the manifest. A symbol and month may have files of one interval only.
 
-    A file owns the month in its name. Rows of another month go to the table ``{raw_path}-strays`` and
+    A file owns the month in its name. Rows of another month go to the table ``{raw_path}-strays`` (see ``scan_strays``) and
     leave that month as it is; rows without a time stay with their file's month, and the validity filter counts them.
+    A file that is read again replaces its strays too.
     """
     scan = scan_bars_zip if kind == "zip" else scan_bars_csv
     files = landing_files(spark, landing, kind).withColumn("symbol", F.upper("symbol"))
     if manifest is None:
         _one_interval(files)
-        _write_raw(scan(spark, landing, files=f"*.{kind}", recursive=True), raw_path)
+        _write_raw(scan(spark, landing, files=f"*.{kind}", recursive=True), raw_path, files)
         return None
     named = manifest.withColumn("symbol", F.upper("symbol"))
     month = F.format_string("%04d-%02d", "year", "month")
@@ -86,7 +91,7 @@ def ingest_bars(
     # A scan gets its paths from the driver in any case: one short string per file.
     paths = [row["path"] for row in found.select("path").collect()]
     if paths:
-        _write_raw(scan(spark, paths), raw_path)
+        _write_raw(scan(spark, paths), raw_path, found)
     return missing_sources(named, found)
 
 
@@ -98,8 +103,23 @@ def _one_interval(files: DataFrame) -> None:
         raise ValueError(f"{mixed['symbol']} {mixed['year_month']} has files of several intervals")
 
 
-def _write_raw(bars: DataFrame, raw_path: str) -> None:
+_STRAYS_SCHEMA = StructType([f for f in RAW_SCHEMA.fields if f.name != "symbol"] + [StructField("symbol", StringType()), StructField("file_month", StringType())])
+_STRAYS_SPEC = replace(BarSpec(), month="file_month")
+
+
+def scan_strays(spark: SparkSession, raw_path: str) -> DataFrame | None:
+    """The rows that ingests set apart: those of other months than their files'. None if there never were any."""
+    try:
+        return spark.read.schema(_STRAYS_SCHEMA).parquet(f"{raw_path.rstrip('/')}-strays")
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+def _write_raw(bars: DataFrame, raw_path: str, files: DataFrame) -> None:
     """Write the rows of each file's own month; the strays too, in a second scan, only if there are any."""
+    spark = bars.sparkSession
     named = bars.withColumn("file_month", month_of(F.col("source_file")))
     rows = raw_bars(named, F.upper(symbol_of(F.col("source_file"))), keep=["file_month"])
     own_month, file_month = F.col("year_month"), F.col("file_month")
@@ -107,9 +127,16 @@ def _write_raw(bars: DataFrame, raw_path: str) -> None:
     seen = Observation()
     kept = rows.withColumn("stray", stray).observe(seen, F.count_if("stray").alias("strays")).where("NOT stray")
     write_layer(kept.withColumn("year_month", F.coalesce(own_month, file_month)).drop("stray", "file_month"), raw_path)
-    if seen.get["strays"]:
-        apart = rows.where(stray).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        apart.partitionBy("symbol", "file_month").parquet(f"{raw_path.rstrip('/')}-strays")
+    path, at = f"{raw_path.rstrip('/')}-strays", ["symbol", "file_month"]
+    apart = settle(rows.where(stray)) if seen.get["strays"] else None
+    before = scan_strays(spark, raw_path)
+    if before is not None:
+        # Strays of files that are read again and have none any more.
+        again = files.select("symbol", F.col("year_month").alias("file_month")).distinct()
+        cleared = again if apart is None else again.join(apart.select(*at).distinct(), at, "left_anti")
+        empty_partitions(spark, path, _STRAYS_SCHEMA, cleared, _STRAYS_SPEC)
+    if apart is not None:
+        write_layer(apart, path, _STRAYS_SPEC)
 
 
 def build_refined(
@@ -124,18 +151,41 @@ def build_refined(
     """Raw to refined: one shuffle of the wide rows, for the gaps; another of those near repeats.
 
     It leaves every (symbol, month) together, so the write needs none. The layer is replaced: a
-    partition that has no valid rows any more goes.
+    partition that has no valid rows any more goes. Beside the layer stay the account of what became of the raw rows
+    (``{refined_path}-account``) and the digests of the partitions it was built from (``{refined_path}-source``).
     """
     raw = scan_layer(spark, raw_path, RAW_SCHEMA)
-    bars = clean_bars(raw, spec, reject_nan, dedup_first, few_repeated=True)
+    files = settle(file_digests(raw, spec))
+    cleaned = clean_with_account(raw, spec, reject_nan, dedup_first)
     slices = plan_slices(raw, spec, max_rows, column=spec.month)
     # Copies do not change which times there are, so a slice's last time can be had without
     # de-duplicating first, unless broken copies may win.
     times = None if dedup_first else _valid_times(raw, spec, reject_nan)
-    write_layer(detect_time_gaps(bars, spec, slices, times=times), refined_path, spec, whole=True)
+    write_layer(detect_time_gaps(cleaned.bars, spec, slices, times=times), refined_path, spec, whole=True)
+    write_version(cleaned.account, account_path(refined_path))
+    write_version(with_files(cleaned.digest, files, spec), source_path(refined_path))
     return scan_layer(spark, refined_path, REFINED_SCHEMA)
 
 
+def account_path(refined_path: str) -> str:
+    return f"{refined_path.rstrip('/')}-account"
+
+
+def source_path(refined_path: str) -> str:
+    return f"{refined_path.rstrip('/')}-source"
+
+
+def account_for_drops(spark: SparkSession, raw_path: str, refined_path: str, spec: BarSpec = BarSpec()) -> DataFrame | None:
+    """The rows dropped between ingest and the refined layer by what became of them, strays included: see ``drop_accounting``.
+    None if the layer has no account."""
+    account = read_version(spark, account_path(refined_path))
+    if account is None:
+        return None
+    strays = scan_strays(spark, raw_path)
+    layers = scan_layer(spark, raw_path, RAW_SCHEMA), scan_layer(spark, refined_path, REFINED_SCHEMA)
+    return drop_accounting(with_strays(account, strays, spec), *layers, spec, strays)
+
+
 def _valid_times(raw: DataFrame, spec: BarSpec, reject_nan: bool) -> DataFrame:
     return filter_invalid_bars(raw, spec, reject_nan).select(spec.key, spec.time, spec.month)
 
@@ -172,11 +222,12 @@ def build_quality(
     spec: BarSpec = BarSpec(),
     require_rows: bool = False,
     csv: bool = False,
+    drops: DataFrame | None = None,
 ) -> DataFrame:
     """Write the profile, the per-key sections (JSON lines or CSV) and the report; return the report.
 
     The layers are read once, for the profile; everything else comes from the written profile,
-    one row per key.
+    one row per key. ``drops`` (see ``account_for_drops``) is one more section.
     """
     profile_path = f"{quality_path}/profile"
     quality_profile(curated, spec).write.mode("overwrite").parquet(profile_path)
@@ -190,6 +241,7 @@ def build_quality(
         "completeness": completeness_section(profile, spec),
         "continuity": continuity_section(profile, spec),
         "reconciliation": compared,
+        "drops": drops,
     }
     for name, section in sections.items():
         if section is not None:
@@ -220,13 +272,14 @@ def run_lakehouse(
     refined = build_refined(spark, paths.raw, paths.refined, spec)
     curated = build_curated(spark, paths.refined, paths.curated, spec)
     raw = scan_layer(spark, paths.raw, RAW_SCHEMA)
-    return enforce_quality_gate(build_quality(spark, curated, paths.quality, raw, refined, spec))
+    drops = account_for_drops(spark, paths.raw, paths.refined, spec)
+    return enforce_quality_gate(build_quality(spark, curated, paths.quality, raw, refined, spec, drops=drops))
 
 
 def refresh_layers(
     spark: SparkSession,
     paths: LayerPaths,
-    changed: DataFrame,
+    changed: DataFrame | None = None,
     spec: BarSpec = BarSpec(),
     reject_nan: bool = True,
     max_rows: int = MAX_ROWS,
@@ -234,13 +287,28 @@ def refresh_layers(
 ) -> None:
     """Rewrite only what changed raw partitions touch; ``changed`` lists (symbol, year_month).
 
+    Without a list the raw layer's digests are compared with those that the refined layer was built from; nothing is
+    rewritten where they agree. The account and the digests beside the refined layer are brought up to date at the end, so
+    a run that fails is made up for by the next.
+
     Refined: these months and the next one a symbol has, whose first gap looks back. Curated:
     from the first changed month of a symbol on, since its VWAP runs through. Earlier months are
     read for the halo and the carry only, in a few columns. A touched month that has no valid rows
     any more is emptied in both layers.
     """
     key, month = spec.key, spec.month
+    layer, known = scan_layer(spark, paths.raw, RAW_SCHEMA), read_version(spark, source_path(paths.refined))
+    if changed is None:
+        changed, digests = layer_changes(layer, known, spec)
+        digests = settle(digests)
+    else:
+        digests = None
     changed = settle(changed.select(key, month).distinct())
+    if not changed.limit(1).count():
+        return
+    if digests is None and known is not None:
+        fresh = with_files(partition_digests(at_partitions(layer, changed, [key, month]), spec), file_digests(layer, spec), spec)
+        digests = settle(at_partitions(known, changed, [key, month], inside=False).unionByName(fresh))
     first = changed.agg(F.min(month)).first()[0]
     raw = _of_symbols(scan_layer(spark, paths.raw, RAW_SCHEMA), changed, spec)
     times = _valid_times(raw, spec, reject_nan)
@@ -259,8 +327,13 @@ def refresh_layers(
     gone = settle(touched.join(later, [key, month], "left_anti"))
     own = raw.where(F.col(month) >= first).join(touched, [key, month], "left_semi")
     slices = _by_month(plan_slices(raw, spec, max_rows, column=month), spec)
-    bars = clean_bars(own, spec, reject_nan, few_repeated=True)
-    write_layer(detect_time_gaps(bars, spec, slices, times=times), paths.refined, spec)
+    cleaned = clean_with_account(own, spec, reject_nan)
+    write_layer(detect_time_gaps(cleaned.bars, spec, slices, times=times), paths.refined, spec)
+    account = read_version(spark, account_path(paths.refined))
+    if account is not None:
+        # Partitions that are gone from the raw layer have no rows to account for.
+        both = settle(touched.unionByName(changed).distinct())
+        account = settle(at_partitions(account, both, [key, month], inside=False).unionByName(cleaned.account))
     empty_partitions(spark, paths.refined, REFINED_SCHEMA, gone, spec)
 
     refined = _of_symbols(scan_layer(spark, paths.refined, REFINED_SCHEMA), changed, spec)
@@ -271,6 +344,10 @@ def refresh_layers(
     bars = curated_bars(refined, spec, slices=slices, months=months, exact_scale=exact_scale)
     write_layer(bars, paths.curated, spec)
     empty_partitions(spark, paths.curated, CURATED_SCHEMA, gone, spec)
+    if account is not None:
+        write_version(account, account_path(paths.refined))
+    if digests is not None:
+        write_version(digests, source_path(paths.refined))
 
 
 def _of_symbols(layer: DataFrame, changed: DataFrame, spec: BarSpec) -> DataFrame:

@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 from functools import reduce
+from operator import and_
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from barloom.spec import BarSpec
 
+#: The largest list of partitions that is broadcast, by its measured bytes.
+LISTED_BYTES = 32 * 1024 * 1024
+
 
 def scan_layer(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """A whole layer, all symbols and months. The schema is given: nothing is inferred, neither
@@ -55,3 +60,41 @@ def empty_partitions(spark: SparkSession, path: str, schema: StructType, gone: D
     inner = StructType([f for f in schema.fields if f.name not in at])
     for row in folders.collect():
         spark.createDataFrame([], inner).coalesce(1).write.mode("overwrite").parquet(unquote(row[0]))
+
+
+def _same(columns: list[str]) -> Column:
+    return reduce(and_, [F.col(c).eqNullSafe(F.col(f"__listed_{c}")) for c in columns])
+
+
+def at_partitions(df: DataFrame, listed: DataFrame, columns: list[str], inside: bool = True) -> DataFrame:
+    """The rows of ``df`` whose ``columns`` are in a written list, or (``inside=False``) are not; null is a value here. The list is broadcast
+    if it is small by its bytes."""
+    width = reduce(lambda a, b: a + b, [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 32 for c in columns])
+    size = listed.agg(F.sum(width)).first()[0] or 0
+    named = listed.select(*[F.col(c).alias(f"__listed_{c}") for c in columns])
+    return df.join(F.broadcast(named) if size <= LISTED_BYTES else named, _same(columns), "left_semi" if inside else "left_anti")
+
+
+def _versions(spark: SparkSession, path: str) -> int | None:
+    """The last version of a table, by its folders' names."""
+    number = F.regexp_extract("path", r"/version=(\d+)/[^/]*$", 1).cast("int")
+    try:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    return files.agg(F.max(number)).first()[0]
+
+
+def write_version(df: DataFrame, path: str) -> None:
+    """Write a small table beside a layer as a new version. The one before stays as it is, so a write that fails loses nothing,
+    and ``df`` may read it."""
+    last = _versions(df.sparkSession, path)
+    df.coalesce(1).write.mode("overwrite").parquet(f"{path}/version={0 if last is None else last + 1}")
+
+
+def read_version(spark: SparkSession, path: str) -> DataFrame | None:
+    """The last version of such a table; None if there is none."""
+    last = _versions(spark, path)
+    return None if last is None else spark.read.parquet(f"{path}/version={last}")
