@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType, VariantType
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -22,11 +22,21 @@ def in_fold(doc_id: Column, modulus: int, remainder: int) -> Column:
     return F.coalesce(crc % F.lit(modulus) == remainder, F.lit(False))
 
 
+def _hashable(kind: DataType) -> bool:
+    """Whether Spark hashes a value of this type: there is no map and no variant in it."""
+    if isinstance(kind, ArrayType):
+        return _hashable(kind.elementType)
+    if isinstance(kind, StructType):
+        return all(_hashable(f.dataType) for f in kind.fields)
+    return not isinstance(kind, (MapType, VariantType))
+
+
 def row_hash(df: DataFrame) -> Column:
-    """A 64-bit hash of a whole row, whatever the order of its columns. Columns that Spark can't hash are left out."""
-    kinds = (MapType, VariantType)
-    fields = sorted((f for f in df.schema.fields if not isinstance(f.dataType, kinds)), key=lambda f: f.name)
-    return F.xxhash64(*[df[f"`{f.name}`"] for f in fields])
+    """A 64-bit hash of a whole row, whatever the order of its columns. A column with maps or variants in it is hashed as JSON, by the order of
+    its entries."""
+    fields = sorted(df.schema.fields, key=lambda f: f.name)
+    column = lambda f: df[f"`{f.name}`"]
+    return F.xxhash64(*[column(f) if _hashable(f.dataType) else F.to_json(F.struct(column(f).alias("x"))) for f in fields])
 
 
 def broadcast_if_small(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:

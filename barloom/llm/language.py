@@ -22,6 +22,8 @@ from barloom.scratch import settle
 BITS = 15
 #: Texts of each language that a fit uses at most, centroids of each language, share of a language's own texts within its radius.
 ROWS_PER_LANGUAGE, CENTROIDS, WITHIN = 400, 4, 0.995
+#: Bytes of all languages' centroids that the driver and a worker hold at most.
+MODEL_BYTES = 256 << 20
 #: What a row of a language or of a sample's id takes in a broadcast, at most about.
 _ROW_BYTES = 48
 
@@ -133,13 +135,15 @@ def fit_language(rows: list[tuple[np.ndarray, np.ndarray]], idf: np.ndarray, k:
 
 
 def train_languages(
-    documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows_per_language: int = ROWS_PER_LANGUAGE, bits: int = BITS, k: int = CENTROIDS
+    documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows_per_language: int = ROWS_PER_LANGUAGE, bits: int = BITS, k: int = CENTROIDS, model_bytes: int = MODEL_BYTES
 ) -> LanguageModel:
     """Fit on the rows with a language, at most ``rows_per_language`` of each: those with the smallest hash of
-    their id. Null languages and null ids are left out. Every language is learned, and the driver holds its centroids, sparse."""
+    their id. Null languages and null ids are left out. Repeated ids count once in the choice of ids, and each of their rows up to the bound.
+    Every language is learned; the driver and each worker hold the centroids of all, sparse, and more than ``model_bytes`` of them are an error. An
+    empty table gives a model without languages, which predicts none."""
     rows = documents.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"), F.col(f"`{lang_col}`").cast("string").alias("lang"))
     known = rows.where("lang is not null and id is not null and text is not null")
-    every = broadcast_if_small(known.groupBy("lang").agg(F.count("*").alias("n")), _ROW_BYTES)
+    every = broadcast_if_small(known.groupBy("lang").agg(F.approx_count_distinct("id").alias("n")), _ROW_BYTES)
     first = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
     # Ids first: only the texts of the sample are carried further. A threshold on the hash leaves about four times
     # as many ids as are wanted, however frequent a language is.
@@ -197,7 +201,11 @@ def train_languages(
             }
         )
 
-    fitted = sample.where("length(at) > 0").groupBy("lang").applyInPandas(fit, "lang string, number int, at binary, weight binary, radius double").collect()
+    found = settle(sample.where("length(at) > 0").groupBy("lang").applyInPandas(fit, "lang string, number int, at binary, weight binary, radius double"))
+    size = found.agg(F.sum(F.octet_length("at") + F.octet_length("weight") + F.octet_length("lang") + 64)).first()[0] or 0
+    if size > model_bytes:
+        raise ValueError(f"the centroids of all languages take {size} bytes; at most {model_bytes} are held by the driver")
+    fitted = found.collect()
     fitted.sort(key=lambda r: (r["lang"], r["number"]))
     learned = sorted({r["lang"] for r in fitted})
     place = {lang: n for n, lang in enumerate(learned)}
@@ -212,7 +220,8 @@ def train_languages(
 
 
 def language_of(model: LanguageModel, text: Column) -> Column:
-    """A struct of lang, score (the cosine) and rejected for each text."""
+    """A struct of lang, score (the cosine) and rejected for each text. Null and empty texts, and texts without a known n-gram, have no language; so
+    has every text of a model without languages. Repeated texts have the same result."""
     shared = SparkSession.getActiveSession().sparkContext.broadcast(vars(model))
 
     @F.pandas_udf("lang string, score double, rejected boolean")
