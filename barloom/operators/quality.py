@@ -7,14 +7,16 @@ totals and the status all derive from it.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import replace
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from barloom.functions.epoch import int_div
 from barloom.functions.rules import drop_reason, invalid_price
 from barloom.operators.repeats import split_by_repeats
+from barloom.operators.series import Slices, over_series
 from barloom.scratch import settle
 from barloom.spec import BarSpec
 
@@ -127,6 +129,25 @@ def drop_reasons(raw: DataFrame, spec: BarSpec = BarSpec(), reject_nan: bool = T
     )
 
 
+def non_monotonic_times(df: DataFrame, arrival: str, spec: BarSpec = BarSpec(), slices: Slices | None = None) -> DataFrame:
+    """Per key ``non_monotonic``: how many rows have a time that is not above the highest one before them in the order of ``arrival``, and
+    ``rows``. ``arrival`` is a whole number that sorts as the rows came and does not repeat within a key; ``slices`` cut along it.
+
+    A missing time does not count, and does not raise the highest. A long series is cut, with the highest time so far carried from slice to
+    slice, so no task gets all rows of a key.
+    """
+    highest = "__highest"
+
+    def add(rows: DataFrame, window: WindowSpec) -> DataFrame:
+        before = F.max(highest).over(window.rowsBetween(Window.unboundedPreceding, -1))
+        return rows.withColumn("late", F.coalesce(F.col(spec.time) <= before, F.lit(False)))
+
+    narrow = df.select(spec.key, F.col(arrival).cast("long").alias("__arrival"), spec.time)
+    along = replace(spec, time="__arrival", interval_ms=1)
+    marked = over_series(narrow, along, add, slices, highest={highest: F.col(spec.time)})
+    return marked.groupBy(spec.key).agg(F.count_if("late").alias("non_monotonic"), F.count("*").alias("rows"))
+
+
 def out_of_bounds_count(df: DataFrame, bounds: Mapping[str, tuple[float, float]]) -> DataFrame:
     """One row: per column of ``bounds``, how many values lie outside [low, high]."""
     return df.agg(

@@ -6,7 +6,7 @@ the past is added to it as a few extra rows before the one shuffle of the wide r
 
 * halo: the ``tail`` rows just before the slice, for offsets and bounded ROWS frames. They are
   counted in rows, not in time, so gaps do not matter.
-* carry: one row with the sums over everything before the slice, for running sums.
+* carry: one row with the sums, and the highest values, over everything before the slice, for running sums and maxima.
 
 Both come from scans of only the few columns they need, reduced on the map side (row-number
 limit, partial sums), so what is shuffled for them is a few rows per slice. (Spark limits row
@@ -153,11 +153,13 @@ def over_series(
     running: Mapping[str, Column] | None = None,
     months: DataFrame | None = None,
     tail_source: DataFrame | None = None,
+    highest: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Add window columns along every series.
 
     ``add(rows, window)`` adds the columns, with ``window`` ordered by time. It may look back
-    ``tail`` rows at ``tail_columns`` and sum the ``running`` columns over all rows so far.
+    ``tail`` rows at ``tail_columns``, sum the ``running`` columns over all rows so far, and take the maximum of the ``highest``
+    columns over all rows so far or all before.
     ``months`` lists the (key, month) whose rows come out, while all rows are looked back at; it
     goes with slices along the month column. ``tail_source`` is a cheaper table with the same keys
     and times to take the halo from.
@@ -176,36 +178,37 @@ def over_series(
         later = rows.where(F.col(spec.month) >= F.lit(first))
         return later.join(months, [spec.key, spec.month], "left_semi").select(*rows.columns)
 
-    running = dict(running or {})
-    wide = df.withColumns(running) if running else df
+    running, highest = dict(running or {}), dict(highest or {})
+    carried = running | highest
+    wide = df.withColumns(carried) if carried else df
 
     if slices.whole:
-        return chosen(add(wide, Window.partitionBy(spec.key).orderBy(spec.time)).drop(*running))
+        return chosen(add(wide, Window.partitionBy(spec.key).orderBy(spec.time)).drop(*carried))
 
     cut = slices.assign(wide, spec)
     parts = [chosen(cut).withColumn(_PART, F.lit(_OWN))]
     if tail:
         source = cut if tail_source is None else slices.assign(tail_source, spec)
         parts.append(_halo(source, spec, tail, list(tail_columns)))
-    if running:
-        parts.append(_carry(cut, spec, list(running)))
+    if carried:
+        parts.append(_carry(cut, spec, {c: F.sum if c in running else F.max for c in carried}))
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     window = Window.partitionBy(spec.key, _SLICE, _SUB).orderBy(_PART, spec.time)
-    return add(rows, window).where(F.col(_PART) == _OWN).drop(_PART, _SLICE, _SUB, *running)
+    return add(rows, window).where(F.col(_PART) == _OWN).drop(_PART, _SLICE, _SUB, *carried)
 
 
-def _carry(cut: DataFrame, spec: BarSpec, running: list[str]) -> DataFrame:
-    """One row per slice but the first, holding the sums over all earlier slices."""
+def _carry(cut: DataFrame, spec: BarSpec, carried: Mapping[str, Callable[[str], Column]]) -> DataFrame:
+    """One row per slice but the first, holding the sums or maxima over all earlier slices."""
     at = [spec.key, _SLICE, _SUB]
     earlier = Window.partitionBy(spec.key).orderBy(_SLICE, _SUB).rowsBetween(Window.unboundedPreceding, -1)
-    totals = cut.groupBy(*at).agg(*[F.sum(c).alias(c) for c in running])
+    totals = cut.groupBy(*at).agg(*[f(c).alias(c) for c, f in carried.items()])
     return (
         totals.select(
             *at,
-            *[F.sum(c).over(earlier).alias(c) for c in running],
+            *[f(c).over(earlier).alias(c) for c, f in carried.items()],
             F.lit(_CARRY).alias(_PART),
         )
-        .where(reduce(or_, [F.col(c).isNotNull() for c in running]))
+        .where(reduce(or_, [F.col(c).isNotNull() for c in carried]))
     )
 
 

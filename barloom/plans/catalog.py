@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.functions.epoch import bar_date, epoch_ms_to_ts, int_div, normalize_epoch_ms, year_month
-from barloom.operators import clean, metrics, quality
+from barloom.operators import bounds, clean, metrics, quality
 from barloom.operators.normalize import raw_bars, tag_symbol
 from barloom.operators.series import Slices
 from barloom.plans import pipeline
@@ -22,15 +22,16 @@ from barloom.plans.tables import (
     dirty_bars,
     epoch_us,
     hourly_bars,
+    landed_archives,
     landing_zone,
     source_rows,
     table,
 )
 from barloom.scratch import scratch_dir, settle
 from barloom.sources.digests import layer_changes
-from barloom.sources.files import bars_from_archives, scan_bars_csv, symbol_of
+from barloom.sources.files import bars_from_archives, scan_bars_csv, scan_bars_zip, symbol_of
 from barloom.sources.layers import empty_partitions, scan_layer, unify_symbols, write_layer
-from barloom.sources.manifest import expand_months, missing_sources
+from barloom.sources.manifest import expand_months, missing_sources, source_manifest
 from barloom.sources.schema import BAR_SCHEMA, CURATED_SCHEMA, RAW_SCHEMA, REFINED_SCHEMA
 from barloom.spec import BarSpec
 
@@ -96,6 +97,24 @@ def _scan_zip(spark, sf_dir):
     return tag_symbol(bars, symbol_of(F.col("source_file"))).select("symbol", *BAR_SCHEMA.fieldNames())
 
 
+@_query("scan_bars_zip_landed")
+def _scan_zip_landed(spark, sf_dir):
+    """Archives in a folder, each member read by a task of its own."""
+    bars = scan_bars_zip(spark, landed_archives(source_rows(spark, sf_dir)), recursive=True)
+    named = tag_symbol(bars, F.lower(symbol_of(F.col("source_file"))))
+    return named.select("symbol", *BAR_SCHEMA.fieldNames())
+
+
+@_query("source_manifest_config")
+def _manifest_config(spark, sf_dir):
+    """Manifests of configurations: a list with a source for each nation, some fields absent, and an entry that is none; a single source; nothing."""
+    nations = table(spark, sf_dir, "nation").select("n_name", "n_nationkey").collect()
+    listed = [{"symbol": n, "interval": "5m" if k % 2 else None, "start_year": 2020, "start_month": 1 + k % 12, "end_year": 2021 if k % 3 else None} for n, k in nations]
+    configs = [{"sources": [*listed, "no source"], "source": {"symbol": "X"}}, {"sources": [], "source": {"symbol": nations[0][0], "year": 2022, "month": 5}}, {}]
+    named = [source_manifest(spark, c).withColumn("config", F.lit(n)) for n, c in enumerate(configs)]
+    return unify_symbols(*named)
+
+
 def _sources_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A month range per customer: first to last order."""
     orders = table(spark, sf_dir, "orders")
@@ -364,6 +383,31 @@ def _bounds(spark, sf_dir):
     return quality.out_of_bounds_count(dirty_bars(spark, sf_dir), {"close": (1.0, 100.0), "volume": (0.0, 500.0)})
 
 
+@_query("bounds_from_quantiles")
+def _quantile_bounds(spark, sf_dir):
+    """Bounds from the months' sketches: whether their ranks are within the sketches' error, and what lies outside once each last bar has a wrong price."""
+    bars = settle(daily_bars(spark, sf_dir).withColumn("year_month", year_month(F.col("open_time"))))
+    sketches = settle(bounds.quantile_sketches(bars, ["close"], DAILY))
+    quantiles = settle(bounds.bounds_from_quantiles(sketches, ["close"], DAILY, 0.05, 0.95, spread=0.0))
+    errors = bounds.rank_errors(bars, quantiles, "close", 0.05, 0.95, DAILY)
+    within = errors.select("symbol", "rows", (bounds.worst(errors) <= bounds.RANK_ERROR).alias("within_error"))
+    last = bars.groupBy("symbol").agg(F.max("open_time").alias("open_time")).withColumn("wrong", F.lit(True))
+    broken = bars.join(last, ["symbol", "open_time"], "left").withColumn("close", F.when(F.col("wrong"), F.col("close") * 1000).otherwise(F.col("close")))
+    wide = bounds.bounds_from_quantiles(settle(bounds.quantile_sketches(broken, ["close"], DAILY)), ["close"], DAILY, spread=10.0)
+    return within.join(bounds.out_of_bounds_by_key(broken, wide, ["close"], DAILY), "symbol")
+
+
+@_query("non_monotonic_times")
+def _non_monotonic(spark, sf_dir):
+    """Bars in the order of their event: how many are not after the latest one before."""
+    return quality.non_monotonic_times(dirty_bars(spark, sf_dir), "num_trades", slices=Slices())
+
+
+@_query("non_monotonic_times_cut")
+def _non_monotonic_cut(spark, sf_dir):
+    return quality.non_monotonic_times(dirty_bars(spark, sf_dir), "num_trades", slices=Slices(width_ms=100))
+
+
 def _status_of(report: DataFrame, *also: str) -> DataFrame:
     return report.select(
         "row_count",
@@ -462,6 +506,24 @@ def _ingest_missing(spark, sf_dir):
     return pipeline.ingest_bars(spark, landing, scratch_dir(spark), _wanted(spark, sf_dir))
 
 
+@_query("ingest_bars_zip")
+def _ingest_zip(spark, sf_dir):
+    landing, raw = landed_archives(source_rows(spark, sf_dir)), scratch_dir(spark)
+    pipeline.ingest_bars(spark, landing, raw, _wanted(spark, sf_dir), kind="zip")
+    return _epochs_instead_of_timestamps(scan_layer(spark, raw, RAW_SCHEMA))
+
+
+@_query("quality_sections_csv")
+def _sections_csv(spark, sf_dir):
+    """The completeness and the continuity of the build's report, read back from its CSV."""
+    root = scratch_dir(spark)
+    curated = _built_curated(spark, sf_dir, root)
+    pipeline.build_quality(spark, curated, f"{root}/quality", csv=True)
+    whole = spark.read.csv(f"{root}/quality/completeness", header=True, schema="symbol string, actual_rows long, min_open_time long, max_open_time long, expected_rows long, completeness_ratio double")
+    gaps = spark.read.csv(f"{root}/quality/continuity", header=True, schema="symbol string, total_missing_minutes long, gap_events long")
+    return whole.join(gaps, "symbol")
+
+
 @_query("run_lakehouse")
 def _run(spark, sf_dir):
     """Landing files to curated bars; the minutes have holes, so the gate raises at the end."""

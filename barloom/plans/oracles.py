@@ -191,6 +191,12 @@ SELECT {gap_columns}, close,
 FROM refined"""
 
 
+_NON_MONOTONIC = """SELECT symbol, count(*) FILTER (WHERE open_time <= highest) AS non_monotonic, count(*) AS rows FROM (
+  SELECT symbol, open_time, max(open_time) OVER (
+    PARTITION BY symbol ORDER BY num_trades ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS highest FROM raw)
+GROUP BY symbol"""
+
+
 def _rounded_once(total: str) -> str:
     """The double nearest to a positive whole number in units of 2**-64: 61 bits of it, the last set if any bit below is."""
     shift = f"greatest(0, CAST(floor(log2({total}::DOUBLE)) AS INTEGER) - 60)"
@@ -339,6 +345,25 @@ SELECT count(*) AS row_count,
   'fail' AS status FROM daily""",
         "refresh_layers": refreshed,
         "refresh_changed_layers": refreshed,
+        "scan_bars_zip_landed": f"WITH {_SOURCE} SELECT * FROM source",
+        "ingest_bars_zip": raw + "SELECT * REPLACE (upper(symbol) AS symbol) FROM raw WHERE symbol IS NOT NULL",
+        "source_manifest_config": """
+WITH ranges AS (
+  SELECT 0 AS config, n_name AS symbol, CASE WHEN n_nationkey % 2 = 1 THEN '5m' ELSE '1m' END AS "interval",
+         2020 * 12 + n_nationkey % 12 AS first,
+         CASE WHEN n_nationkey % 3 <> 0 THEN 2021 ELSE 2020 END * 12 + n_nationkey % 12 AS last FROM nation
+  UNION ALL SELECT 1, first(n_name ORDER BY n_nationkey), '1m', 2022 * 12 + 4, 2022 * 12 + 4 FROM nation
+  UNION ALL SELECT 2, 'BTCUSDT', '1m', 2023 * 12, 2023 * 12)
+SELECT config, symbol, "interval", CAST(m // 12 AS INTEGER) AS year, CAST(m % 12 + 1 AS INTEGER) AS month
+FROM (SELECT *, unnest(range(CAST(first AS BIGINT), CAST(last AS BIGINT) + 1)) AS m FROM ranges)""",
+        "bounds_from_quantiles": daily
+        + "SELECT symbol, count(*) AS rows, true AS within_error, CAST(1 AS BIGINT) AS out_of_bounds_close FROM daily GROUP BY symbol",
+        "non_monotonic_times": raw + _NON_MONOTONIC,
+        "non_monotonic_times_cut": raw + _NON_MONOTONIC,
+        "quality_sections_csv": refined
+        + f"""SELECT * FROM ({_complete("refined", 60_000)}) JOIN (
+  SELECT symbol, CAST(sum(gap_minutes_before) AS BIGINT) AS total_missing_minutes,
+    count(*) FILTER (WHERE has_gap_before) AS gap_events FROM refined GROUP BY symbol) USING (symbol)""",
         "cumulative_vwap_cut": f"WITH {_DAILY},\n{_EXACT_VWAP}",
         "exact_scale_of": daily
         + f"""SELECT {_least_scale("close", "close")}, {_least_scale("volume", "volume")},

@@ -12,12 +12,14 @@ import zipfile
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.operators.normalize import raw_bars
-from barloom.scratch import scratch_dir
+from barloom.scratch import scratch_dir, settle
 from barloom.sources.schema import BAR_SCHEMA
+from barloom.sources.stores import write_file
 from barloom.spec import BarSpec
 
 HOUR_MS = 3_600_000
@@ -160,3 +162,26 @@ def archives(rows: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_pydict({"content": pa.array(contents, pa.binary())})
 
     return rows.select("symbol", *BAR_SCHEMA.fieldNames()).mapInArrow(pack, "content binary")
+
+
+def landed_archives(rows: DataFrame) -> str:
+    """Zip archives of source rows in a landing zone: for each task and symbol one, of two members."""
+    spark = rows.sparkSession
+    root = scratch_dir(spark)
+
+    def land(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task = TaskContext.get().partitionId()
+        for number, batch in enumerate(batches):
+            for k, (symbol, part) in enumerate(batch.to_pandas().groupby("symbol", dropna=False)):
+                name = f"{symbol.upper()}-1m-2024-01" if isinstance(symbol, str) else "unnamed"
+                lines = part.drop(columns="symbol")
+                packed = io.BytesIO()
+                with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
+                    archive.writestr(f"{name}.csv", lines[: len(lines) // 2].to_csv(header=False, index=False))
+                    archive.writestr(f"more/{name}.csv", lines[len(lines) // 2 :].to_csv(header=False, index=False))
+                path = f"{root}/{task}-{number}-{k}/{name}.zip"
+                write_file(path, packed.getvalue())
+                yield pa.RecordBatch.from_pydict({"path": [path]})
+
+    settle(rows.select("symbol", *BAR_SCHEMA.fieldNames()).mapInArrow(land, "path string"))
+    return root

@@ -6,13 +6,16 @@ import io
 import zipfile
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from itertools import islice
+from typing import IO
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
+from barloom.scratch import settle
 from barloom.sources.schema import BAR_SCHEMA
+from barloom.sources.stores import open_file, opens
 
 # Fixed format of source file names: SYMBOL-interval-YYYY-MM, then the extension.
 _MONTH = r"\d{4}-\d{2}"
@@ -21,6 +24,9 @@ _END = r"\.(csv|zip)$"
 
 _LINES_PER_BATCH = 20_000
 
+#: Tasks that read members of archives at most; beyond, a task reads several members, one after the other.
+MOST_TASKS = 100_000
+
 
 def _part_of_name(path: Column, pattern: str) -> Column:
     return F.regexp_substr(F.substring_index(path, "/", -1), F.lit(pattern))
@@ -85,9 +91,52 @@ def scan_bars_zip(
     files: str | None = None,
     recursive: bool = False,
 ) -> DataFrame:
-    """The same scan over zip archives of such files."""
-    archives = spark.read.format("binaryFile").options(**_lookup(files, recursive)).load(paths)
-    return bars_from_archives(archives.select("content"), corrupt_column)
+    """The same scan over zip archives of such files, of any size: each member is a task's own, which opens the archive by its
+    path and streams it. The members are listed in tasks too; that is a job, and so are the listed members a table in scratch.
+
+    In a store that only Spark can open an archive is one value, of 2 GB at most, whose members one task reads.
+    """
+    found = spark.read.format("binaryFile").options(**_lookup(files, recursive)).load(paths)
+    one = found.select("path").first()
+    if one is not None and opens(one["path"]):
+        return bars_from_members(archive_members(found.select("path")), corrupt_column)
+    return bars_from_archives(found.select("content"), corrupt_column)
+
+
+def archive_members(archives: DataFrame, suffix: str = ".csv") -> DataFrame:
+    """``path``, ``member`` and ``size`` of the files in the zip archives that ``path`` names, from their directories alone."""
+
+    def listed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                with open_file(path) as file, zipfile.ZipFile(file) as archive:
+                    found = [x for x in archive.infolist() if x.filename.endswith(suffix)]
+                names, sizes = [x.filename for x in found], [x.file_size for x in found]
+                yield pa.RecordBatch.from_pydict({"path": [path] * len(found), "member": names, "size": pa.array(sizes, pa.int64())})
+
+    schema = "path string, member string, size long"
+    return settle(archives.select("path").mapInArrow(listed, schema))
+
+
+def bars_from_members(members: DataFrame, corrupt_column: str | None = None, lines_per_batch: int = _LINES_PER_BATCH) -> DataFrame:
+    """Bars of the archives' ``member`` at ``path``, one member to a task as far as the cluster has tasks for them."""
+
+    def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, name in zip(batch.column("path").to_pylist(), batch.column("member").to_pylist(), strict=True):
+                with open_file(path) as file, zipfile.ZipFile(file) as archive, archive.open(name) as raw:
+                    yield from _lines_of(raw, name, lines_per_batch)
+
+    dealt = members.select("path", "member").repartition(min(max(members.count(), 1), MOST_TASKS))
+    return _parsed(dealt.mapInArrow(read, "source_file string, line string"), corrupt_column)
+
+
+def _lines_of(raw: IO[bytes], name: str, lines_per_batch: int) -> Iterator[pa.RecordBatch]:
+    """The lines of an open member, a batch at a time."""
+    with io.TextIOWrapper(raw, "utf-8", errors="replace") as text:
+        lines = (line.rstrip("\r\n") for line in text)
+        while chunk := list(islice(lines, lines_per_batch)):
+            yield pa.RecordBatch.from_pydict({"source_file": [name] * len(chunk), "line": chunk})
 
 
 def _line_reader(lines_per_batch: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -114,7 +163,10 @@ def bars_from_archives(archives: DataFrame, corrupt_column: str | None = None) -
 
     Python only unpacks, a batch of lines at a time; the fields are parsed on the JVM.
     """
-    lines = archives.select("content").mapInArrow(_line_reader(_LINES_PER_BATCH), "source_file string, line string")
+    return _parsed(archives.select("content").mapInArrow(_line_reader(_LINES_PER_BATCH), "source_file string, line string"), corrupt_column)
+
+
+def _parsed(lines: DataFrame, corrupt_column: str | None) -> DataFrame:
     schema = _with_corrupt(corrupt_column)
     parsed = F.from_csv("line", schema.simpleString()[len("struct<") : -1].replace(":", " "), _csv_options(corrupt_column))
     return lines.where(F.trim("line") != "").select(parsed.alias("bar"), "source_file").select("bar.*", "source_file")

@@ -12,13 +12,13 @@ def frame(spark, *rows):
     return spark.createDataFrame(list(rows), DDL)
 
 
-def bar(open_time=1, open=100.0, high=110.0, low=90.0, close=100.0, volume=10.0, symbol="A"):
+def bar(open_time=1, open=7.5, high=8.25, low=7.0, close=7.75, volume=3.5, symbol="A"):
     return (symbol, open_time, open, high, low, close, volume)
 
 
 def test_dedup_keeps_one_per_key(spark):
-    out = dedup_bars(frame(spark, bar(1), bar(1, close=90.0), bar(2)))
-    assert sorted((r.open_time, r.close) for r in out.collect()) == [(1, 90.0), (2, 100.0)]
+    out = dedup_bars(frame(spark, bar(1), bar(1, close=7.25), bar(2)))
+    assert sorted((r.open_time, r.close) for r in out.collect()) == [(1, 7.25), (2, 7.75)]
 
 
 def test_dedup_counts_null_keys_as_equal(spark):

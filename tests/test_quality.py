@@ -2,7 +2,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from barloom.operators import quality
+from barloom.operators.bounds import bounds_from_quantiles, merged_sketches, out_of_bounds_by_key, quantile_sketches
 from barloom.operators.clean import detect_time_gaps
+from barloom.operators.quality import non_monotonic_times
+from barloom.operators.series import Slices
 from barloom.spec import BarSpec
 
 MINUTE = 60_000
@@ -10,8 +13,8 @@ MINUTE = 60_000
 
 @pytest.fixture
 def status_rows(spark):
-    def make(times, close=100.0):
-        rows = [("A", t, close, 110.0, 90.0, 100.0) for t in times]
+    def make(times, close=42.5):
+        rows = [("Q", t, close, 47.25, 39.5, 41.0) for t in times]
         return spark.createDataFrame(
             rows, "symbol string, open_time long, close double, high double, low double, open double"
         )
@@ -20,9 +23,9 @@ def status_rows(spark):
 
 
 def test_validity(spark):
-    rows = [("A", 1, 100.0), ("A", 2, 100.0), ("A", 2, 100.0), ("A", 3, -1.0)]
+    rows = [("Q", 7, 3.5), ("R", 7, 3.25), ("R", 7, 3.0), ("Q", 8, -0.5)]
     df = spark.createDataFrame(rows, "symbol string, open_time long, close double").selectExpr(
-        "*", "110D AS high", "90D AS low", "10D AS volume"
+        "*", "4.5D AS high", "2.75D AS low", "6D AS volume"
     )
     got = quality.validity_report(df).first()
     assert got["duplicate_count"] == 1 and got["invalid_price_count"] == 1
@@ -177,3 +180,26 @@ def test_reconcile_daily(bars):
 def test_out_of_bounds(bars):
     df = bars(("A", 1, 5.0), ("A", 2, 50.0), ("A", 3, None))
     assert quality.out_of_bounds_count(df, {"close": (0, 10)}).first()["out_of_bounds_close"] == 1
+
+
+def test_times_that_are_not_after_the_latest(spark):
+    rows = [("a", n, t) for n, t in enumerate([5, 6, 6, 4, None, 7, 7, 6, 8])] + [("b", n, t) for n, t in enumerate([None, 3, 4])] + [(None, 1, 1), (None, 2, 1)]
+    df = spark.createDataFrame(rows, "symbol string, arrival long, open_time long").repartition(3)
+    for slices in (None, Slices(), Slices(width_ms=1), Slices(width_ms=2), Slices(width_ms=4)):
+        found = {r["symbol"]: (r["non_monotonic"], r["rows"]) for r in non_monotonic_times(df, "arrival", slices=slices).collect()}
+        assert found == {"a": (4, 9), "b": (0, 3), None: (1, 2)}
+    assert non_monotonic_times(df.where("false"), "arrival").collect() == []
+
+
+def test_bounds_of_merged_months_find_an_outlier(spark):
+    rows = [("a", f"2024-0{1 + k % 3}", float(100 + k % 50)) for k in range(3000)] + [("a", "2024-02", 9000.0), ("b", "2024-01", float("nan")), ("b", "2024-01", None), (None, "2024-01", 1.0)]
+    df = spark.createDataFrame(rows, "symbol string, year_month string, close double")
+    sketches = quantile_sketches(df, ["close"])
+    assert sketches.count() == 5
+    found = bounds_from_quantiles(sketches, ["close"])
+    limits = {r["symbol"]: (r["close_low"], r["close_high"]) for r in found.collect()}
+    assert limits["b"] == (None, None) and limits[None] == (1.0, 1.0) and -60 < limits["a"][0] < 0 and 250 < limits["a"][1] < 310
+    outside = {r["symbol"]: r["out_of_bounds_close"] for r in out_of_bounds_by_key(df, found, ["close"]).collect()}
+    assert outside == {"a": 1, "b": 0, None: 0}
+    whole = merged_sketches(sketches, ["close"])
+    assert whole.count() == 3 and bounds_from_quantiles(sketches.where("false"), ["close"]).count() == 0

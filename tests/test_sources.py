@@ -3,10 +3,11 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from barloom.sources.files import interval_of, landing_files, month_of, scan_bars_csv, scan_bars_zip, symbol_of
+from barloom.sources.files import archive_members, bars_from_members, interval_of, landing_files, month_of, scan_bars_csv, scan_bars_zip, symbol_of
 from barloom.sources.layers import scan_layer, unify_symbols, write_layer
 from barloom.sources.manifest import missing_sources, source_manifest
 from barloom.sources.schema import BAR_SCHEMA, RAW_SCHEMA
+from barloom.sources.stores import opens
 
 GOOD = "1672531200000,1.5,2.0,1.0,1.75,10.0,1672531259999,17.5,3,5.0,8.75,0"
 
@@ -137,3 +138,32 @@ def test_unify_by_name(spark):
     a = spark.createDataFrame([("A", 1)], "symbol string, open_time long")
     b = spark.createDataFrame([(2, "B")], "open_time long, symbol string")
     assert sorted(unify_symbols(a, b).collect()) == [("A", 1), ("B", 2)]
+
+
+def test_members_of_an_archive_are_read_in_tasks_of_their_own_and_in_chunks(spark, tmp_path):
+    line = "{t},1,1,1,1,1,{t},1,1,1,1,0"
+    for a in range(2):
+        with zipfile.ZipFile(tmp_path / f"A{a}.zip", "w", zipfile.ZIP_DEFLATED) as z:
+            for m in range(4):
+                z.writestr(f"{m}/S{a}-1m-2023-0{m + 1}.csv", "\n".join(line.format(t=10_000 * m + t) for t in range(5_000)))
+            z.writestr("empty-1m-2023-01.csv", "")
+            z.writestr("notes.txt", "no bars")
+    members = archive_members(landing_files(spark, str(tmp_path), "zip"))
+    assert members.count() == 10 and {r["size"] > 0 for r in members.collect()} == {True, False}
+    bars = bars_from_members(members, lines_per_batch=700)
+    placed = bars.withColumn("task", F.spark_partition_id())
+    found = placed.groupBy("source_file").agg(F.count("*").alias("n"), F.count_distinct("task").alias("tasks")).collect()
+    assert len(found) == 8 and {(r["n"], r["tasks"]) for r in found} == {(5_000, 1)}
+    assert placed.select("task").distinct().count() >= 4
+    whole = scan_bars_zip(spark, str(tmp_path))
+    assert whole.agg(F.count("*"), F.sum("open_time")).first() == bars.agg(F.count("*"), F.sum("open_time")).first()
+    assert sorted(whole.columns) == sorted(scan_bars_csv(spark, str(tmp_path)).columns)
+
+
+def test_folders_without_archives_and_stores_of_spark(spark, tmp_path):
+    (tmp_path / "x").mkdir()
+    assert scan_bars_zip(spark, str(tmp_path / "x")).count() == 0
+    assert opens("/a/b.zip") and opens("file:/a/b.zip") and not opens("viewfs://store/a.zip")
+    with zipfile.ZipFile(tmp_path / "x" / "A b#1.zip", "w") as z:
+        z.writestr("A-1m-2023-01.csv", GOOD)
+    assert scan_bars_zip(spark, str(tmp_path / "x")).first().close == 1.75
