@@ -464,3 +464,41 @@ def test_row_hash_sees_maps_and_variants(spark):
         assert part.select(row_hash(part).alias("h")).distinct().count() == 2
     part = df.select("a")
     assert part.select(row_hash(part).alias("h")).distinct().count() == 1
+
+
+def test_wand_equals_scoring_every_document_and_skips_blocks(monkeypatch):
+    """The best of a shard for many queries, against scores of all its documents; of one topic's queries most blocks are skipped."""
+    rng = np.random.default_rng(5)
+    topics = [rng.choice(10_000, 60, replace=False) + 1 for _ in range(20)]
+    docs = []
+    for n in range(1500):
+        words = np.concatenate((rng.choice(topics[n % 20], rng.integers(0, 40)), rng.integers(0, 30, rng.integers(0, 10))))
+        docs.append(np.unique(words, return_counts=True))
+    docs[7] = docs[8] = docs[9]
+    lengths = [int(c.sum()) for _, c in docs]
+    mean = float(np.mean(lengths))
+    index = search.ShardIndex([t.astype(np.int64) for t, _ in docs], [c.astype(np.int32) for _, c in docs], lengths, mean)
+    scored = []
+    plain = index._scores
+    monkeypatch.setattr(index, "_scores", lambda blocks: scored.append(len(blocks)) or plain(blocks))
+    for n in [*range(0, 1500, 60), 7]:
+        terms = docs[n][0].astype(np.int64)
+        idf = 1 + (terms % 7) / 3
+        got = dict(zip(*[x.tolist() for x in index.top(terms, idf, 10)], strict=True))
+        want = {}
+        for d, (t, c) in enumerate(docs):
+            norm = search.K1 * (1 - search.B + search.B * lengths[d] / mean)
+            hit = np.isin(t, terms)
+            w = c[hit] * (search.K1 + 1) / (c[hit] + norm)
+            if hit.any():
+                want[d] = float((w * idf[np.searchsorted(terms, t[hit])]).sum())
+        last = sorted(want.values())[-10:][0] if want else 0
+        best = {d for d, x in want.items() if x > last + 1e-9}
+        assert best <= set(got) and len(got) >= min(10, len(want)) and all(abs(got[d] - want[d]) < 1e-8 for d in got)
+        assert not got or min(got.values()) >= last - 1e-8
+    assert sum(scored) < 0.6 * 26 * index.blocks
+    assert index.top(np.array([99_999]), np.array([1.0]), 3)[0].tolist() == [] and not index.asked.any()
+    none = search.ShardIndex([], [], [], 1.0)
+    assert none.top(np.array([1]), np.array([1.0]), 3)[0].tolist() == []
+    empty = search.ShardIndex([np.empty(0, np.int64)] * 3, [np.empty(0, np.int32)] * 3, [0, 0, 0], 0.0)
+    assert empty.top(np.array([1]), np.array([1.0]), 3)[0].tolist() == []
