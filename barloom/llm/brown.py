@@ -10,7 +10,8 @@ A text's probability is the product over its tokens of
     P(class | class before) * P(word | class)
 
 with Witten-Bell smoothing of the classes' transitions and absolute discounting of a class's words, which leaves a
-share for the unknown words. An unknown word takes the class that most words seen once of its spelling have.
+share for the unknown words. An unknown word takes the class that most words seen once of its spelling have; all unknown words
+of a spelling are one type.
 """
 
 from __future__ import annotations
@@ -18,7 +19,6 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -343,17 +343,6 @@ def exchange_words(bigrams: DataFrame, start: DataFrame, core: np.ndarray, core_
     return *kept, told
 
 
-@dataclass
-class ClassModel:
-    owner: np.ndarray  # the class of each type
-    transition: np.ndarray  # log10 P(class | class before)
-    emission: np.ndarray  # log10 P(type | class)
-
-    def score(self, types: np.ndarray) -> float:
-        own = self.owner[types]
-        return float(self.transition[np.concatenate((self.owner[:1], own[:-1])), own].sum() + self.emission[types].sum())
-
-
 def transitions(table: np.ndarray, members: np.ndarray) -> np.ndarray:
     """log10 P(class | class before), smoothed with the classes' own shares, to which ``members`` are added."""
     alone = (table.sum(0) + members) / (table.sum() + members.sum())
@@ -364,15 +353,22 @@ def transitions(table: np.ndarray, members: np.ndarray) -> np.ndarray:
         return np.log10((1 - smooth) * table / np.maximum(seen, 1)[:, None] + smooth * alone)
 
 
-def fit_classes(bigrams: np.ndarray, classes: int = CLASSES) -> ClassModel:
-    """Classes and their smoothed probabilities from the counts of type bigrams."""
-    owner = exchange_classes(bigrams, classes)
-    table = np.zeros((classes, classes))
-    np.add.at(table, (owner[:, None], owner[None, :]), bigrams.astype(float))
-    counts = bigrams.sum(0) + 0.5
-    members = np.bincount(owner, minlength=classes)
-    of_class = np.bincount(owner, counts, classes)
-    return ClassModel(owner, transitions(table, members), np.log10(counts / of_class[owner]))
+def word_shares(tokens_of: np.ndarray, words_of: np.ndarray, single: np.ndarray, twice: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """How a class's probability is dealt to its words, from the tokens and words of each class, the words seen once by spelling and class, and
+    how many words are seen twice: what is taken off each word's count, by class; the class of the unknown words of each spelling; and
+    log10 of the share that these have in a class.
+
+    All unknown words of a spelling are one type. The types of a class share what is taken off its words' counts, so the shares of its
+    words and of its types add up to one; from a class that has none nothing is taken off.
+    """
+    once = single.sum()
+    discount = min(max(once / (once + 2 * twice), 0.1), 0.9) if once else 0.5
+    unknown_class = np.where(single.any(1), single.argmax(1), single.sum(0).argmax())
+    kinds = np.bincount(unknown_class, minlength=len(tokens_of))
+    taken = np.where(kinds > 0, discount, 0.0)
+    reserve = np.where(tokens_of > 0, discount * words_of / np.maximum(tokens_of, 1), 1.0)
+    with np.errstate(divide="ignore"):
+        return taken, unknown_class, np.log10(reserve / np.maximum(kinds, 1))
 
 
 def brown_scores(documents: DataFrame, trained: Column, id_col: str = "doc_id", text_col: str = "text", classes: int = CLASSES) -> DataFrame:
@@ -426,18 +422,14 @@ def brown_scores(documents: DataFrame, trained: Column, id_col: str = "doc_id",
             words_of[core[k]] += 1
             single[shape(w), core[k]] += known[k] == 1
             twice += known[k] == 2
-    once = single.sum()
-    discount = min(max(once / (once + 2 * twice), 0.1), 0.9) if once else 0.5
-    unknown_class = np.where(single.any(1), single.argmax(1), single.sum(0).argmax())
-    with np.errstate(divide="ignore"):
-        left = np.where(tokens_of > 0, np.log10(np.where(tokens_of > 0, discount * words_of / np.maximum(tokens_of, 1), 1.0)), 0.0)
+    taken, unknown_class, left = word_shares(tokens_of, words_of, single, twice)
     # The frequent words' classes and probabilities within them.
     class_of = np.concatenate((core, np.zeros(max(len(known) - TYPES - 1, 0), int)))[: len(known)]
     if len(known) > TYPES + 1:
         number = spark.createDataFrame([(int(x), k + TYPES + 1) for k, x in enumerate(keys[TYPES + 1 :])], "key long, number int")
         for r in owners.join(F.broadcast(number), "key").select("number", "class").collect():
             class_of[r["number"]] = r["class"]
-    in_class = np.where(known > 0, np.log10(np.maximum(known - discount, 1e-9) / np.maximum(tokens_of[class_of], 1)), left[class_of])
+    in_class = np.where(known > 0, np.log10(np.maximum(known - taken[class_of], 1e-9) / np.maximum(tokens_of[class_of], 1)), left[class_of])
     chance = transitions(table, np.ones(classes))
     local = spark.sparkContext.broadcast((chance, class_of, np.log10(known + 1), known > 0, in_class, unknown_class, left))
 
@@ -490,12 +482,12 @@ def brown_scores(documents: DataFrame, trained: Column, id_col: str = "doc_id",
         chance, _, _, _, _, _, left = local.value
         for batch in (part for whole in batches for part in _slices(whole)):
             new: list[list] = [[], [], []]
-            taken = (batch.column(c) for c in ("n_known", "base", "score", "times", "spelled", "before", "after", "met_at", "met_class", "met_c"))
-            for n_known, base, score, *lists in zip(*taken, strict=True):
+            columns = (batch.column(c) for c in ("n_known", "base", "score", "times", "spelled", "before", "after", "met_at", "met_class", "met_c"))
+            for n_known, base, score, *lists in zip(*columns, strict=True):
                 times, spelled, before, after, at, of_class, c = (np.asarray(x.values.to_numpy()) for x in lists)
                 own, inside = spelled.copy(), left[spelled]
                 own[at] = of_class
-                inside[at] = np.log10((c - discount) / tokens_of[of_class])
+                inside[at] = np.log10((c - taken[of_class]) / tokens_of[of_class])
                 before, after = (np.where(x < 0, own[np.maximum(-1 - x, 0)] if len(own) else 0, x) for x in (before, after))
                 new[0].append(n_known.as_py() + int(times[at].sum()))
                 new[1].append(base.as_py() + float((times[at] * np.log10(c + 1)).sum()))

@@ -259,12 +259,24 @@ def test_brown_base_counts_and_probabilities(documents):
     assert sum(r["score"] for r in new) > sum(r["base_score"] for r in new)
 
 
-def test_brown_probabilities_sum_to_one():
-    rng = np.random.default_rng(2)
-    bigrams = rng.poisson(0.7, (30, 30))
-    model = brown.fit_classes(bigrams, classes=5)
-    chance = 10 ** (model.transition[:, model.owner] + model.emission[None, :])
+@pytest.mark.parametrize("seed", [2, 3])
+def test_brown_probabilities_sum_to_one(seed):
+    """Over all words and the unknown words of all spellings, after any class."""
+    rng = np.random.default_rng(seed)
+    classes, words = 6, 300
+    own, counts = rng.integers(0, classes - 1, words), rng.geometric(0.4, words).astype(float)
+    spelled = rng.integers(0, brown.SHAPES, words)
+    tokens_of, words_of = np.bincount(own, counts, classes), np.bincount(own, minlength=classes).astype(float)
+    single = np.zeros((brown.SHAPES, classes))
+    np.add.at(single, (spelled[counts == 1], own[counts == 1]), 1)
+    taken, unknown, left = brown.word_shares(tokens_of, words_of, single, float((counts == 2).sum()))
+    chance = 10 ** brown.transitions(rng.poisson(2, (classes, classes)).astype(float), np.ones(classes))
     assert np.allclose(chance.sum(1), 1)
+    known = (counts - taken[own]) / tokens_of[own]
+    of_class = np.bincount(own, known, classes) + np.bincount(unknown, 10 ** left[unknown], classes)
+    assert np.allclose(of_class[tokens_of > 0], 1) and (known > 0).all()
+    nothing = brown.word_shares(np.zeros(3), np.zeros(3), np.zeros((brown.SHAPES, 3)), 0)
+    assert np.allclose(np.bincount(nothing[1], 10 ** nothing[2][nothing[1]], 3)[nothing[1][0]], 1)
 
 
 def class_information(bigrams, owner, classes):
