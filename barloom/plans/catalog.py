@@ -500,6 +500,17 @@ def _ingest(spark, sf_dir):
     return _epochs_instead_of_timestamps(scan_layer(spark, raw, RAW_SCHEMA))
 
 
+@_query("ingest_new_bars")
+def _ingest_new(spark, sf_dir):
+    """Two ingests of one landing zone, the second after more symbols have landed: how many files each has read, and the rows of the layer."""
+    raw, rows = scratch_dir(spark), settle(source_rows(spark, sf_dir).where("symbol IS NOT NULL"))
+    early = F.col("symbol") < "m"
+    first, later = landing_zone(rows.where(early)), landing_zone(rows.where(~early))
+    read = [len(pipeline.ingest_new_bars(spark, zone, raw)) for zone in ([first], [first, later], [first, later])]
+    layer = scan_layer(spark, raw, RAW_SCHEMA).groupBy("symbol").agg(F.count("*").alias("rows"))
+    return layer.select("symbol", "rows", *[F.lit(n).cast("long").alias(f"files_{k}") for k, n in enumerate(read)])
+
+
 @_query("ingest_bars_missing")
 def _ingest_missing(spark, sf_dir):
     landing = landing_zone(source_rows(spark, sf_dir))

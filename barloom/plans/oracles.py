@@ -347,6 +347,11 @@ SELECT count(*) AS row_count,
         "refresh_changed_layers": refreshed,
         "scan_bars_zip_landed": f"WITH {_SOURCE} SELECT * FROM source",
         "ingest_bars_zip": raw + "SELECT * REPLACE (upper(symbol) AS symbol) FROM raw WHERE symbol IS NOT NULL",
+        "ingest_new_bars": """
+SELECT upper(symbol) AS symbol, count(*) AS rows,
+  (SELECT count(DISTINCT event_type) FROM events WHERE event_type < 'm') AS files_0,
+  (SELECT count(DISTINCT event_type) FROM events WHERE event_type >= 'm') AS files_1, CAST(0 AS BIGINT) AS files_2
+FROM (SELECT event_type AS symbol FROM events WHERE event_id % 83 <> 0) GROUP BY symbol""",
         "source_manifest_config": """
 WITH ranges AS (
   SELECT 0 AS config, n_name AS symbol, CASE WHEN n_nationkey % 2 = 1 THEN '5m' ELSE '1m' END AS "interval",

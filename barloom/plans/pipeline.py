@@ -33,6 +33,7 @@ from barloom.sources.files import landing_files, month_of, scan_bars_csv, scan_b
 from barloom.sources.layers import at_partitions, empty_partitions, read_version, scan_layer, write_layer, write_version
 from barloom.sources.manifest import missing_sources
 from barloom.sources.schema import CURATED_SCHEMA, RAW_SCHEMA, REFINED_SCHEMA
+from barloom.sources.stores import opens, write_file
 from barloom.spec import BarSpec
 
 # Up to this many symbols a refresh names them in the scan's partition filter.
@@ -95,6 +96,29 @@ def ingest_bars(
     return missing_sources(named, found)
 
 
+def ingest_new_bars(spark: SparkSession, landing: str | Sequence[str], raw_path: str, kind: str = "csv") -> list[str]:
+    """Bring the source files that are new or have changed since the last such ingest into the raw layer; returns their paths.
+
+    Files are known by path, size and time, kept beside the layer (``{raw_path}-files``). What is new touches months of symbols, and those are written
+    from all their files. The list is written last, so an ingest that fails is repeated by the next one, and a month
+    written twice has its rows once. A month whose files have gone stays as it is.
+    """
+    files = settle(landing_files(spark, landing, kind).withColumn("symbol", F.upper("symbol")))
+    known = read_version(spark, f"{raw_path.rstrip('/')}-files")
+    at = ["path", "length", "modified"]
+    new = files if known is None else files.join(known.select(*at), at, "left_anti")
+    # One short string per file, as for any scan.
+    paths = sorted(row["path"] for row in new.select("path").collect())
+    if not paths:
+        return []
+    found = at_partitions(files, settle(new.select("symbol", "year_month").distinct()), ["symbol", "year_month"])
+    _one_interval(found)
+    scan = scan_bars_zip if kind == "zip" else scan_bars_csv
+    _write_raw(scan(spark, [row["path"] for row in found.select("path").collect()]), raw_path, found)
+    write_version(files, f"{raw_path.rstrip('/')}-files")
+    return paths
+
+
 def _one_interval(files: DataFrame) -> None:
     """The layers have no interval column: bars of two intervals would mix."""
     several = files.where("symbol IS NOT NULL").groupBy("symbol", "year_month").agg(F.count_distinct("interval").alias("n"))
@@ -207,10 +231,13 @@ def build_curated(
 
 
 def write_quality_report(report: DataFrame, quality_path: str) -> None:
-    """The one-row report as indented JSON, in the dataset ``quality_report.json``."""
+    """The one-row report as indented JSON, in the dataset ``quality_report.json``, and as the single file ``report.json`` in a store
+    that can be written to by path."""
     options = {"pretty": "true", "ignoreNullFields": "false"}
-    text = report.select(F.to_json(F.struct(*report.columns), options).alias("value"))
+    text = settle(report.select(F.to_json(F.struct(*report.columns), options).alias("value")))
     text.coalesce(1).write.mode("overwrite").text(f"{quality_path}/quality_report.json")
+    if opens(quality_path):
+        write_file(f"{quality_path}/report.json", f"{text.first()['value']}\n".encode())
 
 
 def build_quality(

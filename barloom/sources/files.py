@@ -173,7 +173,7 @@ def _parsed(lines: DataFrame, corrupt_column: str | None) -> DataFrame:
 
 
 def landing_files(spark: SparkSession, root: str | Sequence[str], kind: str = "csv") -> DataFrame:
-    """The source files under ``root``: path, symbol, interval, year_month. Lists, reads nothing."""
+    """The source files under ``root``: path, symbol, interval, year_month, and their ``length`` and ``modified`` time. Lists, reads nothing."""
     path = F.col("path")
     return (
         spark.read.format("binaryFile")
@@ -184,5 +184,7 @@ def landing_files(spark: SparkSession, root: str | Sequence[str], kind: str = "c
             symbol_of(path).alias("symbol"),
             interval_of(path).alias("interval"),
             month_of(path).alias("year_month"),
+            "length",
+            F.col("modificationTime").alias("modified"),
         )
     )

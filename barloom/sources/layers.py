@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from functools import reduce
 from operator import and_
-from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from barloom.scratch import settle
 from barloom.spec import BarSpec
 
 #: The largest list of partitions that is broadcast, by its measured bytes.
@@ -31,21 +31,45 @@ def unify_symbols(*frames: DataFrame) -> DataFrame:
 def write_layer(
     df: DataFrame, path: str, spec: BarSpec = BarSpec(), cluster: bool = False, whole: bool = False
 ) -> None:
-    """Write by symbol and month; only the partitions present in ``df`` are replaced.
+    """Write by symbol and month; only the partitions present in ``df`` are replaced, when the job is done: one that fails leaves the layer as it was.
 
-    ``whole=True`` replaces the layer: partitions that ``df`` does not have go. ``df`` must not read it.
+    ``whole=True`` replaces the layer: partitions that ``df`` does not have are emptied after the write. ``df`` must not read it.
 
     ``cluster=True`` first brings each partition's rows together, for one file per partition.
     It is a rebalance, so a partition far above the others is split over several tasks. Tables
     that come out of a series window are together already.
     """
     rows = df.hint("rebalance", spec.key, spec.month) if cluster else df
+    before = _layer_files(df.sparkSession, path) if whole else None
+    if before is not None:
+        before = settle(before)
     (
         rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "static" if whole else "dynamic")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy(spec.key, spec.month)
         .parquet(path)
     )
+    if before is not None:
+        # A file that was there before is in a partition that was not replaced.
+        left = _layer_files(df.sparkSession, path).join(before, "file", "left_semi")
+        _empty_folders(df.sparkSession, left, StructType([f for f in df.schema.fields if f.name not in (spec.key, spec.month)]))
+
+
+def _layer_files(spark: SparkSession, path: str) -> DataFrame | None:
+    """The files of a layer by their paths; lists, reads nothing. None if there is no such folder."""
+    try:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    return files.select(F.col("path").alias("file"))
+
+
+def _empty_folders(spark: SparkSession, files: DataFrame, schema: StructType) -> None:
+    """Overwrite the folders of these files without rows, one after the other."""
+    for row in files.select(F.regexp_replace("file", "/[^/]*$", "")).distinct().collect():
+        spark.createDataFrame([], schema).coalesce(1).write.mode("overwrite").parquet(row[0])
 
 
 def empty_partitions(spark: SparkSession, path: str, schema: StructType, gone: DataFrame, spec: BarSpec = BarSpec()) -> None:
@@ -56,10 +80,8 @@ def empty_partitions(spark: SparkSession, path: str, schema: StructType, gone: D
     """
     at = [spec.key, spec.month]
     files = scan_layer(spark, path, schema).select(*at, F.col("_metadata.file_path").alias("file"))
-    folders = files.join(gone.select(*at).distinct(), at, "left_semi").select(F.regexp_replace("file", "/[^/]*$", "")).distinct()
-    inner = StructType([f for f in schema.fields if f.name not in at])
-    for row in folders.collect():
-        spark.createDataFrame([], inner).coalesce(1).write.mode("overwrite").parquet(unquote(row[0]))
+    found = files.join(gone.select(*at).distinct(), at, "left_semi").select(F.url_decode(F.replace("file", F.lit("+"), F.lit("%2B"))).alias("file"))
+    _empty_folders(spark, found, StructType([f for f in schema.fields if f.name not in at]))
 
 
 def _same(columns: list[str]) -> Column:
@@ -77,14 +99,9 @@ def at_partitions(df: DataFrame, listed: DataFrame, columns: list[str], inside:
 
 def _versions(spark: SparkSession, path: str) -> int | None:
     """The last version of a table, by its folders' names."""
-    number = F.regexp_extract("path", r"/version=(\d+)/[^/]*$", 1).cast("int")
-    try:
-        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-    return files.agg(F.max(number)).first()[0]
+    number = F.regexp_extract("file", r"/version=(\d+)/[^/]*$", 1).cast("int")
+    files = _layer_files(spark, path)
+    return None if files is None else files.agg(F.max(number)).first()[0]
 
 
 def write_version(df: DataFrame, path: str) -> None:

@@ -16,10 +16,11 @@ from barloom.plans.pipeline import (
     build_curated,
     build_refined,
     ingest_bars,
+    ingest_new_bars,
     refresh_layers,
     run_lakehouse,
 )
-from barloom.sources.layers import scan_layer
+from barloom.sources.layers import empty_partitions, scan_layer, write_layer
 from barloom.sources.manifest import source_manifest
 from barloom.sources.schema import CURATED_SCHEMA, RAW_SCHEMA, REFINED_SCHEMA
 from barloom.spec import BarSpec
@@ -241,3 +242,69 @@ def test_many_copies_of_one_bar(spark, paths):
     whole = build_refined(spark, paths.raw, paths.refined + "-whole", DAILY)
     assert cut.count() == 122
     assertDataFrameEqual(cut.collect(), whole.collect())
+
+
+def test_a_build_that_fails_leaves_the_old_layer(spark, paths):
+    land(Path(paths.landing), "AAA")
+    ingest_bars(spark, paths.landing, paths.raw)
+    refined = build_refined(spark, paths.raw, paths.refined, DAILY)
+    before = sorted(map(str, refined.collect()))
+    fails = refined.withColumn("close", F.when(F.col("open_time") > JAN_2024 + 370 * DAY, F.raise_error(F.lit("lost"))).otherwise(F.col("close")))
+    copy = fails.write.mode("overwrite")
+    with pytest.raises(Exception, match="lost"):
+        copy.parquet(paths.quality)
+    source = spark.createDataFrame(refined.toPandas(), refined.schema)
+    broken = source.withColumn("close", F.when(F.col("open_time") > JAN_2024 + 370 * DAY, F.raise_error(F.lit("lost"))).otherwise(F.col("close")))
+    with pytest.raises(Exception, match="lost"):
+        write_layer(broken, paths.refined, DAILY, whole=True)
+    assert sorted(map(str, scan_layer(spark, paths.refined, REFINED_SCHEMA).collect())) == before
+    write_layer(source.where("year_month = '2024-02'"), paths.refined, DAILY, whole=True)
+    left = scan_layer(spark, paths.refined, REFINED_SCHEMA)
+    assert left.count() == 29 and left.select("year_month").distinct().count() == 1
+    write_layer(source.where("false"), paths.refined, DAILY, whole=True)
+    assert scan_layer(spark, paths.refined, REFINED_SCHEMA).count() == 0
+
+
+def test_partitions_with_odd_names_are_emptied(spark, tmp_path):
+    path = str(tmp_path / "layer")
+    rows = [(s, "2024-01", 1) for s in ("A B", "C%D", "E+F", "G=H", "I/J", "é")] + [("K", "2024-01", 1)]
+    df = spark.createDataFrame(rows, "symbol string, year_month string, open_time long")
+    write_layer(df, path)
+    schema = df.schema
+    empty_partitions(spark, path, schema, df.where("symbol IN ('A B', 'E+F', 'é')"))
+    assert sorted(r["symbol"] for r in scan_layer(spark, path, schema).collect()) == ["C%D", "G=H", "I/J", "K"]
+    write_layer(df.where("symbol = 'K'"), path, whole=True)
+    assert [r["symbol"] for r in scan_layer(spark, path, schema).collect()] == ["K"]
+
+
+def test_new_and_changed_files_are_ingested_once(spark, paths, monkeypatch):
+    folder = Path(paths.landing)
+    land(folder, "AAA")
+    names = lambda found: sorted(Path(p).name for p in found)
+    assert len(ingest_new_bars(spark, paths.landing, paths.raw)) == 4 and ingest_new_bars(spark, paths.landing, paths.raw) == []
+    # A second file of a month, and a first one of another symbol.
+    (folder / "more").mkdir()
+    (folder / "more" / "AAA-1d-2024-02.csv").write_text(line(JAN_2024 + 59 * DAY, 9.0, 8.0) + "\n")
+    (folder / "more" / "BBB-1d-2024-02.csv").write_text(line(JAN_2024 + 40 * DAY, 9.0) + "\n")
+    with monkeypatch.context() as failing:
+        failing.setattr(pipeline, "write_version", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            ingest_new_bars(spark, paths.landing, paths.raw)
+    assert names(ingest_new_bars(spark, paths.landing, paths.raw)) == ["AAA-1d-2024-02.csv", "BBB-1d-2024-02.csv"]
+    raw = scan_layer(spark, paths.raw, RAW_SCHEMA)
+    counts = {(r["symbol"], r["year_month"]): r["count"] for r in raw.groupBy("symbol", "year_month").count().collect()}
+    assert counts == {("AAA", "2024-01"): 31, ("AAA", "2024-02"): 30, ("AAA", "2024-03"): 31, ("AAA", "2025-01"): 31, ("BBB", "2024-02"): 1}
+    (folder / "more" / "BBB-1d-2024-02.csv").write_text("\n".join(line(JAN_2024 + d * DAY, 9.0) for d in (40, 41)) + "\n")
+    assert names(ingest_new_bars(spark, paths.landing, paths.raw)) == ["BBB-1d-2024-02.csv"]
+    assert scan_layer(spark, paths.raw, RAW_SCHEMA).where("symbol = 'BBB'").count() == 2
+
+
+def test_the_report_is_one_file_too(spark, paths):
+    land(Path(paths.landing), "AAA")
+    with pytest.raises(QualityCheckFailed):
+        run_lakehouse(spark, paths, spec=DAILY)
+    one = json.loads(Path(paths.quality, "report.json").read_text())
+    [text] = Path(paths.quality, "quality_report.json").glob("part-*.txt")
+    assert one == json.loads(text.read_text()) and one["row_count"] == 122
+    drops = spark.read.json(paths.quality + "/drops")
+    assert drops.agg(F.sum("dropped_rows")).first()[0] == 0
