@@ -2,7 +2,8 @@
 
 The distinct fingerprints are sorted by population count and cut into tiles. Two fingerprints
 within the radius have population counts within the radius, so only pairs of tiles whose counts come that
-near are compared: each pair is one exclusive-or and bit count over numpy blocks. A pair of tiles returns a spanning
+near are compared: each pair is one exclusive-or and bit count over numpy blocks. Tiles are dealt in strips of some that follow each other, and a task
+compares two strips: a tile travels once for each strip that its own comes near, not for each tile. A pair of tiles returns a spanning
 forest of its links, so a group of any size gives no more links than it has fingerprints. The components
 of the links are found by Spark (``components``).
 """
@@ -14,14 +15,15 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from barloom.llm.common import broadcast_if_small
 from barloom.llm.components import connected_components
 from barloom.scratch import settle
 
-#: Fingerprints of a tile.
-TILE = 16384
+#: Fingerprints of a tile, tiles of a strip at least, and strips at most: of more tiles the strips are longer, so that a tile travels so many times at most.
+TILE, STRIP, STRIPS = 16384, 8, 512
 #: Pairs compared at once.
 BLOCK = 1 << 20
 
@@ -100,7 +102,32 @@ def links_between(a: np.ndarray, b: np.ndarray, radius: int) -> tuple[np.ndarray
     return nodes[linked], nodes[parent[linked]]
 
 
-def fingerprint_links(distinct: DataFrame, radius: int = 4, tile: int = TILE) -> DataFrame:
+def strip_links(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.RecordBatch]:
+    """The links of pairs of strips: rows ``s1``, ``s2``, ``side`` (0 or 1; a strip with itself has 0 only), ``lo``, ``hi``, ``fps``, sorted by the first three. Of a
+    pair the tiles of side 0 are held, those of side 1 pass by."""
+    now, held = None, []
+
+    def links(a: tuple, b: tuple) -> Iterator[pa.RecordBatch]:
+        if a[0] <= b[1] + radius and b[0] <= a[1] + radius:
+            x, y = links_between(a[2], b[2], radius)
+            if len(x):
+                yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)), pa.array(y.view(np.int64))], names=["a", "b"])
+
+    for batch in batches:
+        columns = [batch.column(c).to_pylist() for c in ("s1", "s2", "side", "lo", "hi")]
+        for s1, s2, side, lo, hi, fps in zip(*columns, batch.column("fps"), strict=True):
+            if (s1, s2) != now:
+                now, held = (s1, s2), []
+            tile = (lo, hi, np.frombuffer(fps.as_py(), "<u8"))
+            for other in held if side or s1 == s2 else ():
+                yield from links(other, tile)
+            if s1 == s2:
+                yield from links(tile, tile)
+            if side == 0:
+                held.append(tile)
+
+
+def fingerprint_links(distinct: DataFrame, radius: int = 4, tile: int = TILE, strip: int = STRIP) -> DataFrame:
     """Links ``a``, ``b`` that connect the distinct fingerprints of column ``fp`` as all pairs within
     ``radius`` bits do."""
     counted = distinct.select("fp", F.bit_count("fp").cast("int").alias("pop"))
@@ -125,24 +152,20 @@ def fingerprint_links(distinct: DataFrame, radius: int = 4, tile: int = TILE) ->
     sorted_by_count = counted.repartitionByRange(parts, "pop", "fp").sortWithinPartitions("pop", "fp")
     # A fingerprint is in one tile only, so the tile's first one names it.
     tiles = settle(sorted_by_count.mapInArrow(pack, "lo int, hi int, fps binary").withColumn("tile", F.monotonically_increasing_id()))
-    spans = tiles.select("tile", "lo", "hi")
-    left = spans.select(F.col("tile").alias("t1"), F.explode(F.sequence("lo", "hi")).alias("pop"))
-    right = spans.select(F.col("tile").alias("t2"), F.explode(F.sequence(F.col("lo") - radius, F.col("hi") + radius)).alias("pop"))
-    pairs = left.join(right, "pop").where("t1 <= t2").select("t1", "t2").distinct()
-    whole = pairs.join(tiles.select(F.col("tile").alias("t1"), F.col("fps").alias("f1")), "t1").join(tiles.select(F.col("tile").alias("t2"), F.col("fps").alias("f2")), "t2")
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for t1, t2, f1, f2 in zip(*[batch.column(k) for k in ("t1", "t2", "f1", "f2")], strict=True):
-                a = np.frombuffer(f1.as_py(), "<u8")
-                b = a if t1.as_py() == t2.as_py() else np.frombuffer(f2.as_py(), "<u8")
-                x, y = links_between(a, b, radius)
-                if len(x):
-                    yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)), pa.array(y.view(np.int64))], names=["a", "b"])
-
-    # Each row holds two tiles: a small number of rows to a task bounds what a batch holds.
-    cuts = max(1, pairs.count() // 16)
-    return whole.repartition(cuts, "t1", "t2").mapInArrow(compare, "a long, b long")
+    # Strips of tiles in their order; one small row for each tile goes through one task.
+    strip = max(strip, -(-tiles.count() // STRIPS))
+    number = F.row_number().over(Window.orderBy("lo", "hi", "tile"))
+    strips = settle(tiles.select("tile", "lo", "hi").withColumn("strip", F.floor((number - 1) / strip).cast("int")))
+    spans = strips.groupBy("strip").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    left = spans.select(F.col("strip").alias("s1"), F.explode(F.sequence("lo", "hi")).alias("pop"))
+    right = spans.select(F.col("strip").alias("s2"), F.explode(F.sequence(F.col("lo") - radius, F.col("hi") + radius)).alias("pop"))
+    pairs = settle(left.join(right, "pop").where("s1 <= s2").select("s1", "s2").distinct())
+    in_strip = tiles.join(broadcast_if_small(strips.select("tile", "strip"), 32), "tile").select("strip", "lo", "hi", "fps")
+    near = lambda side, name: in_strip.withColumnRenamed("strip", name).join(broadcast_if_small(pairs.where(f"{side} = 0 OR s1 <> s2"), 16), name).select("s1", "s2", F.lit(side).alias("side"), "lo", "hi", "fps")
+    met = near(0, "s1").unionByName(near(1, "s2"))
+    # A pair of strips to a task, as far as the numbers fall so.
+    dealt = met.repartition(max(1, pairs.count()), "s1", "s2").sortWithinPartitions("s1", "s2", "side")
+    return dealt.mapInArrow(lambda batches: strip_links(batches, radius), "a long, b long")
 
 
 def simhash_components(

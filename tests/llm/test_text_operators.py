@@ -116,6 +116,30 @@ def test_simhash_against_brute_force(documents):
     assert Counter((r["doc_id"], r["component_id"]) for r in found) == want
 
 
+@pytest.mark.parametrize("strip", [1, 3, 100])
+def test_links_of_strips_connect_what_is_near(spark, strip):
+    rng = np.random.default_rng(8)
+    base = rng.integers(0, 1 << 63, 30, dtype=np.int64)
+    flips = [int(b) ^ sum(1 << int(k) for k in rng.choice(63, rng.integers(0, 7), replace=False)) for b in base for _ in range(8)]
+    prints = sorted({*map(int, base), *flips, 0, -1, 1})
+    distinct = spark.createDataFrame([(p,) for p in prints], "fp long").repartition(3)
+    got = dict(map(tuple, connected_components(simhash.fingerprint_links(distinct, 3, tile=5, strip=strip)).collect()))
+    want = brute_groups(prints, 3)
+    assert {frozenset(p for p in prints if got.get(p, p) == r) for r in {got.get(p, p) for p in prints}} == want
+
+
+def brute_groups(prints, radius):
+    groups = [{p} for p in prints]
+    for i, p in enumerate(prints):
+        for q in prints[:i]:
+            if ((p ^ q) & (1 << 64) - 1).bit_count() <= radius:
+                a, b = (next(g for g in groups if x in g) for x in (p, q))
+                if a is not b:
+                    a |= b
+                    groups.remove(b)
+    return set(map(frozenset, groups))
+
+
 def test_fingerprint_uses_the_engines_hash(spark):
     text = "A b\tc  d e"
     hashes = [r[0] & (1 << 64) - 1 for r in spark.createDataFrame([("a b c d",), ("b c d e",)], "s string").select(F.xxhash64("s")).collect()]
