@@ -36,8 +36,8 @@ HEADER = "<4sHHQI"
 SHARD_DOCS, SHARD_BYTES = 4096, 4 << 20
 #: Documents that train the dictionary, bytes of each that it looks at, bytes of the dictionary.
 SAMPLE_DOCS, SAMPLE_BYTES, DICTIONARY_BYTES = 1000, 16 << 10, 64 << 10
-#: Pieces of text whose ids a worker process remembers, those it keeps when there are more, and their longest.
-MEMO, MEMO_KEPT, MEMO_CHARS = 1_200_000, 600_000, 64
+#: Pieces of text whose ids a worker process remembers (of more it keeps half), and their longest.
+MEMO, MEMO_CHARS = 1_200_000, 64
 #: Characters of the texts that are encoded at once, at least; rows of a batch that are held as Python objects at once.
 CHUNK_CHARS, ROWS = 1 << 20, 1024
 #: Signs that a byte-level tokenizer parts from a letter or digit before them.
@@ -55,7 +55,7 @@ def byte_signs() -> dict[int, str]:
 
 
 @lru_cache(maxsize=2)
-def encoder(tokenizer_path: str, end_id: int) -> Callable[[list[str]], list[np.ndarray]]:
+def encoder(tokenizer_path: str, end_id: int, pieces_kept: int = MEMO) -> Callable[[list[str]], list[np.ndarray]]:
     """A function from texts to their ids, each with ``end_id`` at the end. A worker process, which runs many tasks,
     loads a tokenizer once and keeps what it has remembered.
 
@@ -112,8 +112,8 @@ def encoder(tokenizer_path: str, end_id: int) -> Callable[[list[str]], list[np.n
         return missing | parts
 
     def encode(texts: list[str]) -> list[np.ndarray]:
-        if len(memo) > MEMO:
-            first = list(islice(memo.items(), MEMO_KEPT))
+        if len(memo) > pieces_kept:
+            first = list(islice(memo.items(), pieces_kept // 2))
             memo.clear()
             memo.update(first)
         found: list = [b""] * len(texts)
@@ -195,7 +195,7 @@ class Shard:
         return np.frombuffer(self.reader.decompress(frame), f"<u{self.width}").astype("<u4")
 
 
-def train_dictionary(documents: DataFrame, id_col: str, text_col: str, tokenizer_path: str, end_id: int, width: int) -> bytes:
+def train_dictionary(documents: DataFrame, id_col: str, text_col: str, tokenizer_path: str, end_id: int, width: int, pieces_kept: int = MEMO) -> bytes:
     """A dictionary from the first bytes of the id arrays of at most ``SAMPLE_DOCS`` documents, those with the smallest
     hash of their id; empty if there are too few to train one."""
     rows = documents.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
@@ -204,7 +204,7 @@ def train_dictionary(documents: DataFrame, id_col: str, text_col: str, tokenizer
     chosen = near.distinct().orderBy(F.xxhash64("id"), "id").limit(SAMPLE_DOCS)
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer_path, end_id)
+        encode = encoder(tokenizer_path, end_id, pieces_kept)
         for batch in batches:
             texts = [x or "" for x in batch.column("text").to_pylist()]
             arrays = [a.astype(f"<u{width}").tobytes()[:SAMPLE_BYTES] for a in encode(texts)]
@@ -218,17 +218,18 @@ def train_dictionary(documents: DataFrame, id_col: str, text_col: str, tokenizer
         return b""
 
 
-def write_token_files(documents: DataFrame, path: str, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> None:
+def write_token_files(documents: DataFrame, path: str, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", pieces_kept: int = MEMO) -> None:
     """Write the ids of all documents below ``path``, by ascending id, null first; a null text is empty. Repeated ids
-    follow each other, by their texts. Ids must be integers, and ids of tokens below 2**32."""
+    follow each other, by their texts. Ids must be integers, and ids of tokens below 2**32. ``pieces_kept`` bounds what a worker process
+    remembers, at about 200 bytes each; fewer take more time and give the same files."""
     spark = documents.sparkSession
     width = 2 if max(Tokenizer.from_file(tokenizer_path).get_vocab_size(), end_id + 1) <= 1 << 16 else 4
     rows = documents.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
-    dictionary = train_dictionary(rows, "id", "text", tokenizer_path, end_id, width)
+    dictionary = train_dictionary(rows, "id", "text", tokenizer_path, end_id, width, pieces_kept)
     spark.createDataFrame([(dictionary,)], "bytes binary").coalesce(1).write.parquet(f"{path}/dictionary")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer_path, end_id)
+        encode = encoder(tokenizer_path, end_id, pieces_kept)
         shared = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
         if shared:
             shared.precompute_compress(level=3)
