@@ -22,6 +22,8 @@ from barloom.scratch import scratch_dir, settle
 #: What a row is joined by: its id as text, whether it has one, its hash.
 KEYS = ["__id", "__none", "__row"]
 _KEY_BYTES = 64
+#: Pieces of text that a worker remembers in the last stage: half of the token files' own bound, since its processes have run the other stages.
+PIECES_KEPT = 600_000
 
 
 def _keys(row: Column) -> list[Column]:
@@ -73,7 +75,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def token_file_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents as token files, read back: id, start, tokens and checksum of each."""
     path = scratch_dir(spark)
-    tokenfile.write_token_files(docs, path, public_tokenizers.path("byte_bpe_50k.json"), 2)
+    tokenfile.write_token_files(docs, path, public_tokenizers.path("byte_bpe_50k.json"), 2, pieces_kept=PIECES_KEPT)
     return tokenfile.read_token_files(spark, path)
 
 
