@@ -166,7 +166,23 @@ def test_components(spark):
 # Decontamination
 
 
-def brute_hits(text, items, window, slop=None):
+def brute_near(text, items, window, slop):
+    """Places inside windows whose words each stand within ``slop`` of theirs, over all alignments, and the items that have one."""
+    words = re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    near, found = set(), set()
+    for item_id, item in items:
+        own = re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", (item or "").lower())
+        n = min(window, len(own))
+        for delta in range(-len(own) - slop, len(words) + slop + 1) if own else ():
+            met = [any(0 <= delta + p + k < len(words) and words[delta + p + k] == w for k in range(-slop, slop + 1)) for p, w in enumerate(own)]
+            for start in range(len(own) - n + 1):
+                if all(met[start : start + n]):
+                    near |= {delta + p for p in range(start, start + n)}
+                    found |= {str(item_id)} if item_id is not None else set()
+    return len(near), sorted(found)
+
+
+def brute_hits(text, items, window):
     words = re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     hit, found = set(), set()
     for item_id, item in items:
@@ -194,7 +210,8 @@ def test_decontamination_against_brute_force(spark, documents):
         n, hits, ids = brute_hits(t, items, 4)
         want[(i, n, hits, tuple(ids))] += 1
     assert got == want
-    assert all(set(r["items"]) <= set(r["near_items"]) for r in found)
+    near = Counter((r["doc_id"], r["n_near"], tuple(r["near_items"])) for r in found)
+    assert near == Counter((i, n, tuple(ids)) for (i, t) in rows for n, ids in [brute_near(t, items, 4, 1)])
 
 
 def test_proximity_matches_allow_small_shifts(spark, documents):
@@ -538,3 +555,19 @@ def test_wand_equals_scoring_every_document_and_skips_blocks(monkeypatch):
     assert none.top(np.array([1]), np.array([1.0]), 3)[0].tolist() == []
     empty = search.ShardIndex([np.empty(0, np.int64)] * 3, [np.empty(0, np.int32)] * 3, [0, 0, 0], 0.0)
     assert empty.top(np.array([1]), np.array([1.0]), 3)[0].tolist() == []
+
+
+def test_chat_with_clashing_columns(spark):
+    rows = [(1, 0, "user", "hi", "f", ["t"], 1), (1, 1, "assistant", None, None, None, None), (1, 1, "assistant", None, None, None, None)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, formatted string, turns array<string>, spans int")
+    made = chat.format_conversations(turns)
+    plain = chat.format_conversations(turns.select("conv_id", "turn", "role", "text"))
+    assert [r["formatted"] for r in made.collect()] == [r["formatted"] for r in plain.collect()]
+
+
+def test_scores_of_an_empty_table(spark, documents):
+    docs, labels = labelled(spark, documents, 12)
+    for model in (quality.train_quality(docs, labels), quality.train_quality(docs.where("false"), labels.where("false"))):
+        assert docs.where("false").select(quality.quality_score(model, F.col("text")).alias("s")).collect() == []
+    model = language.train_languages(docs)
+    assert docs.where("false").select(language.language_of(model, F.col("text")).alias("f")).collect() == []
