@@ -64,7 +64,8 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document is repeated as often as the mix takes it; those it does not take go."""
+    """Each document is repeated as often as the mix takes it; those it does not take go. Null and empty texts have size 0 and stay, at the
+    rate of a text of no length; a null source is a source. Copies of one row are dealt with together: the row is repeated as often as the mix takes all of them."""
     keyed = _keyed(docs)
     mixed = mixing.mix(keyed.select("doc_id", "text", "source", "__row"), keep=["__row"])
     copies = mixed.groupBy(*_keys(F.col("__row"))).agg(F.sum("copies").cast("int").alias("__copies")).where("__copies > 0")
@@ -73,7 +74,8 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def token_file_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents as token files, read back: id, start, tokens and checksum of each."""
+    """The documents as token files, read back: id, start, tokens and checksum of each. A null text is empty, a null id comes first, and
+    repeated ids and rows follow each other."""
     path = scratch_dir(spark)
     tokenfile.write_token_files(docs, path, public_tokenizers.path("byte_bpe_50k.json"), 2, pieces_kept=PIECES_KEPT)
     return tokenfile.read_token_files(spark, path)
