@@ -13,10 +13,12 @@ reads both, so they can be in any store that Spark knows.
 
 from __future__ import annotations
 
+import ctypes
 import json
 import struct
 import zlib
 from collections.abc import Callable, Iterator
+from contextlib import suppress
 from functools import lru_cache
 from itertools import chain, islice
 
@@ -147,6 +149,14 @@ def encoder(tokenizer_path: str, end_id: int, pieces_kept: int = MEMO) -> Callab
     return encode
 
 
+def give_back(whole: bool) -> None:
+    """Give back memory that the Arrow pool holds and doesn't use; ``whole``: and what the C library holds, where it can (that takes time)."""
+    pa.default_memory_pool().release_unused()
+    if whole:
+        with suppress(OSError, AttributeError):
+            ctypes.CDLL(None).malloc_trim(0)
+
+
 def in_chunks(texts: list[str], size: int = CHUNK_CHARS) -> Iterator[tuple[int, int]]:
     """Bounds of stretches of ``texts`` that reach ``size`` characters."""
     first = held = 0
@@ -221,7 +231,7 @@ def train_dictionary(documents: DataFrame, id_col: str, text_col: str, tokenizer
 def write_token_files(documents: DataFrame, path: str, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", pieces_kept: int = MEMO) -> None:
     """Write the ids of all documents below ``path``, by ascending id, null first; a null text is empty. Repeated ids
     follow each other, by their texts. Ids must be integers, and ids of tokens below 2**32. ``pieces_kept`` bounds what a worker process
-    remembers, at about 200 bytes each; fewer take more time and give the same files."""
+    remembers, at about 200 bytes each; fewer take more time and give the same files, and a worker then gives back all memory that it can."""
     spark = documents.sparkSession
     width = 2 if max(Tokenizer.from_file(tokenizer_path).get_vocab_size(), end_id + 1) <= 1 << 16 else 4
     rows = documents.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
@@ -258,7 +268,7 @@ def write_token_files(documents: DataFrame, path: str, tokenizer_path: str, end_
                             yield shard()
                             seq, held = seq + 1, 0
             # Else the pool of a worker process, which runs many tasks, keeps what all batches have taken at most.
-            pa.default_memory_pool().release_unused()
+            give_back(pieces_kept < MEMO)
         if kept[0]:
             yield shard()
 
