@@ -22,8 +22,8 @@ from barloom.scratch import scratch_dir, settle
 #: What a row is joined by: its id as text, whether it has one, its hash.
 KEYS = ["__id", "__none", "__row"]
 _KEY_BYTES = 64
-#: Pieces of text that a worker remembers in the last stage: half of the token files' own bound, since its processes have run the other stages.
-PIECES_KEPT = 600_000
+#: Pieces of text that a worker remembers in the last stage: a sixth of the token files' own bound, since its processes have run the other stages.
+PIECES_KEPT = 200_000
 
 
 def _keys(row: Column) -> list[Column]:
