@@ -17,17 +17,18 @@ of a spelling are one type.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import broadcast_if_small
-from barloom.scratch import settle
+from barloom.scratch import clear, settle, settle_at
 
 #: Words of the core, types by spelling that all others start from, classes.
 TYPES, SHAPES, CLASSES = 1023, 256, 48
@@ -37,11 +38,13 @@ SWEEPS, GAIN = 4, 1e-3
 SEED = 42
 #: Words whose counts every task has at hand; all others are looked up by a join.
 FREQUENT = 50_000
-#: Words that a task counts before it passes them on, and pairs of words.
-FLUSH, FLUSH_PAIRS = 400_000, 1_000_000
+#: Bytes of text that a task counts at once; training tokens for each part of the words outside the core, at about.
+CHUNK_BYTES, PART_TOKENS = 6 << 20, 2_000_000
 #: Counts whose gains a sweep looks up; those of larger counts are computed one by one.
 LOOKED_UP = 16
 END = b""
+#: Stands for the end between joined texts; UTF-8 has no such byte.
+_BREAK = b" \xff "
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -53,30 +56,52 @@ def shape(word: bytes) -> int:
     return zlib.crc32(word[-2:]) % SHAPES
 
 
-def shape_column(word: Column) -> Column:
-    return F.pmod(F.crc32(F.substring(word, -2, 2)), F.lit(SHAPES)).cast("int")
-
-
-def token_counts(texts: DataFrame) -> DataFrame:
+def coded(texts: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
+    """The tokens of some texts in a row as numbers of their words, and the words; an end comes before all of them."""
+    joined = _BREAK.join([b"", *texts, b""]).strip().lower()
+    whole = pa.Array.from_buffers(pa.string(), 1, [None, pa.py_buffer(np.array([0, len(joined)], np.int32)), pa.py_buffer(joined)])
+    tokens = pc.ascii_split_whitespace(whole).values.view(pa.binary()).dictionary_encode()
+    words = tokens.dictionary.to_pylist()
+    words[0] = END
+    return tokens.indices.to_numpy(), words
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[np.ndarray, list[bytes], list[pa.RecordBatch]]]:
+    """The coded tokens of the column ``text``, about ``size`` bytes of it at once, with its rows."""
+    texts, rows, now = [], [], 0
+    for batch in (part for whole in batches for part in _slices(whole)):
+        start = 0
+        for k, text in enumerate(batch.column("text").to_pylist(), 1):
+            texts.append((text or "").encode("utf-8", "replace"))
+            now += len(texts[-1]) + 1
+            if now >= size or k == batch.num_rows:
+                rows.append(batch.slice(start, k - start))
+                start = k
+            if now >= size:
+                yield *coded(texts), rows
+                texts, rows, now = [], [], 0
+                pa.default_memory_pool().release_unused()
+    if texts:
+        yield *coded(texts), rows
+
+
+def token_counts(texts: DataFrame, chunk: int = CHUNK_BYTES) -> DataFrame:
     """``word`` (binary) and ``c`` over all rows of the column ``text``."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
+        for codes, words, _ in _chunks(batches, chunk):
+            n = np.bincount(codes[1:], minlength=len(words))
+            yield from pa.Table.from_arrays([pa.array(words, pa.binary()), pa.array(n)], names=["word", "n"]).to_batches(max_chunksize=1 << 16)
 
-        def flush() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], names=["word", "n"])
-            seen.clear()
-            return out
+    return texts.select("text").mapInArrow(work, "word binary, n long").groupBy("word").agg(F.sum("n").alias("c"))
 
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                seen.update(tokens(text))
-                if len(seen) >= FLUSH:
-                    yield flush()
-        if seen:
-            yield flush()
 
-    return texts.select("text").mapInArrow(work, "word binary, n long").groupBy("word").agg(F.sum("n").alias("c"))
+def _runs(values: list, start: int, stop: int) -> Iterator[tuple[int, int]]:
+    """The ranges of equal values from ``start`` to ``stop``."""
+    while start < stop:
+        end = bisect_right(values, values[start], start, stop)
+        yield start, end
+        start = end
 
 
 def _slices(batch: pa.RecordBatch, rows: int = 1024) -> Iterator[pa.RecordBatch]:
@@ -84,66 +109,185 @@ def _slices(batch: pa.RecordBatch, rows: int = 1024) -> Iterator[pa.RecordBatch]
         yield batch.slice(k, rows)
 
 
-def type_sequence(words: list[bytes], frequent: dict[bytes, int], shapes: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-    """The types of tokens, the frequent words' numbers (-1 for others) and the other words. The end is number 0."""
-    numbers = np.array([frequent.get(w, -1) for w in words], np.int32)
-    types = shapes[numbers]
-    others = np.flatnonzero(numbers < 0)
-    rest = [words[i] for i in others]
-    types[others] = [TYPES + 1 + zlib.crc32(w[-2:]) % SHAPES for w in rest]
-    return types, numbers, rest
-
-
 def word_key(word: bytes) -> int:
     """What Spark's xxhash64 gives for a binary value."""
     x = xxhash.xxh64_intdigest(word, SEED)
     return x - (1 << 64) if x >> 63 else x
 
 
-def bigram_counts(texts: DataFrame, shared) -> DataFrame:
-    """``typed``, ``a``, ``b`` and ``n`` over the column ``text``: the bigrams of types, and those of word keys (a core word's number, else
-    the word's hash) where at least one word is outside the core. A bigram has a row for each time that a task passes it on."""
-    width = TYPES + 1 + SHAPES
-    names = ["typed", "a", "b", "n"]
+def packed(x: np.ndarray) -> bytes:
+    """Numbers that are not below zero, in the smallest type that holds them."""
+    kind = np.min_scalar_type(int(x.max()) if len(x) else 0)
+    return kind.char.encode() + x.astype(kind).tobytes()
+
+
+def unpacked(x: bytes) -> np.ndarray:
+    return narrow(x).astype(np.int64)
+
+
+def narrow(x: bytes) -> np.ndarray:
+    """The same in the type that they were packed in."""
+    return np.frombuffer(x, x[:1].decode(), offset=1)
+
+
+def summed(code: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different codes, ascending, and the sums of their numbers."""
+    order = np.argsort(code, kind="stable")
+    code, n = code[order], n[order]
+    first = np.flatnonzero(np.r_[True, code[1:] != code[:-1]]) if len(code) else np.empty(0, np.int64)
+    return code[first], np.add.reduceat(n, first) if len(first) else n
+
+
+#: Rows of parts: ``keys`` of the part's words (ascending), their ``shape``, and by word the neighbours in the core (``core``: the number, from ``cores`` on for those after
+#: the word; ``core_c``: how often; ``core_n``: how many entries each word has) and outside (``loose``, by word and side). Rows that ask: the words of ``part`` that the part ``asks`` must know.
+_PACKED = ("keys", "shape", "core_n", "core", "core_c", "loose_n", "loose", "loose_c", "same", "cells", "cells_c")
+_PART_ROWS = "part int, asks int, " + ", ".join(f"{c} binary" for c in _PACKED)
+
+
+def _rows(rows: list[dict]) -> pa.RecordBatch:
+    columns = [pa.array([r.get(c) for r in rows], pa.int32()) for c in ("part", "asks")]
+    return pa.RecordBatch.from_arrays([*columns, *[pa.array([r.get(c) for r in rows], pa.binary()) for c in _PACKED]], names=["part", "asks", *_PACKED])
+
+
+def chunk_parts(codes: np.ndarray, words: list[bytes], core: dict[bytes, int], cores: int, parts: int) -> tuple[np.ndarray, list[dict]]:
+    """The types of a chunk's words, and for each part its words outside the core with their neighbours (by key where they are loose)."""
+    number = np.array([core.get(w, -1) for w in words], np.int64)
+    spelled = np.array([-1 if n >= 0 else shape(w) for w, n in zip(words, number.tolist(), strict=True)], np.int64)
+    types = np.where(number >= 0, number, cores + spelled)
+    rare = np.flatnonzero(number < 0)
+    key = np.array([word_key(words[k]) for k in rare.tolist()], np.int64)
+    order = np.lexsort((key, key % parts))
+    rare, key = rare[order], key[order]
+    place = np.full(len(words), -1, np.int64)
+    place[rare] = np.arange(len(rare))
+    at = np.flatnonzero(number[codes] < 0)
+    own = place[codes[at]]
+    sides = [codes[at - 1], codes[at + 1]]
+    in_core = [np.flatnonzero(number[x] >= 0) for x in sides]
+    near = np.concatenate([own[k] * 2 * cores + side * cores + number[x[k]] for side, (x, k) in enumerate(zip(sides, in_core, strict=True))])
+    near, near_c = np.unique(near, return_counts=True)
+    # A word after itself is counted once, as before itself.
+    outside = [np.flatnonzero((number[x] < 0) & ((place[x] != own) | (side == 0))) for side, x in enumerate(sides)]
+    far = np.concatenate([(own[k] * 2 + side) * len(rare) + place[x[k]] for side, (x, k) in enumerate(zip(sides, outside, strict=True))])
+    far, far_c = np.unique(far, return_counts=True)
+    near_word, near = near // (2 * cores), near % (2 * cores)
+    far_word, far = far // max(len(rare), 1), key[far % max(len(rare), 1)]
+    heads = np.searchsorted(key % parts, np.arange(parts + 1))
+    near_at, far_at = np.searchsorted(near_word, heads), np.searchsorted(far_word, 2 * heads)
+    found = []
+    for p in np.flatnonzero(np.diff(heads)).tolist():
+        (a, b), (c, d), (e, f) = heads[p : p + 2], near_at[p : p + 2], far_at[p : p + 2]
+        found.append(
+            {
+                "part": p,
+                "keys": key[a:b].tobytes(),
+                "shape": packed(spelled[rare[a:b]]),
+                "core_n": packed(np.bincount(near_word[c:d] - a, minlength=b - a)),
+                "core": packed(near[c:d]),
+                "core_c": packed(near_c[c:d]),
+                "loose_n": packed(np.bincount(far_word[e:f] - 2 * a, minlength=2 * (b - a))),
+                "loose": far[e:f].tobytes(),
+                "loose_c": packed(far_c[e:f]),
+            }
+        )
+    return types, found
+
+
+def joined_part(part: int, rows: list[dict], cores: int, parts: int) -> list[dict]:
+    """A part's rows as one, its loose neighbours numbered by their parts and keys, and the rows that ask for these."""
+    found = []
+    cells = [r for r in rows if r["cells"] is not None]
+    if cells:
+        code, n = summed(*(np.concatenate([unpacked(r[c]) for r in cells]) for c in ("cells", "cells_c")))
+        found.append({"part": part, "cells": packed(code), "cells_c": packed(n)})
+    rows = [r for r in rows if r["keys"] is not None]
+    if not rows:
+        return found
+    parted = [np.frombuffer(r["keys"], np.int64) for r in rows]
+    keys, first, word = np.unique(np.concatenate(parted), return_index=True, return_inverse=True)
+    near, far = [], []
+    start = 0
+    for r, mine in zip(rows, parted, strict=True):
+        mine, start = word[start : start + len(mine)], start + len(mine)
+        near.append(np.repeat(mine, unpacked(r["core_n"])) * 2 * cores + unpacked(r["core"]))
+        far.append(np.repeat((2 * mine[:, None] + np.arange(2)).ravel(), unpacked(r["loose_n"])))
+    shapes = np.concatenate([unpacked(r["shape"]) for r in rows])[first]
+    near, near_c = summed(np.concatenate(near), np.concatenate([unpacked(r["core_c"]) for r in rows]))
+    far, far_c = np.concatenate(far), np.concatenate([unpacked(r["loose_c"]) for r in rows])
+    other = np.concatenate([np.frombuffer(r["loose"], np.int64) for r in rows])
+    itself = other == keys[far // 2]
+    same = np.zeros(len(keys), np.int64)
+    np.add.at(same, far[itself] // 2, far_c[itself])
+    far, far_c, other = far[~itself], far_c[~itself], other[~itself]
+    asked, at = np.unique(other, return_inverse=True)
+    order = np.argsort(asked % parts, kind="stable")
+    asked, rank = asked[order], np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    far, far_c = summed(far * max(len(asked), 1) + rank[at], far_c)
+    near_word, far_word = near // (2 * cores), far // max(len(asked), 1)
+    found.append(
+        {
+            "part": part,
+            "keys": keys.tobytes(),
+            "shape": packed(shapes),
+            "core_n": packed(np.bincount(near_word, minlength=len(keys))),
+            "core": packed(near % (2 * cores)),
+            "core_c": packed(near_c),
+            "loose_n": packed(np.bincount(far_word, minlength=2 * len(keys))),
+            "loose": packed(far % max(len(asked), 1)),
+            "loose_c": packed(far_c),
+            "same": packed(same),
+        }
+    )
+    heads = np.searchsorted(asked % parts, np.arange(parts + 1))
+    return found + [{"part": p, "asks": part, "keys": asked[heads[p] : heads[p + 1]].tobytes()} for p in np.flatnonzero(np.diff(heads)).tolist()]
 
-    def rows(typed: bool, a: np.ndarray, b: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
-        for k in range(0, len(a), 1 << 16):
-            part = slice(k, k + (1 << 16))
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(a[part]), typed)), pa.array(a[part]), pa.array(b[part]), pa.array(n[part])], names=names)
 
-    def counted(pairs: list) -> Iterator[pa.RecordBatch]:
-        a, b = (np.concatenate(x) for x in zip(*pairs, strict=True))
-        order = np.lexsort((b, a))
-        a, b = a[order], b[order]
-        first = np.flatnonzero(np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1]))))
-        return rows(False, a[first], b[first], np.diff(np.concatenate((first, [len(a)]))))
+def word_parts(texts: DataFrame, core: dict[bytes, int], cores: int, parts: int, chunk: int = CHUNK_BYTES) -> DataFrame:
+    """Over the column ``text``: a row for each part of the words outside the core, with their neighbours; rows that ask other parts; the
+    bigrams of types as ``cells``. A word's part is its key modulo ``parts``."""
+    width = cores + SHAPES
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent, shapes, keys_of = shared.value
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(width * width, np.int64)
-        held, size = [], 0
-        for batch in batches:
-            firsts = []
-            for text in batch.column(0).to_pylist():
-                types, numbers, rest = type_sequence(tokens(text), frequent, shapes)
-                before = np.concatenate(([0], types[:-1])).astype(np.int64)
-                firsts.append(before * width + types)
-                keys = keys_of[numbers]
-                keys[numbers < 0] = [word_key(w) for w in rest]
-                rare = (types > TYPES) | (before > TYPES)
-                held.append((np.concatenate(([0], keys[:-1]))[rare], keys[rare]))
-                size += int(rare.sum())
-                if size >= FLUSH_PAIRS:
-                    yield from counted(held)
-                    held, size = [], 0
-            if firsts:
-                total += np.bincount(np.concatenate(firsts), minlength=len(total))
-        if size:
-            yield from counted(held)
+        for codes, words, _ in _chunks(batches, chunk):
+            types, found = chunk_parts(codes, words, core, cores, parts)
+            of = types[codes]
+            total += np.bincount(of[:-1] * width + of[1:], minlength=len(total))
+            if found:
+                yield _rows(found)
         at = np.flatnonzero(total)
-        yield from rows(True, at // width, at % width, total[at])
+        by = at // width % parts
+        if len(at):
+            yield _rows([{"part": p, "cells": packed(at[by == p]), "cells_c": packed(total[at[by == p]])} for p in np.unique(by).tolist()])
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = list(_each(batches))
+        if held:
+            yield _rows(joined_part(held[0]["part"], held, cores, parts))
+
+    counted = texts.select("text").mapInArrow(count, _PART_ROWS)
+    return dealt(counted, parts).mapInArrow(join, _PART_ROWS)
+
+
+def dealt(rows: DataFrame, parts: int) -> DataFrame:
+    """Rows by their part, a partition for each part."""
+    return rows.repartitionById(parts, F.col("part"))
+
 
-    return texts.select("text").mapInArrow(work, "typed boolean, a long, b long, n long")
+def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    for batch in batches:
+        for k in range(batch.num_rows):
+            yield batch.slice(k, 1).to_pylist()[0]
+
+
+def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """The rows of a partition, which are of one part, as one."""
+    row: dict = {}
+    for more in _each(batches):
+        row |= {k: x for k, x in more.items() if x is not None}
+    if "keys" in row or "core" in row:
+        yield {"got": None} | row
 
 
 def g(x: np.ndarray) -> np.ndarray:
@@ -197,150 +341,152 @@ def exchange_classes(bigrams: np.ndarray, classes: int, sweeps: int = 10) -> np.
     return owner
 
 
-def word_contexts(entries: DataFrame, classes: int) -> DataFrame:
-    """A row for each word: ``key``, ``class``, ``slots`` and ``counts``. ``entries``: ``key``, ``slot``, ``n``. Slots: the class of a core word before
-    it, of a word after it (from ``classes`` on), of another word before it (from twice that on), itself (three times), and its own class as ``n``."""
-    own = 3 * classes + 1
-    names = ["key", "class", "slots", "counts"]
-
-    def group(key: np.ndarray, slot: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
-        order = np.lexsort((slot, key))
-        key, slot, n = key[order], slot[order], n[order]
-        first = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (slot[1:] != slot[:-1]))))
-        key, slot, n = key[first], slot[first], np.add.reduceat(n, first)
-        mark = slot == own
-        words, of_class = key[mark], n[mark]
-        key, slot, n = key[~mark], slot[~mark], n[~mark]
-        ends = np.concatenate(([0], np.searchsorted(key, words, "right")))
-        for k in range(0, len(words), 4096):
-            to = min(k + 4096, len(words))
-            part, at = slice(ends[k], ends[to]), pa.array((ends[k : to + 1] - ends[k]).astype(np.int32))
-            lists = [pa.ListArray.from_arrays(at, pa.array(x[part])) for x in (slot.astype(np.int32), n)]
-            yield pa.RecordBatch.from_arrays([pa.array(words[k:to]), pa.array(of_class[k:to].astype(np.int32)), *lists], names=names)
+def contexts(row: dict, core: np.ndarray, classes: int, heard: bool = True) -> tuple[np.ndarray, ...]:
+    """Of a part's row with the classes that it was told: the words' own classes, and of each count of a word its place, its kind (the class before the word,
+    from ``classes`` on the class after it, twice ``classes`` for the word itself), the count, and whether its bigram is found here rather than in the other word's row.
+    Of a row that was not ``heard`` yet, only the sides of the kinds count."""
+    own, few = unpacked(row["own"]), np.int32
+    told = np.concatenate([np.empty(0, few), *[narrow(x["told"]).astype(few) for x in row["got"] or ()]])
+    place = np.repeat(np.arange(len(own), dtype=few), narrow(row["core_n"]))
+    side = np.repeat(np.arange(2 * len(own), dtype=few), narrow(row["loose_n"]))
+    same = narrow(row["same"])
+    twice = np.flatnonzero(same).astype(few)
+    # What each entry in the core adds: the class, and as many as there are classes for one after the word.
+    of_core = np.concatenate((core, classes + core)).astype(few)
+    return (
+        own,
+        np.concatenate((place, side >> 1, twice)),
+        np.concatenate((of_core[narrow(row["core"])], (side & 1) * few(classes) + (told[narrow(row["loose"])] if heard else few(0)), np.full(len(twice), 2 * classes, few))),
+        np.concatenate((narrow(row["core_c"]), narrow(row["loose_c"]), same[twice])),
+        np.concatenate((np.ones(len(place), bool), (side & 1) == 1, np.ones(len(twice), bool))),
+    )
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        size = 0
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            held.append(tuple(batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "slot", "n")))
-            size += batch.num_rows
-            if size >= FLUSH_PAIRS:
-                # The last word may go on in the next batch.
-                key, slot, n = (np.concatenate(x) for x in zip(*held, strict=True))
-                cut = np.searchsorted(key, key[-1])
-                if cut:
-                    yield from group(key[:cut], slot[:cut], n[:cut])
-                held = [(key[cut:], slot[cut:], n[cut:])]
-                size = len(key) - cut
-        if size:
-            yield from group(*(np.concatenate(x) for x in zip(*held, strict=True)))
-
-    dealt = entries.select("key", F.col("slot").cast("long").alias("slot"), "n").repartition("key").sortWithinPartitions("key")
-    return dealt.mapInArrow(work, "key long, class int, slots array<int>, counts array<long>")
-
-
-def _flat(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
-    """The words' classes, and of each of their counts the word's place in the batch, the slot and the count."""
-    sizes = np.diff(batch.column("slots").offsets.to_numpy())
-    place = np.repeat(np.arange(batch.num_rows), sizes)
-    return batch.column("class").to_numpy().astype(np.int64), place, batch.column("slots").flatten().to_numpy().astype(np.int64), batch.column("counts").flatten().to_numpy()
-
-
-def class_table(contexts: DataFrame, classes: int) -> np.ndarray:
+
+def class_table(told: DataFrame, core: np.ndarray, classes: int) -> np.ndarray:
     """The class bigrams with at least one word outside the core, each once: those after such a word, and those after a core word."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros((classes, classes), np.int64)
-        for batch in batches:
-            own, place, slot, n = _flat(batch)
-            own = own[place]
-            core, after, same = slot < classes, (slot >= classes) & (slot < 2 * classes), slot == 3 * classes
-            np.add.at(table, (slot[core], own[core]), n[core])
-            np.add.at(table, (own[after], slot[after] - classes), n[after])
-            np.add.at(table, (own[same], own[same]), n[same])
+        table = np.zeros(classes * classes, np.int64)
+        for row in _whole(batches):
+            own, place, kind, n, here = contexts(row, core, classes)
+            own, kind, n = own[place[here]], kind[here], n[here]
+            cell = np.where(kind < classes, kind.astype(np.int64) * classes + own, own * classes + np.where(kind == 2 * classes, own, kind - classes))
+            table += np.bincount(cell, n, len(table)).astype(np.int64)
         at = np.flatnonzero(table)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(table.ravel()[at])], names=["cell", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(table[at])], names=["cell", "n"])
 
     table = np.zeros(classes * classes)
-    for r in contexts.mapInArrow(work, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():
+    for r in settle(told.mapInArrow(work, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))).collect():
         table[r["cell"]] = r["n"]
     return table.reshape(classes, classes)
 
 
-def moved_words(contexts: DataFrame, table: np.ndarray, classes: int) -> DataFrame:
-    """``key`` and ``class``: of each word the class that gains the most mutual information from its neighbours, where the table is
+def moved_words(told: DataFrame, table: np.ndarray, core: np.ndarray, classes: int, words: int = 4096) -> DataFrame:
+    """``part`` and ``own``: of each word the class that gains the most mutual information from its neighbours, where the table is
     taken without the word's own counts in its own class. A word stays where no class gains more."""
+    kinds = 2 * classes + 1
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, columns, diagonal = table.sum(1), table.sum(0), np.diagonal(table)
-        # The cells that a count in a slot adds to, by class: [left classes, then right classes, then the diagonal].
+        # The cells that a count adds to, by class: [left classes, then right classes, then the diagonal].
         cells = np.concatenate((table, table.T, diagonal[None, :]))
         small = np.stack([g(cells + n) - g(cells) for n in range(LOOKED_UP + 1)])
-        for whole in batches:
-            for batch in _slices(whole, 4096):
-                own, place, slot, n = _flat(batch)
-                # Core and other words before it are one context.
-                kind = np.where(slot < classes, slot, np.where(slot < 2 * classes, slot, np.where(slot < 3 * classes, slot - 2 * classes, 2 * classes)))
-                code, index = np.unique(place * (2 * classes + 1) + kind, return_inverse=True)
-                n = np.bincount(index, n)
-                place, kind = code // (2 * classes + 1), code % (2 * classes + 1)
-                gain = small[np.minimum(n, LOOKED_UP).astype(np.int64), kind]
-                large = np.flatnonzero(n > LOOKED_UP)
-                gain[large] = g(cells[kind[large]] + n[large, None]) - g(cells[kind[large]])
-                mine = own[place]
-                held = cells[kind, mine]
-                gain[np.arange(len(n)), mine] = g(held) - g(np.maximum(held - n, 0))
-                total = np.add.reduceat(gain, np.searchsorted(place, np.arange(batch.num_rows)))
-                after = np.bincount(place, np.where(kind >= classes, n, 0), batch.num_rows)
-                before = np.bincount(place, np.where((kind < classes) | (kind == 2 * classes), n, 0), batch.num_rows)
-                at = np.arange(batch.num_rows)
-                for sums, size in ((rows, after), (columns, before)):
-                    more = g(sums + size[:, None]) - g(sums)
-                    more[at, own] = g(sums[own]) - g(np.maximum(sums[own] - size, 0))
-                    total -= more
-                best = np.argmax(total, 1)
-                new = np.where(total[at, best] > total[at, own] + 1e-9, best, own)
-                yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(new.astype(np.int32))], names=["key", "class"])
-
-    return contexts.mapInArrow(work, "key long, class int")
-
-
-def exchange_words(bigrams: DataFrame, start: DataFrame, core: np.ndarray, core_table: np.ndarray, sweeps: int = SWEEPS) -> tuple[DataFrame, np.ndarray, list[float]]:
-    """``key`` and ``class`` of all words outside the core, the class bigrams, and the mutual information at the start and after each sweep.
-
-    ``bigrams``: ``a``, ``b``, ``n`` of word keys, at least one of each outside the core. ``start``: the classes to start from. ``core``
-    has the core's classes, which stay, and ``core_table`` the class bigrams within the core.
+
+        def better(own: np.ndarray, place: np.ndarray, kind: np.ndarray, n: np.ndarray) -> np.ndarray:
+            gain = small[np.minimum(n, LOOKED_UP).astype(np.int64), kind]
+            large = np.flatnonzero(n > LOOKED_UP)
+            gain[large] = g(cells[kind[large]] + n[large, None]) - g(cells[kind[large]])
+            mine = own[place]
+            held = cells[kind, mine]
+            gain[np.arange(len(n)), mine] = g(held) - g(np.maximum(held - n, 0))
+            at = np.arange(len(own))
+            total = np.add.reduceat(gain, np.searchsorted(place, at))
+            after = np.bincount(place, np.where(kind >= classes, n, 0), len(own))
+            before = np.bincount(place, np.where((kind < classes) | (kind == 2 * classes), n, 0), len(own))
+            for sums, size in ((rows, after), (columns, before)):
+                # Most words are rare, so few sizes are different.
+                sizes, back = np.unique(size, return_inverse=True)
+                more = (g(sums + sizes[:, None]) - g(sums))[back]
+                more[at, own] = g(sums[own]) - g(np.maximum(sums[own] - size, 0))
+                total -= more
+            best = np.argmax(total, 1)
+            return np.where(total[at, best] > total[at, own] + 1e-9, best, own)
+
+        for row in _whole(batches):
+            own, place, kind, n, _ = contexts(row, core, classes)
+            new = own.copy()
+            order = np.argsort(place, kind="stable")
+            ends = np.searchsorted(place[order], np.arange(0, len(own) + words, words))
+            for k, (a, b) in enumerate(zip(ends[:-1], ends[1:], strict=True)):
+                part, some = slice(k * words, (k + 1) * words), order[a:b]
+                counts = np.bincount((place[some].astype(np.int64) - k * words) * kinds + kind[some], n[some])
+                at = np.flatnonzero(counts)
+                new[part] = better(own[part], at // kinds, at % kinds, counts[at])
+            yield pa.RecordBatch.from_arrays([pa.array([row["part"]], pa.int32()), pa.array([packed(new)], pa.binary())], names=["part", "own"])
+
+    return told.mapInArrow(work, "part int, own binary")
+
+
+def exchange_words(parts: DataFrame, in_parts: int, start: np.ndarray, core: np.ndarray, core_table: np.ndarray, sweeps: int = SWEEPS) -> tuple[DataFrame, np.ndarray, list[float]]:
+    """``key`` and ``class`` of all words outside the core (``c`` and ``shape`` too), the class bigrams, and the mutual information at the start and after each sweep.
+
+    ``parts``: the rows of ``word_parts`` with ``in_parts`` parts. ``start``: by spelling, the class that a word starts from. ``core``
+    has the core's classes, which stay, and ``core_table`` the class bigrams within the core. In a sweep a part is told the classes of its words' neighbours, one small
+    number for each neighbour, in the order in which it asked for them once.
     """
-    classes, spark = len(core_table), start.sparkSession
-    in_core = lambda c: F.col(c).between(0, len(core) - 1)
-    before = bigrams.where(~in_core("b")).select(F.col("b").alias("key"), F.lit(0).alias("side"), F.col("a").alias("other"), "n")
-    after = bigrams.where(~in_core("a") & (F.col("a") != F.col("b"))).select(F.col("a").alias("key"), F.lit(1).alias("side"), F.col("b").alias("other"), "n")
-    pairs = before.unionByName(after)
-    of_core = spark.createDataFrame([(k, int(c)) for k, c in enumerate(core)], "other long, class int")
-    by_core = pairs.where(in_core("other")).join(F.broadcast(of_core), "other").select("key", (F.col("side") * classes + F.col("class")).alias("slot"), "n")
-    same = pairs.where("key = other").select("key", F.lit(3 * classes).alias("slot"), "n")
-    fixed = settle(by_core.unionByName(same).groupBy("key", "slot").agg(F.sum("n").alias("n")))
-    loose = pairs.where(~in_core("other") & (F.col("key") != F.col("other")))
-
-    owners, told = settle(start), []
-    kept = None
+    classes = len(core_table)
+    spark = parts.sparkSession
+    own = parts.where("core_n IS NOT NULL").drop("asks", "cells", "cells_c")
+
+    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys = None
+        for row in _each(batches):
+            mine = np.frombuffer(row["keys"], np.int64)
+            if row["asks"] < 0:
+                keys = mine
+            else:
+                arrays = [pa.array([row[c]], pa.int32()) for c in ("part", "asks")]
+                yield pa.RecordBatch.from_arrays([*arrays, pa.array([packed(np.searchsorted(keys, mine))], pa.binary())], names=["part", "asks", "at"])
+
+    def begin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _each(batches):
+            yield pa.RecordBatch.from_arrays([pa.array([row["part"]], pa.int32()), pa.array([packed(start[unpacked(row["shape"])])], pa.binary())], names=["part", "own"])
+
+    def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _each(batches):
+            arrays = [pa.array([row[c]], pa.int32()) for c in ("asks", "part")]
+            yield pa.RecordBatch.from_arrays([*arrays, pa.array([packed(unpacked(row["own"])[unpacked(row["at"])])], pa.binary())], names=["part", "source", "told"])
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _whole(batches):
+            own, place, kind, n, _ = contexts(row, core, classes, False)
+            left = (kind < classes) | (kind == 2 * classes)
+            c = np.bincount(place[left], n[left], len(own)).astype(np.int64)
+            whole = pa.table({"key": np.frombuffer(row["keys"], np.int64), "class": own.astype(np.int32), "c": c, "shape": unpacked(row["shape"]).astype(np.int32)})
+            yield from whole.to_batches(max_chunksize=1 << 16)
+
+    asked = own.select("part", F.lit(-1).alias("asks"), "keys").unionByName(parts.where("asks IS NOT NULL").select("part", "asks", "keys"))
+    routes, of_routes = settle_at(dealt(asked, in_parts).sortWithinPartitions("asks").mapInArrow(route, "part int, asks int, at binary"))
+    owners, of_owners = settle_at(own.select("part", "shape").mapInArrow(begin, "part int, own binary"))
+    kept, told_so_far, cleared = None, [], [of_routes]
     for sweep in range(sweeps + 1):
-        of_other = broadcast_if_small(owners.select(F.col("key").alias("other"), "class"), 24)
-        by_other = loose.join(of_other, "other").select("key", (F.when(F.col("side") == 1, classes).otherwise(2 * classes) + F.col("class")).alias("slot"), "n")
-        own = owners.select("key", F.lit(3 * classes + 1).alias("slot"), F.col("class").cast("long").alias("n"))
-        contexts = settle(word_contexts(fixed.unionByName(by_other).unionByName(own), classes))
-        table = core_table + class_table(contexts, classes)
+        sent = routes.join(owners, "part").mapInArrow(tell, "part int, source int, told binary")
+        got = sent.groupBy("part").agg(F.array_sort(F.collect_list(F.struct("source", "told"))).alias("got"))
+        received, of_received = settle_at(owners.join(got, "part", "left"))
+        cleared += [of_owners, of_received]
+        told = dealt(own.drop("keys", "shape").unionByName(received, allowMissingColumns=True), in_parts)
+        table = core_table + class_table(told, core, classes)
         now = information(table)
-        if kept is not None and now <= told[-1]:
-            return *kept, told
+        if kept is not None and now <= told_so_far[-1]:
+            break
         kept = owners, table
-        told.append(now)
-        if sweep == sweeps or (sweep and now - told[-2] <= GAIN * abs(now - told[0])):
+        told_so_far.append(now)
+        if sweep == sweeps or (sweep and now - told_so_far[-2] <= GAIN * abs(now - told_so_far[0])):
             break
-        owners = settle(moved_words(contexts, table, classes))
-    return *kept, told
+        owners, of_owners = settle_at(moved_words(told, table, core, classes))
+    classed = settle(dealt(own.unionByName(kept[0], allowMissingColumns=True), in_parts).mapInArrow(spread, "key long, class int, c long, shape int"))
+    clear(spark, cleared)
+    return classed, kept[1], told_so_far
 
 
 def transitions(table: np.ndarray, members: np.ndarray) -> np.ndarray:
@@ -387,26 +533,26 @@ def brown_scores(documents: DataFrame, trained: Column, id_col: str = "doc_id",
     ends = counts.where("length(word) = 0").first()
     frequent = {END: 0} | {bytes(r["word"]): k + 1 for k, r in enumerate(common)}
     known = np.array([ends["c"] if ends else 0, *[r["c"] for r in common]], float)
-    shapes = np.array([k if k <= TYPES else TYPES + 1 + shape(w) for w, k in frequent.items()], np.int64)
     keys = np.array([k if k <= TYPES else word_key(w) for w, k in frequent.items()], np.int64)
-    shared = spark.sparkContext.broadcast((frequent, shapes, keys))
-
-    width = TYPES + 1 + SHAPES
-    pairs = settle(bigram_counts(training, shared))
-    found = pairs.where("typed").groupBy("a", "b").agg(F.sum("n").alias("n")).toArrow()
-    bigrams = np.zeros((width, width))
-    bigrams[found["a"].to_numpy(), found["b"].to_numpy()] = found["n"].to_numpy()
+    shared = spark.sparkContext.broadcast(frequent)
+
+    cores = TYPES + 1
+    width = cores + SHAPES
+    in_parts = max(1, -(-total // PART_TOKENS))
+    in_core = {w: k for w, k in frequent.items() if k < cores}
+    parts, of_parts = settle_at(word_parts(training, in_core, cores, in_parts))
+    bigrams = np.zeros(width * width)
+    for r in parts.where("cells IS NOT NULL").select("cells", "cells_c").toArrow().to_pylist():
+        bigrams[unpacked(r["cells"])] = unpacked(r["cells_c"])
+    bigrams = bigrams.reshape(width, width)
     owner = exchange_classes(bigrams, classes)
-    core = owner[: TYPES + 1]
+    core = owner[:cores]
     core_table = np.zeros((classes, classes))
-    np.add.at(core_table, (core[:, None], core[None, :]), bigrams[: TYPES + 1, : TYPES + 1])
+    np.add.at(core_table, (core[:, None], core[None, :]), bigrams[:cores, :cores])
 
     # All other words start in the class of their spelling.
-    own = spark.createDataFrame([(w,) for w, k in frequent.items() if k <= TYPES], "word binary")
-    others = counts.join(F.broadcast(own), "word", "left_anti").select("word", "c", F.xxhash64("word").alias("key"), shape_column(F.col("word")).alias("shape"))
-    first_class = F.get(F.array(*[F.lit(int(x)) for x in owner[TYPES + 1 :]]), F.col("shape"))
-    owners, table, _ = exchange_words(pairs.where("not typed").select("a", "b", "n"), others.select("key", first_class.alias("class")).dropDuplicates(["key"]), core, core_table)
-    members = settle(others.join(broadcast_if_small(owners, 24), "key"))
+    members, table, _ = exchange_words(parts, in_parts, owner[cores:], core, core_table)
+    clear(spark, [of_parts])
 
     # Tokens and words of each class, and the words that occur once by spelling and class.
     tokens_of, words_of, single = np.zeros(classes), np.zeros(classes), np.zeros((SHAPES, classes))
@@ -427,75 +573,129 @@ def brown_scores(documents: DataFrame, trained: Column, id_col: str = "doc_id",
     class_of = np.concatenate((core, np.zeros(max(len(known) - TYPES - 1, 0), int)))[: len(known)]
     if len(known) > TYPES + 1:
         number = spark.createDataFrame([(int(x), k + TYPES + 1) for k, x in enumerate(keys[TYPES + 1 :])], "key long, number int")
-        for r in owners.join(F.broadcast(number), "key").select("number", "class").collect():
+        for r in members.join(F.broadcast(number), "key").select("number", "class").collect():
             class_of[r["number"]] = r["class"]
     in_class = np.where(known > 0, np.log10(np.maximum(known - taken[class_of], 1e-9) / np.maximum(tokens_of[class_of], 1)), left[class_of])
     chance = transitions(table, np.ones(classes))
     local = spark.sparkContext.broadcast((chance, class_of, np.log10(known + 1), known > 0, in_class, unknown_class, left))
 
-    names = ["row", "doc_id", "trained", "n_tokens", "n_known", "base", "score", "words", "times", "spelled", "before", "after"]
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers_of, shape_of, _ = shared.value
-        chance, class_of, log_count, is_known, in_class, unknown_class, _ = local.value
-        for batch in (part for whole in batches for part in _slices(whole)):
-            out: list[list] = [[] for _ in range(9)]
-            for text in batch.column("text").to_pylist():
-                words = tokens(text)
-                _, numbers, rest = type_sequence(words, numbers_of, shape_of)
-                near = numbers[numbers >= 0]
-                times = Counter(rest)
-                place = {w: -1 - k for k, w in enumerate(times)}
-                # The classes of the tokens; those of words to be looked up later are below zero.
-                sequence = class_of[numbers]
-                sequence[numbers < 0] = [place[w] for w in rest]
-                before = np.concatenate((class_of[:1], sequence[:-1]))
-                here = (before >= 0) & (sequence >= 0)
-                values = (
-                    len(words),
-                    int(is_known[near].sum()),
-                    float(log_count[near].sum()),
-                    float(chance[before[here], sequence[here]].sum() + in_class[near].sum()),
-                    list(times),
-                    list(times.values()),
-                    [int(unknown_class[shape(w)]) for w in times],
-                    before[~here],
-                    sequence[~here],
-                )
-                for column, value in zip(out, values, strict=True):
-                    column.append(value)
-            whole_numbers = pa.list_(pa.int32())
-            kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int64()), whole_numbers, whole_numbers, whole_numbers]
-            arrays = [pa.array(x, k) for x, k in zip(out, kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc_id"), batch.column("trained"), *arrays], names=names)
-
     kind = rows.schema["doc_id"].dataType.simpleString()
-    schema = f"row long, doc_id {kind}, trained boolean, n_tokens long, n_known long, base double, score double, words array<binary>, times array<long>, spelled array<int>, before array<int>, after array<int>"
-    parts = settle(rows.withColumn("row", F.monotonically_increasing_id()).mapInArrow(work, schema))
-    # What stays to be looked up: words beyond the frequent ones. One that is not found is unknown.
-    rare = parts.select("row", F.posexplode("words").alias("at", "word"))
-    met = rare.join(members.select("word", "class", "c"), "word").groupBy("row").agg(F.collect_list(F.struct("at", "class", "c")).alias("met"))
-    fields = F.col("met")
-    joined = parts.drop("words").join(met, "row", "left").select(*[c for c in names if c not in ("row", "words")], *[F.coalesce(fields[x], F.array().cast(f"array<{t}>")).alias(f"met_{x}") for x, t in (("at", "int"), ("class", "int"), ("c", "long"))])
+    sums = ["n_tokens", "n_known", "base", "score"]
+    lists = {"doc_id": kind, "trained": "boolean"} | dict(zip(sums, ("long", "long", "double", "double"), strict=True))
+    blobs = ["spelled", "rare_n", "rare", "before", "after", "keys", "class", "c"]
+    schema = "chunk long, part int, " + ", ".join([f"{c} array<{t}>" for c, t in lists.items()] + [f"{c} binary" for c in blobs])
+
+    def made(found: list[dict], chunk: int, ids: pa.Array, trained: pa.Array) -> pa.RecordBatch:
+        kinds = {"chunk": pa.int64(), "part": pa.int32()} | {c: pa.binary() for c in blobs}
+        arrays = {c: pa.array([r.get(c, chunk if c == "chunk" else None) for r in found], t) for c, t in kinds.items()}
+        numbers = {c: pa.array(found[0][c], t) for c, t in zip(sums, (pa.int64(), pa.int64(), pa.float64(), pa.float64()), strict=True)}
+        for c, x in ({"doc_id": ids, "trained": trained} | numbers).items():
+            mask = pa.array([False] + [True] * (len(found) - 1))
+            arrays[c] = pa.ListArray.from_arrays(pa.array([0] + [len(x)] * len(found), pa.int32()), x, mask=mask)
+        names = ["chunk", "part", *lists, *blobs]
+        return pa.RecordBatch.from_arrays([arrays[c] for c in names], names=names)
+
+    def begin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row for each chunk of documents: the sums over the frequent words, and the others with the classes beside them. Rows that ask each part for these words."""
+        numbers_of = shared.value
+        chance, class_of, log_count, is_known, in_class, _, _ = local.value
+        task = TaskContext.get().partitionId() << 32
+        for chunk, (codes, words, held) in enumerate(_chunks(batches, CHUNK_BYTES), task):
+            number = np.array([numbers_of.get(w, -1) for w in words], np.int64)
+            near = number >= 0
+            of = lambda x: np.where(near, x[number], 0)  # noqa: B023, E731
+            rare = np.flatnonzero(~near)
+            key = np.array([word_key(words[k]) for k in rare.tolist()], np.int64)
+            order = np.lexsort((key, key % in_parts))
+            rare, key = rare[order], key[order]
+            place = np.full(len(words), -1, np.int64)
+            place[rare] = np.arange(len(rare))
+            sequence = np.where(near, class_of[number], classes)[codes]
+            ends = np.flatnonzero(codes[1:] == 0)
+            first = np.r_[0, ends[:-1] + 1]
+            inner = np.zeros((classes + 1, classes + 1))
+            inner[:classes, :classes] = chance
+            values = inner[sequence[:-1], sequence[1:]] + of(in_class)[codes[1:]]
+            at = np.flatnonzero(~near[codes])
+            heads = np.searchsorted(key % in_parts, np.arange(in_parts + 1))
+            whole = {
+                "n_tokens": np.diff(np.r_[-1, ends]),
+                "n_known": np.add.reduceat(of(is_known.astype(np.int64))[codes[1:]], first),
+                "base": np.add.reduceat(of(log_count)[codes[1:]], first),
+                "score": np.add.reduceat(values, first),
+                "spelled": packed(np.array([shape(words[k]) for k in rare.tolist()], np.int64)),
+                "rare_n": packed(np.bincount(np.searchsorted(ends, at - 1), minlength=len(ends))),
+                "rare": packed(place[codes[at]]),
+                "before": packed(sequence[at - 1]),
+                "after": packed(sequence[at + 1]),
+            }
+            asks = [{"part": p, "keys": key[heads[p] : heads[p + 1]].tobytes()} for p in np.flatnonzero(np.diff(heads)).tolist()]
+            yield made([whole, *asks], chunk, *(pa.concat_arrays([b.column(c) for b in held]) for c in ("doc_id", "trained")))
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """What each chunk asked a part for: classes and counts, a count of zero where a word is unknown."""
+        now, held, table = None, [], None
+        for batch in batches:
+            part, chunk, keys = (batch.column(c).to_pylist() for c in ("part", "chunk", "keys"))
+            key, of_class, c = (batch.column(x) for x in ("key", "class", "c"))
+            asks = np.flatnonzero(batch.column("chunk").is_valid().to_numpy(zero_copy_only=False)).tolist()
+            start = 0
+            for k in [*asks, batch.num_rows]:
+                # The words of a part come before those who ask for them.
+                for a, b in _runs(part, start, k):
+                    if part[a] != now:
+                        now, held, table = part[a], [], None
+                    held.append([x.slice(a, b - a).to_numpy() for x in (key, of_class, c)])
+                start = k + 1
+                if k == batch.num_rows:
+                    break
+                if part[k] != now:
+                    now, held, table = part[k], [], None
+                if table is None:
+                    table = [np.concatenate(x) for x in zip(*held, strict=True)] if held else [np.empty(0, np.int64)] * 3
+                    held = []
+                mine = np.frombuffer(keys[k], np.int64)
+                at = np.minimum(np.searchsorted(table[0], mine), max(len(table[0]) - 1, 0))
+                here = table[0][at] == mine if len(table[0]) else np.zeros(len(mine), bool)
+                found = [packed(np.where(here, x[at], 0) if len(x) else np.zeros(len(mine), np.int64)) for x in table[1:]]
+                arrays = [pa.array([chunk[k]], pa.int64()), pa.array([now], pa.int32()), *[pa.array([x], pa.binary()) for x in found]]
+                yield pa.RecordBatch.from_arrays(arrays, names=["chunk", "part", "class", "c"])
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chance, _, _, _, _, _, left = local.value
-        for batch in (part for whole in batches for part in _slices(whole)):
-            new: list[list] = [[], [], []]
-            columns = (batch.column(c) for c in ("n_known", "base", "score", "times", "spelled", "before", "after", "met_at", "met_class", "met_c"))
-            for n_known, base, score, *lists in zip(*columns, strict=True):
-                times, spelled, before, after, at, of_class, c = (np.asarray(x.values.to_numpy()) for x in lists)
-                own, inside = spelled.copy(), left[spelled]
-                own[at] = of_class
-                inside[at] = np.log10((c - taken[of_class]) / tokens_of[of_class])
-                before, after = (np.where(x < 0, own[np.maximum(-1 - x, 0)] if len(own) else 0, x) for x in (before, after))
-                new[0].append(n_known.as_py() + int(times[at].sum()))
-                new[1].append(base.as_py() + float((times[at] * np.log10(c + 1)).sum()))
-                new[2].append(score.as_py() + float((times * inside).sum() + chance[before, after].sum()))
-            arrays = [pa.array(x, k) for x, k in zip(new, (pa.int64(), pa.float64(), pa.float64()), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("trained"), batch.column("n_tokens"), *arrays], names=["doc_id", "trained", "n_tokens", "n_known", "base", "score"])
-
-    scored = joined.mapInArrow(finish, f"doc_id {kind}, trained boolean, n_tokens long, n_known long, base double, score double")
+        chance, _, _, _, _, unknown_class, left = local.value
+        answers: list[list[np.ndarray]] = [[], []]
+        for batch in batches:
+            for k in range(batch.num_rows):
+                row = batch.slice(k, 1)
+                if row.column("part")[0].is_valid:
+                    for x, c in zip(answers, ("class", "c"), strict=True):
+                        x.append(unpacked(row.column(c)[0].as_py()))
+                    continue
+                of_class, c = (np.concatenate([np.empty(0, np.int64), *x]) for x in answers)
+                answers = [[], []]
+                spelled, rare_n, rare, before, after = (unpacked(row.column(x)[0].as_py()) for x in blobs[:5])
+                own = np.where(c > 0, of_class, unknown_class[spelled])
+                inside = np.where(c > 0, np.log10(np.maximum(c - taken[own], 1e-9) / np.maximum(tokens_of[own], 1)), left[own])
+                doc, mine = np.repeat(np.arange(len(rare_n)), rare_n), own[rare]
+                before = np.where(before == classes, np.r_[0, mine[:-1]] if len(mine) else mine, before)
+                values = inside[rare] + chance[before, mine]
+                values += np.where(after == classes, 0.0, chance[mine, np.minimum(after, classes - 1)])
+                more = [np.bincount(doc, x, len(rare_n)) for x in (np.zeros(len(doc)), (c > 0)[rare], np.log10(c + 1.0)[rare], values)]
+                arrays = [row.column(x).flatten() for x in ("doc_id", "trained")]
+                for x, y in zip(sums, more, strict=True):
+                    old = row.column(x).flatten().to_numpy()
+                    arrays.append(pa.array(old + y.astype(old.dtype)))
+                yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "trained", *sums])
+
+    begun = settle(rows.mapInArrow(begin, schema))
+    asked = begun.where("part IS NOT NULL").select("part", "chunk", "keys", F.lit(None).cast("long").alias("key"), F.lit(None).cast("int").alias("class"), F.lit(None).cast("long").alias("c"))
+    known_words = members.select(F.pmod("key", F.lit(in_parts)).cast("int").alias("part"), F.lit(None).cast("long").alias("chunk"), F.lit(None).cast("binary").alias("keys"), "key", "class", "c")
+    looked_up = known_words.unionByName(asked).repartition("part").sortWithinPartitions("part", F.col("chunk").asc_nulls_first(), "key")
+    answers = looked_up.mapInArrow(answer, "chunk long, part int, class binary, c binary")
+    # A chunk comes after the answers to it, which come by their parts.
+    mixed = begun.where("part IS NULL").drop("class", "c", "keys").unionByName(answers, allowMissingColumns=True)
+    ordered = mixed.repartition("chunk").sortWithinPartitions("chunk", F.col("part").asc_nulls_last())
+    scored = ordered.mapInArrow(finish, f"doc_id {kind}, trained boolean, n_tokens long, n_known long, base double, score double")
     size = float(np.log10(total + distinct + 1))
     return scored.select(
         "doc_id",
