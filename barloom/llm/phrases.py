@@ -28,7 +28,7 @@ from barloom.llm.common import LOWER, UPPER, broadcast_if_small, row_hash
 from barloom.scratch import settle
 
 #: Bytes of text whose tokens a task holds at once, and rows of counts that it adds up before it returns them.
-CHUNK_BYTES, HELD_ROWS = 4 << 20, 2 << 20
+CHUNK_BYTES, HELD_ROWS = 4 << 20, 1 << 19
 #: Bits of a map of what has reached the least count (4 MB).
 FILTER_BITS = 1 << 25
 #: A byte that UTF-8 doesn't have stands for the end of a piece.
@@ -70,15 +70,14 @@ def _table(schema: pa.Schema, rows: int, **columns: pa.Array) -> pa.Table:
     return pa.Table.from_arrays([columns[f.name] if f.name in columns else pa.nulls(rows, f.type) for f in schema], schema=schema)
 
 
-def count_tokens(tokens: list[bytes], lang: str, skip: int, maps: list[list[np.ndarray | None]], step: int, with_words: bool, seed: int = 0) -> tuple[list[pa.Table], list[pa.Table]]:
-    """Counts of a run of tokens in a scan's ``step``: of the words if asked for, and of the active phrases of two words and more.
+def count_tokens(coded: pa.DictionaryArray, lang: str, skip: int, maps: list[list[np.ndarray | None]], step: int, with_words: bool, seed: int = 0) -> tuple[list[pa.Table], list[pa.Table]]:
+    """Counts of a run of coded tokens in a scan's ``step``: of the words if asked for, and of the active phrases of two words and more.
 
     ``maps`` has for each length the bitmaps of the phrases one word shorter, before each of the steps of one cycle and before
     the one ahead of it: a phrase in all of them is done, one in none is not active. ``a`` is the step whose map was the first to hold
     both its subphrases. The first ``skip`` tokens are of the run before: only what ends after them counts.
     """
     schema = _schema(len(maps) + 1)
-    coded = pa.array(tokens, pa.binary()).dictionary_encode()
     spelled, ids = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
     start = lang.encode() + b"\x00"
     hashes = np.array([xxhash.xxh64_intdigest(start + w, seed) for w in spelled.to_pylist()], np.uint64)
@@ -121,16 +120,25 @@ def count_tokens(tokens: list[bytes], lang: str, skip: int, maps: list[list[np.n
     return words, phrases
 
 
-def token_runs(text: bytes, longest: int, size: int = CHUNK_BYTES) -> Iterator[tuple[list[bytes], int]]:
-    """The tokens of a text in runs of about ``size`` bytes, each with how many of them are of the run before."""
+def coded_runs(text: bytes, longest: int, size: int = CHUNK_BYTES) -> Iterator[tuple[pa.DictionaryArray, int]]:
+    """The tokens of a text in runs of about ``size`` bytes, coded, each with how many of them are of the run before."""
     lowered, start, carry = text.translate(_TABLE), 0, []
     while start < len(lowered):
         cut = lowered.find(b" ", start + size) if len(lowered) - start > size else -1
         stop = len(lowered) if cut < 0 else cut
-        tokens = carry + lowered[start:stop].replace(_END, b" \xff ").split()
-        if tokens:
-            yield tokens, len(carry)
-        carry, start = tokens[len(tokens) - min(longest - 1, len(tokens)) :], stop + (cut >= 0)
+        run = b" ".join([*carry, lowered[start:stop].replace(_END, b" \xff ")]).strip(b" ")
+        skip, start = len(carry), stop + (cut >= 0)
+        if run:
+            whole = pa.Array.from_buffers(pa.large_string(), 1, [None, pa.py_buffer(np.array([0, len(run)])), pa.py_buffer(run)])
+            tokens = pc.ascii_split_whitespace(whole).values.view(pa.large_binary()).cast(pa.binary())
+            carry = tokens[max(0, len(tokens) - longest + 1) :].to_pylist()
+            yield tokens.dictionary_encode(), skip
+
+
+def token_runs(text: bytes, longest: int, size: int = CHUNK_BYTES) -> Iterator[tuple[list[bytes], int]]:
+    """The same as lists of tokens."""
+    for coded, skip in coded_runs(text, longest, size):
+        yield coded.cast(pa.binary()).to_pylist(), skip
 
 
 def _added(tables: list[pa.Table], keys: list[str]) -> pa.Table:
@@ -151,22 +159,28 @@ def _count_shard(shard: DataFrame, maps: list[list[Broadcast | None]], step: int
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = [[m.value if m is not None else None for m in of_step] for of_step in maps]
         held: tuple[list[pa.Table], list[pa.Table]] = ([], [])
+        chunks = [0, 0]
 
         def added(most: int) -> Iterator[pa.RecordBatch]:
-            for tables, by in zip(held, keys, strict=True):
+            for k, (tables, by) in enumerate(zip(held, keys, strict=True)):
+                chunks[k] += 1
                 if sum(map(len, tables)) > most:
-                    whole = _added(tables, by)
+                    # What one chunk counts is added up as it is.
+                    whole = _added(tables, by) if chunks[k] > 1 else pa.concat_tables(tables)
                     tables.clear()
                     if len(whole) < most // 2:
                         tables.append(whole)
                     else:
+                        chunks[k] = 0
                         yield from whole.to_batches(max_chunksize=1 << 16)
+                    del whole
+                    pa.default_memory_pool().release_unused()
 
         def count(waiting: dict[str, list[bytes]]) -> None:
             for lang, texts in waiting.items():
                 # Texts are joined by the end of a piece, so no phrase goes from one to the next.
-                for tokens, skip in token_runs(_END.join(texts), longest, chunk):
-                    for tables, more in zip(held, count_tokens(tokens, lang, skip, bits, step, with_words, seed), strict=True):
+                for coded, skip in coded_runs(_END.join(texts), longest, chunk):
+                    for tables, more in zip(held, count_tokens(coded, lang, skip, bits, step, with_words, seed), strict=True):
                         tables += more
 
         waiting: dict[str, list[bytes]] = {}
@@ -238,8 +252,8 @@ def phrase_counts(
             maps[1].append(_bitmap(words, names[:1], maps[1][-1]))
         else:
             maps[1].append(maps[1][-1])
-        phrases = live.where(F.col("word").isNull()).withColumn("n", length).where((F.col("n") < longest) | complete)
-        reached = settle(phrases.groupBy("a", "n", *names).agg(F.sum("c").alias("c")).where(F.col("c") >= least))
+        phrases = live.where(F.col("word").isNull()).where(F.col(names[-1]).isNull() | complete)
+        reached = settle(phrases.groupBy("a", *names).agg(F.sum("c").alias("c")).where(F.col("c") >= least).withColumn("n", length))
         done.append(reached.where(complete).select(*names, "c"))
         for n in range(2, longest):
             # Phrases of n words begin in step n and are all complete after n cycles.

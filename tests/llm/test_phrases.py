@@ -106,6 +106,21 @@ def test_runs_of_tokens_join_to_the_whole():
     assert list(phrases.token_runs(b"", 3)) == [] and list(phrases.token_runs(b" \t ", 3)) == []
 
 
+def test_tokens_of_a_run_are_no_python_objects():
+    text = b"Ab cd, ef\x0b\x1cg  \t h. " * 100
+    runs = list(phrases.coded_runs(text, 3, 64))
+    assert len(runs) > 5 and all(isinstance(coded, phrases.pa.DictionaryArray) for coded, _ in runs)
+    assert [t for coded, skip in runs for t in coded.cast(phrases.pa.binary()).to_pylist()[skip:]] == [
+        t for part in text.lower().replace(b"\x0b", b",").split(b",") for t in (*part.replace(b".", b" \xff ").split(), b"\xff")
+    ][:-1]
+
+
+def test_tables_of_counts_are_small_for_a_task():
+    """What a task holds before it adds up, with the table of the sums and the hashes of the rows (about three times that), takes well below 100 MB."""
+    row = 4 + 2 * 4 + 8 * 3 + 8
+    assert 3 * phrases.HELD_ROWS * row < 100 << 20
+
+
 def test_a_full_bitmap_changes_nothing(spark, monkeypatch):
     """With few bits nearly every phrase is counted; what comes out is the same."""
     monkeypatch.setattr(phrases, "FILTER_BITS", 64)
