@@ -571,3 +571,24 @@ def test_scores_of_an_empty_table(spark, documents):
         assert docs.where("false").select(quality.quality_score(model, F.col("text")).alias("s")).collect() == []
     model = language.train_languages(docs)
     assert docs.where("false").select(language.language_of(model, F.col("text")).alias("f")).collect() == []
+
+
+def test_exact_scores_beside_small_weights():
+    """Weights of the blocks take four bytes; what comes out has the scores, and the ties, of double precision."""
+    rng = np.random.default_rng(8)
+    docs = [np.unique(rng.integers(0, 400, 150), return_counts=True) for _ in range(300)]
+    docs[40] = docs[41] = docs[42]
+    lengths = [int(c.sum()) for _, c in docs]
+    index = search.ShardIndex([t.astype(np.int64) for t, _ in docs], [c.astype(np.int32) for _, c in docs], lengths, 150.0)
+    assert index.dense.itemsize == index.block_most.itemsize == index.weight.itemsize == 4 and len(index.dense) > 100
+    idf = np.log1p(rng.random(400) * 50)
+    for q in (40, 41, 7, 0):
+        terms = docs[q][0].astype(np.int64)
+        want = []
+        for (t, c), n in zip(docs, lengths, strict=True):
+            w = c * (search.K1 + 1) / (c + search.K1 * (1 - search.B + search.B * n / 150.0))
+            want.append(float((w * idf[t] * np.isin(t, terms)).sum()))
+        got = dict(zip(*[x.tolist() for x in index.top(terms, idf[terms], 12)], strict=True))
+        last = sorted(want)[-12]
+        assert set(got) == {d for d, x in enumerate(want) if x >= last - 1e-8} and all(abs(got[d] - want[d]) < 1e-8 for d in got)
+        assert q not in (40, 41) or len({got[d] for d in (40, 41, 42)}) == 1
