@@ -1,14 +1,17 @@
+import tracemalloc
 import zlib
+from contextlib import contextmanager
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from barloom.llm import tokenfile
-from barloom.scratch import scratch_dir
+from barloom.scratch import BATCH, arrow_rows, scratch_dir
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -77,3 +80,35 @@ def test_added_tokens_are_encoded_as_the_tokenizer_does(spark, documents):
     got = [(r["start"], r["n_tokens"], r["ids_crc32"]) for r in tokenfile.read_token_files(spark, path).orderBy("doc_id").collect()]
     sizes = [len(x) for x in want]
     assert got == [(sum(sizes[:k]), len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for k, x in enumerate(want)]
+
+
+def test_a_word_is_remembered_once_whatever_signs_follow():
+    encode, plain = tokenfile.encoder.__wrapped__(PATH, 2), Tokenizer.from_file(PATH)
+    words = ["".join(chr(97 + k // 26**n % 26) for n in range(4)) for k in range(0, 26**4, 200)]
+    texts = [" ".join(w + sign for w in words) for sign in ("", *tokenfile.TAIL)]
+    want = [[*plain.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+    encode(["start"])
+    tracemalloc.start()
+    try:
+        same = [encode([t])[0].tolist() == x for t, x in zip(texts, want, strict=True)]
+        kept = tracemalloc.get_traced_memory()[0]
+    finally:
+        tracemalloc.stop()
+    assert all(same)
+    assert kept < 400 * len(words)
+
+
+def test_writing_gives_workers_few_rows_at_once(spark, documents, monkeypatch):
+    seen = []
+
+    @contextmanager
+    def spied(session, rows):
+        with arrow_rows(session, rows):
+            seen.append(max(r["n"] for r in spark.range(5000, numPartitions=1).mapInArrow(lambda batches: (pa.RecordBatch.from_arrays([pa.array([b.num_rows])], names=["n"]) for b in batches), "n long").collect()))
+            yield
+
+    monkeypatch.setattr(tokenfile, "arrow_rows", spied)
+    before = spark.conf.get(BATCH)
+    tokenfile.write_token_files(documents((1, "a")), scratch_dir(spark), PATH, 2, pieces_kept=10)
+    assert seen == [tokenfile.ROWS]
+    assert spark.conf.get(BATCH) == before
