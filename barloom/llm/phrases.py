@@ -25,7 +25,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.llm.common import LOWER, UPPER, broadcast_if_small, row_hash
-from barloom.scratch import settle
+from barloom.llm.tokenfile import ROWS, give_back
+from barloom.scratch import arrow_rows, settle
 
 #: Bytes of text whose tokens a task holds at once, and rows of counts that it adds up before it returns them.
 CHUNK_BYTES, HELD_ROWS = 4 << 20, 1 << 19
@@ -194,7 +195,10 @@ def _count_shard(shard: DataFrame, maps: list[list[Broadcast | None]], step: int
                     waiting, size = {}, 0
                     yield from added(held_rows)
         count(waiting)
+        waiting.clear()
         yield from added(0)
+        # A worker process runs many tasks, and other ones after these.
+        give_back(True)
 
     kinds = {pa.int32(): "int", pa.int64(): "long", pa.string(): "string", pa.binary(): "binary"}
     return shard.mapInArrow(work, ", ".join(f"{f.name} {kinds[f.type]}" for f in schema))
@@ -236,7 +240,8 @@ def phrase_counts(
     for step in range(1, longest * shards + 1):
         recent = [[maps[n][t] if t >= 0 else None for t in range(step - 1 - shards, step)] for n in range(1, longest)]
         shard = dealt.where(F.col("shard") == (step - 1) % shards).drop("shard")
-        scans.append(settle(_count_shard(shard, recent, step, step <= shards, seed, chunk, held_rows)))
+        with arrow_rows(documents.sparkSession, ROWS):
+            scans.append(settle(_count_shard(shard, recent, step, step <= shards, seed, chunk, held_rows)))
         # What began in the last cycle; what began a whole cycle ago is complete.
         live = reduce(DataFrame.unionByName, scans[-shards:]).where(F.col("a") >= step - shards)
         complete = F.col("a") == step - shards
@@ -253,7 +258,8 @@ def phrase_counts(
         else:
             maps[1].append(maps[1][-1])
         phrases = live.where(F.col("word").isNull()).where(F.col(names[-1]).isNull() | complete)
-        reached = settle(phrases.groupBy("a", *names).agg(F.sum("c").alias("c")).where(F.col("c") >= least).withColumn("n", length))
+        # Few phrases of a task are alike, so they travel before they are added up.
+        reached = settle(phrases.repartition(*names).groupBy("a", *names).agg(F.sum("c").alias("c")).where(F.col("c") >= least).withColumn("n", length))
         done.append(reached.where(complete).select(*names, "c"))
         for n in range(2, longest):
             # Phrases of n words begin in step n and are all complete after n cycles.

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from barloom.llm import phrases
+from barloom.scratch import arrow_rows, settle
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -139,3 +140,25 @@ def test_empty_tables_and_texts_have_no_phrases(spark):
     none = phrases.collocations(frame(spark, [("en", "x")]).where(F.lit(False)))
     assert none.collect() == [] and none.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
     assert phrases.collocations(frame(spark, [("en", None), (None, ""), ("en", " . \t")])).collect() == []
+
+
+def test_phrases_travel_once_and_are_added_up_after_that(spark, documents, monkeypatch):
+    plans, rows = [], []
+
+    def watched(df):
+        plans.append(df._jdf.queryExecution().sparkPlan().toString())
+        return settle(df)
+
+    def limited(session, n):
+        rows.append(n)
+        return arrow_rows(session, n)
+
+    monkeypatch.setattr(phrases, "settle", watched)
+    monkeypatch.setattr(phrases, "arrow_rows", limited)
+    table = documents(*[(k, "one two three. one two") for k in range(12)])
+    found, _, _ = phrases.phrase_counts(table)
+    assert sorted(r["c"] for r in found.collect()) == [12, 12, 24]
+    summed = [p for p in plans if "keys=[a#" in p]
+    assert len(summed) == 6
+    assert all(p.index("keys=[a#") < p.index("REPARTITION_BY_COL") and "keys=[a#" not in p[p.index("REPARTITION_BY_COL") :] for p in summed)
+    assert rows == [phrases.ROWS] * 6
