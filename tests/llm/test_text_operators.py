@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from barloom.llm import brown, chat, decontaminate, extract, language, mixing, quality, search, simhash
 from barloom.llm.components import connected_components
+from barloom.scratch import BATCH, settle
 
 ODD = [(1, None), (2, ""), (2, ""), (3, "one two three"), (None, "one two three"), (4, "x" * 50_000), (5, " \t\n "), (6, "w " * 20_000)]
 
@@ -373,6 +374,20 @@ def test_search_against_brute_force(documents):
     assert got == want
 
 
+def test_search_gives_workers_few_rows_at_once(spark, documents, monkeypatch):
+    within = []
+
+    def watched(df):
+        within.append(spark.conf.get(BATCH))
+        return settle(df)
+
+    monkeypatch.setattr(search, "settle", watched)
+    before = spark.conf.get(BATCH)
+    assert search.top_k(documents((20, "a b"), (21, "a")), F.col("doc_id") == 20).count() == 2
+    assert within == [str(search.ROWS)] * 3
+    assert spark.conf.get(BATCH) == before
+
+
 def test_search_of_an_empty_table(documents):
     assert search.top_k(documents((1, "a")).where("false"), F.lit(True)).count() == 0
 
