@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from barloom.llm import brown, chat, decontaminate, extract, language, mixing, quality, search, simhash
 from barloom.llm.components import connected_components
-from barloom.scratch import BATCH, settle
+from barloom.scratch import BATCH, settle, settle_at
 
 ODD = [(1, None), (2, ""), (2, ""), (3, "one two three"), (None, "one two three"), (4, "x" * 50_000), (5, " \t\n "), (6, "w " * 20_000)]
 
@@ -388,6 +388,24 @@ def test_search_gives_workers_few_rows_at_once(spark, documents, monkeypatch):
     assert spark.conf.get(BATCH) == before
 
 
+def test_search_gives_back_only_the_best_of_all_shards(documents, monkeypatch):
+    """Rows that leave the search grow with the queries, not with queries times shards, and nothing is shuffled to bring them together."""
+    made = []
+
+    def watched(df):
+        found = settle_at(df)
+        made.append((df, found[0].count()))
+        return found
+
+    monkeypatch.setattr(search, "settle_at", watched)
+    rows = [(k, good(20, k)) for k in range(200)]
+    assert search.top_k(documents(*rows), F.col("doc_id") % 20 == 0, k=5, shard_words=100).count() == 50
+    (_, shards), (_, batches), (found, n) = made
+    assert shards > 20 and batches == 1 and n == 50
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "Exchange" not in plan
+
+
 def test_search_of_an_empty_table(documents):
     assert search.top_k(documents((1, "a")).where("false"), F.lit(True)).count() == 0
 
@@ -572,6 +590,39 @@ def test_wand_equals_scoring_every_document_and_skips_blocks(monkeypatch):
     assert empty.top(np.array([1]), np.array([1.0]), 3)[0].tolist() == []
 
 
+def test_groups_of_queries_over_several_shards_equal_scoring_every_document(monkeypatch):
+    """Queries in groups of at most three, thresholds carried from shard to shard, blocks skipped by them; ties go by id, null last."""
+    monkeypatch.setattr(search, "GROUP", 3)
+    monkeypatch.setattr(search, "GROUP_TERMS", 120)
+    rng = np.random.default_rng(11)
+    topics = [rng.choice(3_000, 60, replace=False) + 100 for _ in range(6)]
+    docs = [np.unique(np.concatenate((rng.choice(topics[n % 6], rng.integers(0, 50)), rng.integers(0, 40, 12))), return_counts=True) for n in range(900)]
+    docs[10] = docs[400] = docs[401] = docs[899]
+    ids = [None if n == 400 else 900 - n for n in range(900)]
+    lengths = [int(c.sum()) for _, c in docs]
+    mean, asks = float(np.mean(lengths)), [10, *range(0, 900, 60)]
+    every = [docs[n][0].astype(np.int64) for n in asks]
+    names, number = np.unique(np.concatenate(every), return_inverse=True)
+    idf = 1 + (names % 7) / 3
+    batch = search.QueryBatch(asks, asks, names, idf, np.r_[0, np.cumsum([len(x) for x in every])], number, 10)
+    scored = []
+    plain = search.ShardIndex._scores
+    monkeypatch.setattr(search.ShardIndex, "_scores", lambda self, blocks, query: scored.append(len(blocks) * len(query[3])) or plain(self, blocks, query))
+    for low in range(0, 900, 300):
+        some = range(low, low + 300)
+        order, *postings = search.shard_postings([docs[n][0].astype(np.int64) for n in some], [docs[n][1].astype(np.int32) for n in some], [lengths[n] for n in some])
+        batch.search(search.ShardIndex.of(*postings, mean), [ids[some[d]] for d in order])
+    for terms, found in zip(every, batch.found, strict=True):
+        want = []
+        for d, (t, c) in enumerate(docs):
+            hit = np.isin(t, terms)
+            w = c[hit] * (search.K1 + 1) / (c[hit] + search.K1 * (1 - search.B + search.B * lengths[d] / mean))
+            want.append((-round(float((w * (1 + (t[hit] % 7) / 3)).sum()), 7), ids[d] is None, ids[d]))
+        want.sort(key=lambda x: (x[0], x[1], x[2] or 0))
+        assert [(round(s, 7), none, i) for s, none, i in found] == want[:10]
+    assert sum(scored) < 0.8 * len(asks) * 900 / search.BLOCK
+
+
 def test_chat_with_clashing_columns(spark):
     rows = [(1, 0, "user", "hi", "f", ["t"], 1), (1, 1, "assistant", None, None, None, None), (1, 1, "assistant", None, None, None, None)]
     turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, formatted string, turns array<string>, spans int")
