@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -623,6 +624,13 @@ def test_groups_of_queries_over_several_shards_equal_scoring_every_document(monk
     assert sum(scored) < 0.8 * len(asks) * 900 / search.BLOCK
 
 
+def test_postings_take_few_bytes_and_come_back():
+    for most, size in ((0, 1), (255, 1), (256, 2), (65_535, 2), (65_536, 4), (2**31 - 1, 4)):
+        raw = search._narrow(np.array([1, most, 0]))
+        assert len(raw) == 4 + 3 * size and search._wide(pa.py_buffer(raw)).tolist() == [1, most, 0]
+    assert search._wide(pa.py_buffer(search._narrow(np.empty(0, np.int32)))).tolist() == []
+
+
 def test_chat_with_clashing_columns(spark):
     rows = [(1, 0, "user", "hi", "f", ["t"], 1), (1, 1, "assistant", None, None, None, None), (1, 1, "assistant", None, None, None, None)]
     turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, formatted string, turns array<string>, spans int")
