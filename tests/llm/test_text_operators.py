@@ -666,3 +666,72 @@ def test_exact_scores_beside_small_weights():
         last = sorted(want)[-12]
         assert set(got) == {d for d, x in enumerate(want) if x >= last - 1e-8} and all(abs(got[d] - want[d]) < 1e-8 for d in got)
         assert q not in (40, 41) or len({got[d] for d in (40, 41, 42)}) == 1
+
+
+def test_many_queries_over_parts_equal_brute_force(documents):
+    """From some number of queries on shards are looked through together, in parts of like documents; equal texts, empty texts and a null id among them."""
+    rows = [(k, good(20 + k % 30, k % 90) + f" t{k % 9}") for k in range(search.MANY + 30)] + [(900, None), (None, "bridge t3"), (920, "x" * 9_000 + " t3")]
+    found = search.top_k(documents(*rows), F.lit(True), k=5, shard_words=900)
+    got = {}
+    for r in found.orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append((-round(r["score"], 6), r["doc_id"] is None, r["doc_id"]))
+    want = {i: brute_top(rows, n, 5) for n, (i, t) in enumerate(rows) if t}
+    assert got == want
+
+
+def test_parts_equal_scoring_every_document_and_are_skipped(monkeypatch):
+    """Parts and groups of a few, several shards at once; those that a query's threshold is above are skipped, and an index is built for all queries at once."""
+    for name, value in (("MANY", 1), ("TOGETHER", 7), ("PART", 64), ("HELD", 5_000)):
+        monkeypatch.setattr(search, name, value)
+    rng = np.random.default_rng(12)
+    topics = [rng.choice(3_000, 60, replace=False) + 100 for _ in range(6)]
+    docs = [np.unique(np.concatenate((rng.choice(topics[n % 6], 30), rng.integers(0, 40, 12))), return_counts=True) for n in range(900)]
+    for n in range(0, 900, 20):
+        docs[n] = docs[n % 60]
+    docs[5] = (np.empty(0, np.int64), np.empty(0, np.int64))
+    docs[6] = np.arange(50, 2_000), np.full(1_950, 300)
+    ids = [None if n == 400 else 900 - n for n in range(900)]
+    lengths = [int(c.sum()) for _, c in docs]
+    mean, asks = float(np.mean(lengths)), [6, 10, *range(0, 900, 25)]
+    every = [docs[n][0].astype(np.int64) for n in asks]
+    names, number = np.unique(np.concatenate(every), return_inverse=True)
+    batch = search.QueryBatch(asks, asks, names, 1 + (names % 7) / 3, np.r_[0, np.cumsum([len(x) for x in every])], number.astype(np.int32), 10)
+    built, scored = [], []
+    part, add = search.Part.__init__, search.Part.add
+    monkeypatch.setattr(search.Part, "__init__", lambda self, *a: built.append(len(a[0])) or part(self, *a))
+    monkeypatch.setattr(search.Part, "add", lambda self, scores, *a: scored.append(scores.size) or add(self, scores, *a))
+    for low in range(0, 900, 100):
+        some = range(low, low + 100)
+        order, *postings = search.shard_postings([docs[n][0].astype(np.int64) for n in some], [docs[n][1].astype(np.int32) for n in some], [lengths[n] for n in some])
+        batch.look_through(*postings, mean, [ids[some[d]] for d in order])
+    batch.look()
+    assert 0 < sum(built) <= 899 and max(built) <= 64 and sum(scored) < 0.9 * 899 * len(asks)
+    for terms, found in zip(every, batch.found, strict=True):
+        want = []
+        for d, (t, c) in enumerate(docs):
+            hit = np.isin(t, terms)
+            w = c[hit] * (search.K1 + 1) / (c[hit] + search.K1 * (1 - search.B + search.B * lengths[d] / mean))
+            if hit.any():
+                want.append((-round(float((w * (1 + (t[hit] % 7) / 3)).sum()), 9), ids[d] is None, ids[d]))
+        want.sort(key=lambda x: (x[0], x[1], x[2] or 0))
+        assert [x[1:] for x in found] == [x[1:] for x in want[:10]] and all(abs(x[0] - y[0]) < 1e-7 for x, y in zip(found, want, strict=False))
+
+
+def test_terms_of_several_texts_at_once():
+    texts = ["", "a", "A a,É é", None, "  ", "x\n", " 12ab-C", "ab", "ab", "ß" * 3, "y" * 70 + " " + "Y" * 70 + " " + "y" * 71, "abcdefgh abcdefghi abcdefgh", "end"]
+    for kind in (pa.string(), pa.large_string()):
+        whole = pa.array(texts, kind)
+        known = {}
+        for low in range(len(texts) + 1):
+            terms, counts, sizes, words = search.term_counts(whole.slice(low))
+            ends = np.cumsum(sizes)
+            for n, text in enumerate(texts[low:]):
+                want = Counter(search.WORD.findall((text or "").encode().lower()))
+                mine = slice(ends[n] - sizes[n], ends[n])
+                assert words[n] == sum(want.values()) and sizes[n] == len(want) and sorted(counts[mine]) == sorted(want.values())
+                assert terms[mine].tolist() == sorted(terms[mine].tolist())
+                for w in want:
+                    one = pa.array([w.decode()], kind)
+                    h = known.setdefault(w, search.term_counts(one)[0][0])
+                    assert dict(zip(terms[mine].tolist(), counts[mine].tolist(), strict=True))[h] == want[w]
+        assert len(set(known.values())) == len(known)
